@@ -63,3 +63,9 @@ def with_run_columns(df: DataFrame, id_col: str, ts_col: str, **literals: object
     for name, value in literals.items():
         stamped = stamped.withColumn(name, F.lit(value))
     return stamped
+
+
+def on_date(ts: Column, day: str) -> Column:
+    """A timestamp lies on a date; written as a range, so that the filter reaches the Parquet scan."""
+    start = F.lit(day).cast("date")
+    return (ts >= start.cast("timestamp_ntz")) & (ts < F.date_add(start, 1).cast("timestamp_ntz"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def name_parts(col: Column) -> Column:
     """Parts of a dotted name with blank parts dropped."""
-    return F.filter(F.transform(F.split(col, r"\."), F.trim), lambda part: part != F.lit(""))
+    return F.filter(F.transform(F.split(col, r"\."), lambda part: F.trim(part)), lambda part: part != F.lit(""))
 
 
 def classify_name(col: Column) -> Column:

@@ -172,12 +172,18 @@ def describe_tables(lake: Lake, names: Iterable[str]) -> DataFrame:
     )
 
 
-def ensure_catalog_tables(spark: SparkSession, specs: Iterable[TableSpec], replace: bool = False) -> None:
-    """The same definitions as Parquet tables of the session catalog (last two name parts)."""
+def ensure_catalog_tables(
+    spark: SparkSession, specs: Iterable[TableSpec], replace: bool = False, location: str | None = None
+) -> None:
+    """The same definitions as Parquet tables of the session catalog (last two name parts).
+
+    ``location`` is where schemas that do not exist yet are placed.
+    """
+    placed = f" LOCATION '{location}'" if location else ""
     for spec in specs:
         schema_name, table_name = spec.name.split(".")[-2:]
         full = f"`{schema_name}`.`{table_name}`"
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema_name}`")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema_name}`{placed}")
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {full}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
