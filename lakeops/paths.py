@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -15,11 +16,42 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _resolve(spark, path)
+    return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isFile()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _resolve(spark, path)
     return fs.delete(hadoop_path, True)
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless it exists; False when it does. One writer wins."""
+    fs, hadoop_path = _resolve(spark, path)
+    try:
+        stream = fs.create(hadoop_path, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a string."""
+    fs, hadoop_path = _resolve(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, one listing call; empty when the folder is missing."""
     fs, hadoop_path = _resolve(spark, path)

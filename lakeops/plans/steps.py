@@ -24,7 +24,7 @@ from lakeops.operators.writes import (
     ensure_tables,
     overwrite,
 )
-from lakeops.sources.control import order_steps, read_steps
+from lakeops.sources.control import order_steps, read_steps, step_order
 from lakeops.sources.snapshot import CommitResult, Lake, SnapshotTable, schema_of
 from lakeops.sources.statements import read_statement_library
 from lakeops.streaming.ingest import infer_stream_schema, ingest_files
@@ -93,10 +93,8 @@ def with_library_path(steps: DataFrame, numeric: bool = True) -> DataFrame:
     The window covers the steps of one task and layer, a handful of config rows.
     """
     details = _details(steps)
-    place = [F.col("emc_seq").try_cast("int"), F.col("emc_seq")] if numeric else [F.col("emc_seq")]
-    before = Window.partitionBy("emc_task_id", "emc_target_layer").orderBy(*place).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    in_task = Window.partitionBy("emc_task_id", "emc_target_layer").orderBy(*step_order(numeric))
+    before = in_task.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     loaded = F.when(F.upper("emc_func_type") == "SQLLOAD", detail(details, "sql_path"))
     return steps.withColumn("sql_path", F.last(loaded, ignorenulls=True).over(before))
 
@@ -163,7 +161,7 @@ def lake_sql(lake: Lake, text: str, args: Mapping[str, object] | None = None) ->
     the text is Spark SQL as it stands.
     """
     lowered = text.lower()
-    for name in sorted(lake.names(), key=len, reverse=True):
+    for name in sorted({*lake.names(), *lake.mounts}, key=len, reverse=True):
         if name not in lowered:
             continue
         pattern = re.compile(rf"(?<![\w.`]){re.escape(name)}(?![\w.`])", re.IGNORECASE)

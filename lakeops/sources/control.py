@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -173,11 +173,13 @@ def read_steps(config: DataFrame, task: str, layer: str, numeric: bool = True) -
     return order_steps(config.where(mine), numeric)
 
 
+def step_order(numeric: bool = True) -> list[Column]:
+    """Sort columns of the run order. The sequence is text; by default '2' comes before '10', else after it."""
+    return [F.col("emc_seq").try_cast("int"), F.col("emc_seq")] if numeric else [F.col("emc_seq")]
+
+
 def order_steps(steps: DataFrame, numeric: bool = True) -> DataFrame:
-    """Run order. The sequence is text; by default '2' comes before '10', with ``numeric=False`` after it."""
-    if numeric:
-        return steps.orderBy(F.col("emc_seq").try_cast("int"), "emc_seq")
-    return steps.orderBy("emc_seq")
+    return steps.orderBy(*step_order(numeric))
 
 
 def read_rules(rules: DataFrame, group_id: int | None = None) -> DataFrame:

@@ -1,14 +1,15 @@
 """Versioned Parquet tables: immutable commit folders plus one small log row per version.
 
 ``data/lk_commit=<version>-<token>/`` holds the files one commit wrote and is never changed afterwards.
-``log/v=<version>/`` holds one row: operation, metrics, schema and ``live``, the folders (or single files, where
+``log/<version>.json`` holds one row: operation, metrics, schema and ``live``, the folders (or single files, where
 only part of a folder is still current) that make up the table at that version. Reading a version is a plain
 ``spark.read.parquet`` over its live entries, so partition pruning, filter pushdown and column pruning are Spark's
-own. One writer per table at a time.
+own. A version file is created only when it does not exist, so of two writers the second fails and can try again.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import re
 import uuid
@@ -47,6 +48,10 @@ class ConstraintViolation(ValueError):
     """Rows break a table constraint; nothing was committed."""
 
 
+class CommitConflict(RuntimeError):
+    """Another writer committed first; the rows of this one are not part of the table."""
+
+
 class UnknownOperation(ValueError):
     """The operation is not one of the change-tracked writes."""
 
@@ -88,28 +93,42 @@ class SnapshotTable:
     # -- reading ---------------------------------------------------------------------------------------------
 
     def latest_version(self) -> int | None:
-        versions = [int(n[2:]) for n in paths.child_names(self.spark, self.log_dir) if n.startswith("v=")]
-        # A version counts once its writer finished; a folder without _SUCCESS is an unfinished commit.
-        for version in sorted(versions, reverse=True):
-            if paths.exists(self.spark, f"{self.log_dir}/v={version}/_SUCCESS"):
-                return version
-        return None
+        row = self._newest()
+        return None if row is None else row.version
 
     def exists(self) -> bool:
-        return self.latest_version() is not None
+        return any(name.endswith(".json") for name in paths.child_names(self.spark, self.log_dir))
+
+    def _log_file(self, version: int) -> str:
+        return f"{self.log_dir}/{version:012d}.json"
+
+    def _log_row(self, version: int) -> Row | None:
+        """One log row; None when its writer did not finish it."""
+        text = paths.read_text(self.spark, self._log_file(version))
+        return Row(**json.loads(text)) if text.endswith("\n") else None
+
+    def _newest(self) -> Row | None:
+        versions = [int(n[:-5]) for n in paths.child_names(self.spark, self.log_dir) if n.endswith(".json")]
+        for version in sorted(versions, reverse=True):
+            row = self._log_row(version)
+            if row is not None:
+                return row
+        return None
 
     def state(self, version: int | None = None) -> Row:
-        """The log row of one version (the newest by default); one file is read."""
-        wanted = self.latest_version() if version is None else version
-        if wanted is None:
-            raise ValueError(f"table {self.name} does not exist at {self.base}")
-        folder = f"{self.log_dir}/v={wanted}"
-        if not paths.exists(self.spark, f"{folder}/_SUCCESS"):
-            raise ValueError(f"table {self.name} has no version {wanted}")
-        return self.spark.read.schema(LOG_SCHEMA).parquet(folder).first()
+        """The log row of one version, the newest by default. One small file is read, no Spark job is run."""
+        if version is None:
+            row = self._newest()
+            if row is None:
+                raise ValueError(f"table {self.name} does not exist at {self.base}")
+            return row
+        row = self._log_row(version) if paths.exists(self.spark, self._log_file(version)) else None
+        if row is None:
+            raise ValueError(f"table {self.name} has no version {version}")
+        return row
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.log_dir}/v=*")
+        return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
 
     def history(self) -> DataFrame:
         """One row per version, newest first."""
@@ -120,7 +139,7 @@ class SnapshotTable:
         )
 
     def schema(self, state: Row | None = None) -> T.StructType:
-        return schema_of(state or self.state())
+        return schema_of(self.state() if state is None else state)
 
     def scan(self, entries: Sequence[str], schema: T.StructType, spark: SparkSession | None = None) -> DataFrame:
         """Raw file scan of some live entries; keeps Spark's hidden ``_metadata`` column reachable."""
@@ -139,7 +158,7 @@ class SnapshotTable:
 
     def live_files(self, state: Row | None = None) -> list[str]:
         """Entries of the single files of a version, listed from storage (no data is read)."""
-        state = state or self.state()
+        state = self.state() if state is None else state
         return self.files_below(state.live, schema_of(state))
 
     def files_below(self, entries: Sequence[str], schema: T.StructType) -> list[str]:
@@ -150,7 +169,7 @@ class SnapshotTable:
 
     def file_sizes(self, state: Row | None = None) -> DataFrame:
         """(entry, length) of every live file as a DataFrame; the contents are not read."""
-        state = state or self.state()
+        state = self.state() if state is None else state
         if not state.live:
             return self.spark.range(0).selectExpr("cast(null as string) AS entry", "cast(null as bigint) AS length")
         files = paths.list_files(self.spark, *[f"{self.data_dir}/{entry}" for entry in state.live])
@@ -238,25 +257,25 @@ class SnapshotTable:
         if operation not in OPERATION_METRICS and operation not in LAYOUT_OPERATIONS:
             raise UnknownOperation(f"cannot commit operation {operation!r}")
         version = prev_version + 1
-        row = (
-            version,
-            operation,
-            {k: int(v) for k, v in metrics.items()},
-            sorted(live),
-            definition.schema_json,
-            list(definition.partition_by or []),
-            list(definition.cluster_by or []),
-            dict(definition.constraints or {}),
-            dict(definition.properties or {}),
-            txn[0] if txn else None,
-            txn[1] if txn else None,
-        )
-        row_schema = LOG_SCHEMA.rsplit(",", 1)[0]
-        log_row = self.spark.createDataFrame([row], row_schema).withColumn("committed_at", F.current_timestamp())
-        folder = f"{self.log_dir}/v={version}"
-        if paths.exists(self.spark, f"{folder}/_SUCCESS"):
-            raise ValueError(f"{self.name}: version {version} was committed by another writer")
-        log_row.coalesce(1).write.mode("overwrite").parquet(folder)
+        row = {
+            "version": version,
+            "operation": operation,
+            "metrics": {k: int(v) for k, v in metrics.items()},
+            "live": sorted(live),
+            "schema_json": definition.schema_json,
+            "partition_by": list(definition.partition_by or []),
+            "cluster_by": list(definition.cluster_by or []),
+            "constraints": dict(definition.constraints or {}),
+            "properties": dict(definition.properties or {}),
+            "txn_app": txn[0] if txn else None,
+            "txn_id": txn[1] if txn else None,
+            "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+        }
+        path = self._log_file(version)
+        if paths.exists(self.spark, path) and self._log_row(version) is None:
+            paths.delete(self.spark, path)  # left behind by a writer that died
+        if not paths.write_new(self.spark, path, json.dumps(row) + "\n"):
+            raise CommitConflict(f"{self.name}: version {version} was committed by another writer")
         return CommitResult(operation, prev_version, version, dict(metrics))
 
 
@@ -271,6 +290,11 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.locations = {name.lower(): base.rstrip("/") for name, base in (locations or {}).items()}
+        self.mounts: dict[str, DataFrame] = {}
+
+    def mount(self, name: str, df: DataFrame) -> None:
+        """Give a frame that lives elsewhere a name steps can read."""
+        self.mounts[name.lower()] = df
 
     def table(self, name: str) -> SnapshotTable:
         parts = [part.strip().lower() for part in name.split(".") if part.strip()]
@@ -293,6 +317,8 @@ class Lake:
         return sorted(found)
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
+        if version is None and name.lower() in self.mounts:
+            return self.mounts[name.lower()]
         return self.table(name).read(version)
 
     def drop(self, name: str) -> bool:

@@ -23,25 +23,30 @@ from lakeops.sources.snapshot import CommitResult, SnapshotTable
 
 FORMATS = ("csv", "json", "parquet")
 STREAMING_WRITE = "STREAMING UPDATE"
+# The binaryFile source; only the path is selected, so no content is read.
+LISTING_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 # -- schema kept between runs --------------------------------------------------------------------------------------
 
 
+def _generations(spark: SparkSession, schema_loc: str) -> list[int]:
+    return sorted(int(n[:-5]) for n in paths.child_names(spark, schema_loc) if n.endswith(".json"))
+
+
 def stored_schema(spark: SparkSession, schema_loc: str) -> T.StructType | None:
     """The newest schema kept at a location."""
-    generations = [int(n[2:]) for n in paths.child_names(spark, schema_loc) if n.startswith("g=")]
-    for generation in sorted(generations, reverse=True):
-        folder = f"{schema_loc}/g={generation}"
-        if paths.exists(spark, f"{folder}/_SUCCESS"):
-            return T.StructType.fromJson(json.loads(spark.read.text(folder, wholetext=True).first()[0]))
+    for generation in reversed(_generations(spark, schema_loc)):
+        text = paths.read_text(spark, f"{schema_loc}/{generation:06d}.json")
+        if text.endswith("\n"):
+            return T.StructType.fromJson(json.loads(text))
     return None
 
 
 def store_schema(spark: SparkSession, schema_loc: str, schema: T.StructType) -> None:
-    generations = [int(n[2:]) for n in paths.child_names(spark, schema_loc) if n.startswith("g=")]
-    folder = f"{schema_loc}/g={max(generations, default=-1) + 1}"
-    spark.range(1).select(F.lit(schema.json()).alias("value")).coalesce(1).write.mode("overwrite").text(folder)
+    number = max(_generations(spark, schema_loc), default=-1) + 1
+    if not paths.write_new(spark, f"{schema_loc}/{number:06d}.json", schema.json() + "\n"):
+        raise RuntimeError(f"two runs keep their schema at {schema_loc}")
 
 
 # -- reading new files ---------------------------------------------------------------------------------------------
@@ -187,6 +192,11 @@ def _last_batch(target: SnapshotTable, app: str) -> int:
     return -1 if row[0] is None else row[0]
 
 
+def _stream_path(spark: SparkSession, src: str) -> str:
+    """A single file is named by a one-match pattern, because a streaming source wants folders or patterns."""
+    return f"{src[:-1]}[{src[-1]}]" if paths.is_file(spark, src) else src
+
+
 def ingest_files(
     spark: SparkSession,
     src: str,
@@ -228,8 +238,9 @@ def ingest_files(
 
     listing = (
         spark.readStream.format("binaryFile")
+        .schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", max_files)
-        .load(src)
+        .load(_stream_path(spark, src))
         .select("path")
     )
     query = (
