@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +68,12 @@ _STRING_BYTES = 6
 
 
 def _sortable(name: str, data_type: T.DataType) -> Column:
-    """A number that grows with the column, for layout only (long strings may tie)."""
+    """A number that grows with the column, 0 for NULL and NaN; for layout only (long strings may tie)."""
+    number = _as_number(name, data_type)
+    return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
+
+
+def _as_number(name: str, data_type: T.DataType) -> Column:
     col = F.col(f"`{name}`")
     if isinstance(data_type, T.StringType):
         # The first bytes of a string as one base-256 number.
@@ -82,14 +88,17 @@ def _sortable(name: str, data_type: T.DataType) -> Column:
     return col.cast("double")
 
 
-def _with_bucket(df: DataFrame, value: str, bounds: Sequence[float], bits: int, name: str) -> DataFrame:
-    """Add how many bounds lie at or below a value, by bisection: one comparison per bit and row."""
-    edges = F.lit([float(b) for b in bounds])
-    df = df.withColumn(name, F.lit(0))
-    for step in (1 << b for b in reversed(range(bits))):
-        further = F.col(name) + step
-        df = df.withColumn(name, F.when(F.col(value) >= F.element_at(edges, further), further).otherwise(F.col(name)))
-    return df
+def _with_buckets(df: DataFrame, bounds: dict[str, Sequence[float]], suffix: str) -> DataFrame:
+    """Add, per column, how many of its (distinct, sorted) bounds lie at or below the value."""
+    splits = [[-math.inf, *edges, math.inf] for edges in bounds.values()]
+    names = list(bounds)
+    out = [f"{name}{suffix}" for name in names]
+    # The bucketizer searches its splits in the JVM; values are never NULL or NaN here.
+    return Bucketizer(splitsArray=splits, inputCols=names, outputCols=out).transform(df)
+
+
+def _edges(quantiles: Sequence[float]) -> list[float]:
+    return sorted(set(quantiles))
 
 
 def z_value(buckets: Sequence[Column], bits: int) -> Column:
@@ -112,10 +121,10 @@ def zorder(
 ) -> CommitResult:
     """Rewrite the table so that rows close in all ``cols`` lie in the same files.
 
-    Each column is cut at its approximate quantiles (one scan for all columns), the bucket numbers are interleaved
-    and the rows range-partitioned by the result. The row's file and position break ties, so a Z-value that holds a
-    large part of the table is spread over several files; both are fixed, so a task that runs again picks the same
-    rows.
+    Each column is cut at its approximate quantiles (one pass over these columns), the bucket numbers are interleaved
+    and the rows spread over files by the rank of the result. The row's file and position break ties, so a Z-value
+    that holds a large part of the table lies in several files; both are fixed, so a task that runs again sends its
+    rows to the same places.
     """
     state = target.state()
     schema = schema_of(state)
@@ -124,7 +133,7 @@ def zorder(
         raise ValueError(f"Z-order columns not in the table: {', '.join(unknown) or 'none given'}")
     if not state.live:
         return target.commit(state.version, state, "OPTIMIZE", {"numFilesBefore": 0, "numFilesAfter": 0}, [])
-    bits = max(1, min(bits, 62 // len(cols)))
+    bits = max(1, min(bits, 52 // len(cols)))  # a Z-value stays exact as a double
     totals = target.file_sizes(state).agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
     ).first()
@@ -133,26 +142,55 @@ def zorder(
     scan = target.scan(state.live, schema)
     values = {f"lk_v{i}": _sortable(c, schema[c].dataType) for i, c in enumerate(cols)}
     steps = 1 << bits
-    quantiles = [i / steps for i in range(1, steps)]
-    bounds = scan.agg(*[F.percentile_approx(v, quantiles, 10_000).alias(c) for c, v in values.items()]).first()
-    placed = scan.select(
-        *[F.col(f"`{n}`") for n in schema.names],
-        *[v.alias(c) for c, v in values.items()],
-        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("lk_address"),
+    cuts = scan.select(*[v.alias(c) for c, v in values.items()]).approxQuantile(
+        list(values), [i / steps for i in range(1, steps)], 0.25 / steps
+    )
+    bounds = {c: _edges(edges) for c, edges in zip(values, cuts)}
+    placed = _with_buckets(
+        scan.select(
+            *[F.col(f"`{n}`") for n in schema.names],
+            *[v.alias(c) for c, v in values.items()],
+            F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("lk_address"),
+        ),
+        bounds,
+        "_bucket",
     )
-    buckets = []
-    for i, c in enumerate(values):
-        placed = _with_bucket(placed, c, bounds[c] or [0.0] * (steps - 1), bits, f"lk_b{i}")
-        buckets.append(F.col(f"lk_b{i}"))
-    placed = placed.select(*[F.col(f"`{n}`") for n in schema.names], z_value(buckets, bits).alias("lk_z"), "lk_address")
+    z = z_value([F.col(f"{c}_bucket") for c in values], bits)
     leading = list(state.partition_by or [])
-    spread = placed.repartitionByRange(n_files, *leading, "lk_z", "lk_address")
+    placed = placed.select(*[F.col(f"`{n}`") for n in schema.names], z.alias("lk_z"), "lk_address")
+    if leading:
+        # Files of a partitioned table belong to one partition value, so that comes first.
+        spread = placed.repartitionByRange(n_files, *leading, "lk_z", "lk_address")
+    else:
+        spread = _spread_by_rank(placed, "lk_z", "lk_address", n_files)
     entry, _ = target.write_folder(spread.sortWithinPartitions(*leading, "lk_z"), state, arranged=True)
     after = len(target.files_below([entry], schema))
     metrics = {"numFilesBefore": totals.files, "numFilesAfter": after}
     return target.commit(state.version, state, "OPTIMIZE", metrics, [entry])
 
 
+def _spread_by_rank(df: DataFrame, value: str, address: str, parts: int) -> DataFrame:
+    """Range-partition into parts of equal row count; a value that fills several parts is spread over them.
+
+    The bounds come from one pass over the columns ``value`` needs, where Spark's own range partitioning would run
+    the whole row through a second time to sample it.
+    """
+    if parts == 1:
+        return df.repartition(1)
+    number = df.select(F.col(value).cast("double").alias("v"))
+    (cuts,) = number.approxQuantile(["v"], [i / parts for i in range(1, parts)], 0.1 / parts)
+    edges = _edges(cuts)
+    # Of the parts - 1 cuts, how many lie at or below the k-th distinct one.
+    upto = F.lit([0, *[sum(c <= e for c in cuts) for e in edges]])
+    ranked = _with_buckets(df.withColumn("lk_n", F.col(value).cast("double")), {"lk_n": edges}, "_rank")
+    rank = F.col("lk_n_rank").cast("int")
+    last = F.get(upto, rank)
+    on_cut = F.get(F.lit([-1.0, *edges]), rank) == F.col("lk_n")
+    first = F.when(on_cut, F.get(upto, rank - 1)).otherwise(last)
+    part = first + F.pmod(F.col(address), (last - first + 1).cast("bigint")).cast("int")
+    return ranked.withColumn("lk_part", part).repartitionById(parts, F.col("lk_part"))
+
+
 # -- vacuum --------------------------------------------------------------------------------------------------------
 
 
