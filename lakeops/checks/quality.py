@@ -18,6 +18,7 @@ from lakeops.operators.quality import (
     violation_counts,
     violations,
 )
+from lakeops.sources.control import retention_rules
 
 
 def step_config(spark, sf):
@@ -59,6 +60,7 @@ def step_config(spark, sf):
         details.alias("emc_func_dtls"),
         F.when(size > 20, F.concat(F.lit("dev.gold."), "p_name")).alias("emc_target"),
         F.when(size > 25, "APPEND").when(size > 5, "OVERWRITE").when(size > 1, "").alias("emc_out_mode"),
+        F.when(size % 4 > 0, size % 4 * 3).alias("emc_table_retention"),
         F.when(F.col("p_retailprice") > 905, "Y").otherwise("N").alias("emc_active"),
     )
 
@@ -69,6 +71,7 @@ STEP_CONFIG_SQL = """SELECT p_partkey AS emc_id, upper(p_brand) AS emc_task_id,
     WHEN 'PROMO' THEN 'NOTEBOOK' WHEN 'LARGE' THEN 'Notebook' ELSE 'BRONZE' END AS emc_func_type,
   CASE WHEN p_size > 20 THEN 'dev.gold.' || p_name END AS emc_target,
   CASE WHEN p_size > 25 THEN 'APPEND' WHEN p_size > 5 THEN 'OVERWRITE' WHEN p_size > 1 THEN '' END AS emc_out_mode,
+  CASE WHEN p_size % 4 > 0 THEN p_size % 4 * 3 END AS emc_table_retention,
   CASE WHEN p_retailprice > 905 THEN 'Y' ELSE 'N' END AS emc_active, p_size, p_name, p_brand FROM part"""
 
 
@@ -88,6 +91,18 @@ def dq_step_details(spark, sf):
     return check_steps(step_config(spark, sf))
 
 
+@check(
+    "retention_rules",
+    f"""SELECT min(emc_id) AS tmc_id, 'I' AS tmc_inc_excl_flag, 'MONTHLY' AS tmc_freq, lower(emc_target) AS tmc_name,
+          max(emc_table_retention) * 730 AS tmc_vac_retention_hours FROM ({STEP_CONFIG_SQL})
+        WHERE emc_active = 'Y' AND emc_table_retention IS NOT NULL AND emc_target IS NOT NULL
+        GROUP BY lower(emc_target)""",
+)
+def retention_of_targets(spark, sf):
+    rules = retention_rules(step_config(spark, sf))
+    return rules.select("tmc_id", "tmc_inc_excl_flag", "tmc_freq", "tmc_name", "tmc_vac_retention_hours")
+
+
 @check(
     "dq_allowed",
     f"""SELECT emc_id, rule FROM (

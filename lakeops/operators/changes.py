@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops import paths
 from lakeops.operators.landing import landed
 from lakeops.sources.snapshot import _ENTRY_PATTERN, CommitResult, SnapshotTable, schema_of
 
@@ -136,9 +137,16 @@ def merge(
     join, which adaptive execution can cut at a hot key, and its keys are made distinct (with map-side combine)
     before they meet the source in the anti join. A full outer join could not be cut.
     """
+    source, landed_at = landed(source, "merge-source")
+    try:
+        return _merge_landed(target, source, keys, update, insert, delete_when, update_when)
+    finally:
+        paths.delete(target.spark, landed_at)
+
+
+def _merge_landed(target, source, keys, update, insert, delete_when, update_when) -> CommitResult:
     state = target.state()
     schema = schema_of(state)
-    source = landed(source, "merge-source")
     repeated = source.where(~_any_null(keys)).groupBy(*keys).count().where("count > 1")
     if repeated.take(1):
         raise DuplicateMergeKeys(f"{target.name}: merge source repeats a key of ({', '.join(keys)})")

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from lakeops.session import scratch_path
 
 
-def landed(df: DataFrame, label: str = "landed") -> DataFrame:
-    """The same rows read back from Parquet in the shared folder.
+def landed(df: DataFrame, label: str = "landed") -> tuple[DataFrame, str]:
+    """The same rows read back from Parquet in the shared folder, and the path to delete when they are used up.
 
     Used where a frame feeds several jobs: they all see the same rows, and a lost executor costs a re-read of files
     instead of the whole lineage.
@@ -16,4 +16,4 @@ def landed(df: DataFrame, label: str = "landed") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path

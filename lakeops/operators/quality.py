@@ -12,7 +12,7 @@ from lakeops.functions.params import detail, has_detail
 from lakeops.operators.landing import landed
 from lakeops.operators.writes import append
 from lakeops.session import scratch_path
-from lakeops.sources.snapshot import CommitResult, SnapshotTable
+from lakeops.sources.snapshot import CommitResult, ConstraintViolation, SnapshotTable
 
 # A check is a condition that is true on a broken row.
 
@@ -79,12 +79,17 @@ def gate(df: DataFrame, checks: Mapping[str, Column], on_fail: str = "raise") ->
 def append_gated(
     df: DataFrame, target: SnapshotTable, checks: Mapping[str, Column], quarantine: SnapshotTable | None = None
 ) -> tuple[CommitResult, CommitResult | None]:
-    """Append good rows; broken rows go to the quarantine table, or fail the append when there is none."""
-    good, bad = gate(df, checks, "quarantine" if quarantine is not None else "raise")
-    result = append(good, target)
+    """Append good rows; broken rows go to the quarantine table, or fail the append when there is none.
+
+    Without a quarantine table the checks ride on the write, so the rows are read once.
+    """
     if quarantine is None:
-        return result, None
-    return result, append(bad, quarantine, merge_schema=True)
+        try:
+            return append(df, target, checks=checks), None
+        except ConstraintViolation as broken:
+            raise QualityGateFailed(str(broken)) from broken
+    good, bad = gate(df, checks, "quarantine")
+    return append(good, target), append(bad, quarantine, merge_schema=True)
 
 
 def check_steps(config: DataFrame) -> DataFrame:
@@ -133,7 +138,7 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 0, order: Sequence[str]
     """
     spark = df.sparkSession
     columns = df.columns
-    rows = landed(df, "ids-input")
+    rows, _ = landed(df, "ids-input")
     if order:
         address = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         keyed = rows.select(*columns, address.alias("lk_address"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops import paths
+from lakeops.operators.landing import landed
 from lakeops.sources.snapshot import CommitResult, SnapshotTable, entry_of, schema_of
 
 DEFAULT_TARGET_BYTES = 512 << 20
@@ -237,19 +239,21 @@ def vacuum(
     candidates = vacuum_candidates(stored_files(target), target.log(), F.lit(moment))
     if dry_run:
         return candidates, 0
-    folder = F.substring_index("entry", "/", 1).alias("folder")
-    stored = stored_files(target).groupBy(folder).agg(F.count(F.lit(1)).alias("stored"))
-    dead = candidates.groupBy(folder).agg(F.count(F.lit(1)).alias("dead"), F.collect_list("entry").alias("entries"))
-    # A folder without any file in use goes as a whole, one call instead of one per file.
-    rows = dead.join(stored, "folder").select(
-        "dead", F.when(F.col("dead") == F.col("stored"), F.array("folder")).otherwise(F.col("entries")).alias("gone")
+    # The list is fixed first: it must not change while files disappear.
+    listed, listed_at = landed(candidates.withColumn("folder", F.substring_index("entry", "/", 1)), "vacuum")
+    stored = stored_files(target).groupBy(F.substring_index("entry", "/", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("stored")
     )
-    removed, doomed = 0, []
-    for row in rows.collect():
-        removed += row.dead
-        doomed += row.gone
+    dead = listed.groupBy("folder").agg(F.count(F.lit(1)).alias("dead")).join(stored, "folder")
+    # A folder without any file in use goes as a whole, one call instead of one per file.
+    whole = dead.where("dead = stored").select("folder")
+    single = listed.join(dead.where("dead < stored").select("folder"), "folder", "left_semi").select("entry")
+    removed = listed.count()
     with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(lambda entry: paths.delete(spark, f"{target.data_dir}/{entry}"), doomed))
+        doomed = whole.unionByName(single.withColumnRenamed("entry", "folder")).toLocalIterator()
+        while batch := list(islice(doomed, 1000)):
+            list(pool.map(lambda row: paths.delete(spark, f"{target.data_dir}/{row.folder}"), batch))
+    paths.delete(spark, listed_at)
     return candidates, removed
 
 

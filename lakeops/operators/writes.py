@@ -39,11 +39,15 @@ def append(
     merge_schema: bool = False,
     operation: str = "WRITE",
     txn: tuple[str, int] | None = None,
+    checks: Mapping[str, Column] | None = None,
 ) -> CommitResult:
-    """Add rows, columns matched by name; columns the frame lacks become NULL."""
+    """Add rows, columns matched by name; columns the frame lacks become NULL.
+
+    ``checks`` are counted while the rows are written; when one fires nothing is committed.
+    """
     state = target.state()
     fitted, state = _fit(df, state, merge_schema)
-    entry, counts = target.write_folder(fitted, state)
+    entry, counts = target.write_folder(fitted, state, checks=checks)
     live = [*state.live, entry] if counts["rows_written"] else list(state.live)
     return target.commit(state.version, state, operation, {"numOutputRows": counts["rows_written"]}, live, txn)
 

@@ -214,17 +214,18 @@ def maintenance_plan(
 
 def plan_summary(rules: DataFrame, inventory: DataFrame, run_date: Column, **when) -> DataFrame:
     """One row: active_rules, invalid_names, candidate_tables, due_tables."""
-    parsed = parse_rules(rules)
-    counts = parsed.agg(
-        F.count(F.lit(1)).alias("active_rules"),
-        F.count_if(F.col("object_type") == "INVALID").alias("invalid_names"),
+    names = ("active_rules", "invalid_names", "candidate_tables", "due_tables")
+
+    def tallied(df: DataFrame, **flags: Column) -> DataFrame:
+        return df.select(*[flags.get(name, F.lit(False)).cast("bigint").alias(name) for name in names])
+
+    of_rules = tallied(
+        parse_rules(rules), active_rules=F.lit(True), invalid_names=F.col("object_type") == "INVALID"
     )
-    tables = selected_tables(rules, inventory, run_date, **when).agg(
-        F.count(F.lit(1)).alias("candidate_tables"), F.count_if("is_due").alias("due_tables")
+    of_tables = tallied(
+        selected_tables(rules, inventory, run_date, **when), candidate_tables=F.lit(True), due_tables=F.col("is_due")
     )
-    # Two one-row frames side by side.
-    side = [f.withColumn("lk_one", F.lit(1)) for f in (counts, tables)]
-    return side[0].join(side[1], "lk_one").drop("lk_one")
+    return of_rules.unionByName(of_tables).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def plan_events(rules: DataFrame, inventory: DataFrame, due_tables: DataFrame) -> DataFrame:

@@ -16,18 +16,11 @@ from lakeops.functions.params import detail, merge_params, params_map, render
 from lakeops.operators.audit import log_load
 from lakeops.operators.changes import delete_where, merge, update_where
 from lakeops.operators.quality import with_step_problem
-from lakeops.operators.writes import (
-    TableSpec,
-    append,
-    append_by_name,
-    append_select,
-    ensure_tables,
-    overwrite,
-)
+from lakeops.operators.writes import append, append_by_name, append_select, overwrite
 from lakeops.sources.control import order_steps, read_steps, step_order
 from lakeops.sources.snapshot import CommitResult, Lake, SnapshotTable, schema_of
 from lakeops.sources.statements import read_statement_library
-from lakeops.streaming.ingest import infer_stream_schema, ingest_files
+from lakeops.streaming.ingest import ingest_files
 
 Job = Callable[["RunContext", Mapping[str, str]], "DataFrame | CommitResult | Sequence[CommitResult] | None"]
 _JOBS: dict[str, Job] = {}
@@ -388,14 +381,10 @@ def ingest_job(ctx: RunContext, params: Mapping[str, str]) -> Sequence[CommitRes
     infer_types = str(params.get("inferColumnTypes", "false")).lower() == "true"
     if params.get("outputMode", "append") != "append":
         raise StepFailed("file ingest appends; use stream_aggregate for a complete result")
-    name = params["emc_target"]
-    if not ctx.lake.exists(name):
-        schema = infer_stream_schema(ctx.spark, params["source_path"], fmt, infer_types, None, header)
-        ensure_tables(ctx.lake, [TableSpec(name, schema)])
     return ingest_files(
         ctx.spark,
         params["source_path"],
-        ctx.lake.table(name),
+        ctx.lake.table(params["emc_target"]),
         params["checkpoint"],
         fmt,
         params.get("schemaLocation"),

@@ -186,3 +186,36 @@ def read_rules(rules: DataFrame, group_id: int | None = None) -> DataFrame:
     """Active maintenance rules, of one group when given."""
     active = rules.where("tmc_active_flag = 'Y'")
     return active if group_id is None else active.where(F.col("tmc_group_id") == group_id)
+
+
+HOURS_PER_MONTH = 730
+
+
+def retention_rules(config: DataFrame, freq: str = "MONTHLY") -> DataFrame:
+    """Maintenance rules for the targets of active steps that name a retention (months), one per target.
+
+    The longest retention of a target counts. Union them with the control table's rules to have the retention of the
+    step table drive the vacuum.
+    """
+    kept = config.where("emc_active = 'Y' AND emc_table_retention IS NOT NULL AND trim(emc_target) <> ''")
+    longest = kept.groupBy(F.lower(F.trim("emc_target")).alias("tmc_name")).agg(
+        F.min("emc_id").alias("tmc_id"), F.max("emc_table_retention").alias("months")
+    )
+    values = {
+        "tmc_id": F.col("tmc_id"),
+        "tmc_inc_excl_flag": F.lit("I"),
+        "tmc_freq": F.lit(freq),
+        "tmc_name": F.col("tmc_name"),
+        "tmc_vac_retention_hours": F.col("months") * HOURS_PER_MONTH,
+        "tmc_active_flag": F.lit("Y"),
+    }
+    return longest.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RULES_SCHEMA.fields]
+    )
+
+
+def storage_locations(config: DataFrame) -> dict[str, str]:
+    """Root folder of each target that names one, for ``Lake(locations=...)``; a few config rows are collected."""
+    placed = config.where("trim(emc_target_storage_loc) <> '' AND trim(emc_target) <> ''")
+    rows = placed.select(F.lower(F.trim("emc_target")).alias("t"), F.trim("emc_target_storage_loc").alias("p"))
+    return {row.t: row.p for row in rows.distinct().collect()}

@@ -17,7 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ _ENTRY_PATTERN = rf"({COMMIT_KEY}=[^/]+(?:/.*)?)$"
 LOG_SCHEMA = (
     "version BIGINT, operation STRING, metrics MAP<STRING,BIGINT>, live ARRAY<STRING>, schema_json STRING, "
     "partition_by ARRAY<STRING>, cluster_by ARRAY<STRING>, constraints MAP<STRING,STRING>, "
-    "properties MAP<STRING,STRING>, txn_app STRING, txn_id BIGINT, committed_at TIMESTAMP"
+    "properties MAP<STRING,STRING>, batches MAP<STRING,BIGINT>, committed_at TIMESTAMP"
 )
 
 # Operation names and the metric each one reports as inserted, updated and deleted rows.
@@ -197,6 +197,7 @@ class SnapshotTable:
             cluster_by=list(cluster_by),
             constraints=dict(constraints or {}),
             properties=dict(properties or {}),
+            batches={},
         )
         operation = "CREATE TABLE" if latest is None else "REPLACE TABLE"
         return self.commit(latest if latest is not None else -1, definition, operation, {}, [])
@@ -208,11 +209,13 @@ class SnapshotTable:
         counts: Mapping[str, object] | None = None,
         cut=None,
         arranged: bool = False,
+        checks: Mapping[str, Column] | None = None,
     ) -> tuple[str, dict]:
         """Write one new commit folder and return its entry with the counts taken on the way.
 
         ``counts`` are aggregates over ``df``; ``cut`` drops rows after they were counted; ``arranged`` says that the
-        frame is already laid out for the partition columns. The counts and the
+        frame is already laid out for the partition columns; ``checks`` are conditions that are true on a broken row,
+        as constraints are the other way round. The counts and the
         constraint checks ride on the write itself, in its last stage, where Spark counts each task once even when
         lost executors make it run again.
         """
@@ -220,24 +223,24 @@ class SnapshotTable:
         if partition_by and not arranged:
             # Adaptive execution cuts an oversized partition value into several tasks.
             df = df.hint("rebalance", *partition_by)
-        constraints = dict(state.constraints or {})
+        broken = {
+            name: ~F.coalesce(F.expr(rule), F.lit(True)) for name, rule in dict(state.constraints or {}).items()
+        }
+        broken.update({name: F.coalesce(rule, F.lit(False)) for name, rule in (checks or {}).items()})
         before = Observation(f"before-{uuid.uuid4().hex}") if counts else None
         after = Observation(f"after-{uuid.uuid4().hex}")
         if before is not None:
             df = df.observe(before, *[expr.alias(name) for name, expr in counts.items()])
         kept = df if cut is None else df.where(cut)
-        broken = [
-            F.count_if(~F.coalesce(F.expr(rule), F.lit(True))).alias(f"broken_{i}")
-            for i, rule in enumerate(constraints.values())
-        ]
-        kept = kept.observe(after, F.count(F.lit(1)).alias("rows_written"), *broken)
+        tallies = [F.count_if(rule).alias(f"broken_{i}") for i, rule in enumerate(broken.values())]
+        kept = kept.observe(after, F.count(F.lit(1)).alias("rows_written"), *tallies)
         kept = kept.select(*[F.col(f"`{name}`") for name in schema_of(state).names])
         entry = f"{COMMIT_KEY}={state.version + 1}-{uuid.uuid4().hex[:8]}"
         kept.write.partitionBy(*partition_by).parquet(f"{self.data_dir}/{entry}")
         taken = {**after.get, **(before.get if before is not None else {})}
         failed = [
             f"{name} ({taken[f'broken_{i}']} rows)"
-            for i, name in enumerate(constraints)
+            for i, name in enumerate(broken)
             if taken.get(f"broken_{i}", 0)
         ]
         if failed:
@@ -267,8 +270,7 @@ class SnapshotTable:
             "cluster_by": list(definition.cluster_by or []),
             "constraints": dict(definition.constraints or {}),
             "properties": dict(definition.properties or {}),
-            "txn_app": txn[0] if txn else None,
-            "txn_id": txn[1] if txn else None,
+            "batches": {**(definition.batches or {}), **({txn[0]: txn[1]} if txn else {})},
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         path = self._log_file(version)

@@ -76,12 +76,17 @@ def _decoded(uri: str) -> str:
 
 
 def _group_by_header(
-    spark: SparkSession, files: Sequence[str], encoding: str | None
+    spark: SparkSession, sources: Sequence[str], encoding: str | None
 ) -> list[tuple[str, list[str]]]:
+    """(one file as example, sources) per distinct header; file names are listed only when headers differ."""
+    headers = csv_headers(spark, sources, encoding)
+    kinds = headers.groupBy("header").agg(F.min("file").alias("example")).orderBy("header").collect()
+    if len(kinds) == 1:
+        return [(_decoded(kinds[0].example), list(sources))]
     groups: dict[str, list[str]] = {}
-    for row in csv_headers(spark, files, encoding).collect():
+    for row in headers.collect():
         groups.setdefault(row.header, []).append(_decoded(row.file))
-    return sorted(groups.items())
+    return [(_decoded(kind.example), groups[kind.header]) for kind in kinds]
 
 
 def _retype(names: Sequence[str], known: T.StructType | None, inferred: T.StructType | None) -> T.StructType:
@@ -138,10 +143,10 @@ def read_new_files(
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
 
     csv_opts = {**opts, "header": str(bool(header)).lower()}
-    groups = _group_by_header(spark, files, opts.get("encoding")) if header else [("", list(files))]
+    groups = _group_by_header(spark, files, opts.get("encoding")) if header else [(files[0], list(files))]
     merged, frames = known, []
-    for _, members in groups:
-        names = spark.read.options(**csv_opts).csv(members[0]).columns
+    for example, members in groups:
+        names = spark.read.options(**csv_opts).csv(example).columns
         have = {n.lower() for n in (merged.names if merged else [])}
         inferred = None
         if infer_types and any(n.lower() not in have for n in names):
@@ -173,12 +178,11 @@ def infer_stream_schema(
 ) -> T.StructType:
     """Schema of the files of a folder merged into the kept one, which is updated."""
     known = stored_schema(spark, schema_loc) if schema_loc else None
-    files = [_decoded(row.path) for row in paths.list_files(spark, src).select("path").collect()]
-    if not files:
+    if paths.list_files(spark, src).isEmpty():
         if known is None:
             raise ValueError(f"no files at {src} and no kept schema")
         return known
-    _, merged = read_new_files(spark, files, fmt, known, header, infer_types, options=options)
+    _, merged = read_new_files(spark, [src], fmt, known, header, infer_types, options=options)
     if schema_loc and merged != known:
         store_schema(spark, schema_loc, merged)
     return merged
@@ -188,8 +192,8 @@ def infer_stream_schema(
 
 
 def _last_batch(target: SnapshotTable, app: str) -> int:
-    row = target.log().where(F.col("txn_app") == app).agg(F.max("txn_id")).first()
-    return -1 if row[0] is None else row[0]
+    """The newest micro-batch of a stream the table holds; every version carries this on."""
+    return target.state().batches.get(app, -1) if target.exists() else -1
 
 
 def _stream_path(spark: SparkSession, src: str) -> str:
@@ -212,6 +216,8 @@ def ingest_files(
 ) -> list[CommitResult]:
     """Load the files that were not loaded before, then stop. One commit per micro-batch.
 
+    The first batch creates the target where it does not exist.
+
     A batch that is replayed after a crash is recognised by its id in the table's log and skipped. ``max_files`` sets
     the size of one micro-batch, not of the run: all new files are loaded.
     """
@@ -234,6 +240,8 @@ def ingest_files(
         if merged != known:
             store_schema(session, kept_at, merged)
         table = SnapshotTable(session, target.base, target.name)
+        if not table.exists():
+            table.create(merged)
         results.append(append(rows, table, merge_schema, STREAMING_WRITE, (app, batch_id)))
 
     listing = (

@@ -220,3 +220,19 @@ def test_lake_sql_takes_named_values(demo):
     lake, _ = demo
     text = "SELECT count(*) AS n FROM dev_etl.bronze.test t WHERE t.test_country = :c"
     assert lake_sql(lake, text, {"c": "UK"}).first().n == 4
+
+
+def test_storage_location_places_the_target(spark, scratch):
+    from lakeops.sources.control import storage_locations
+    from lakeops.sources.snapshot import Lake
+
+    elsewhere = scratch("elsewhere")
+    config = rows_df(
+        spark,
+        [("D.s.far", f" {elsewhere} "), ("d.s.near", ""), (None, elsewhere)],
+        "emc_target STRING, emc_target_storage_loc STRING",
+    )
+    lake = Lake(spark, scratch("root"), storage_locations(config))
+    assert lake.locations == {"d.s.far": elsewhere}
+    assert lake.table("d.s.far").base.startswith(elsewhere)
+    assert not lake.table("d.s.near").base.startswith(elsewhere)
