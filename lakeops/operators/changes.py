@@ -60,7 +60,8 @@ def delete_where(target: SnapshotTable, condition: str | Column | None = None) -
         return target.commit(state.version, state, "DELETE", {"numDeletedRows": 0}, state.live)
     doomed = F.coalesce(hit, F.lit(False))
     rows = target.read_entries(touched, schema_of(state))
-    entry, counts = target.write_folder(rows, state, {"deleted": F.count_if(doomed)}, cut=~doomed)
+    # The scan reads the rows partition by partition already: rewriting them needs no shuffle.
+    entry, counts = target.write_folder(rows, state, {"deleted": F.count_if(doomed)}, cut=~doomed, arranged=True)
     live = _untouched(target, state, touched) + ([entry] if counts["rows_written"] else [])
     return target.commit(state.version, state, "DELETE", {"numDeletedRows": counts["deleted"]}, live)
 
@@ -92,7 +93,8 @@ def update_where(
             for f in schema.fields
         ],
     )
-    entry, counts = target.write_folder(rows, state, {"updated": F.count_if(F.col(tag))})
+    moves = any(name.lower() in new_values for name in state.partition_by or [])
+    entry, counts = target.write_folder(rows, state, {"updated": F.count_if(F.col(tag))}, arranged=not moves)
     live = [*_untouched(target, state, touched), entry]
     return target.commit(state.version, state, "UPDATE", {"numUpdatedRows": counts["updated"]}, live)
 

@@ -43,8 +43,7 @@ def with_broken_rules(df: DataFrame, checks: Mapping[str, Column], name: str = "
 
 def violations(df: DataFrame, checks: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
     """One row per broken rule and row: the kept columns plus ``rule``."""
-    flagged = with_broken_rules(df, checks, "lk_rules").where(F.size("lk_rules") > 0)
-    return flagged.select(*keep, F.explode("lk_rules").alias("rule"))
+    return with_broken_rules(df, checks, "lk_rules").select(*keep, F.explode("lk_rules").alias("rule"))
 
 
 def violation_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:

@@ -31,36 +31,33 @@ class RetentionTooShort(ValueError):
 def compact(target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES) -> CommitResult:
     """Rewrite files smaller than three quarters of the target into files of about the target size.
 
-    Rows stay as they are and large files are not touched. Without partition columns there is no shuffle: Spark packs
+    Rows stay as they are and large files are not touched. A plain table is rewritten without a shuffle: Spark packs
     small files into scan tasks of the target size and each task writes one file. With partition columns the rows are
-    rebalanced by them, so that a file holds one partition value.
+    rebalanced by them, so that a file holds one partition value; with clustering columns equal keys come together.
     """
     state = target.state()
     schema = schema_of(state)
     sizes = target.file_sizes(state)
-    totals = sizes.agg(
-        F.count(F.lit(1)).alias("files"), F.count_if(F.col("length") < target_bytes * 3 // 4).alias("small")
-    ).first()
-    small = (
-        sorted(row.entry for row in sizes.where(F.col("length") < target_bytes * 3 // 4).select("entry").collect())
-        if totals.small > 1
-        else []
-    )
-    if not small:
-        metrics = {"numFilesBefore": totals.files, "numFilesAfter": totals.files}
+    files = sizes.count()
+    small_rows = sizes.where(F.col("length") < target_bytes * 3 // 4).collect()
+    small = {row.entry for row in small_rows}
+    if len(small) < 2:
+        metrics = {"numFilesBefore": files, "numFilesAfter": files}
         return target.commit(state.version, state, "OPTIMIZE", metrics, state.live)
-    small_set = set(small)
-    small_bytes = sizes.where(F.col("length") < target_bytes * 3 // 4).agg(F.sum("length")).first()[0]
+    tasks = max(1, math.ceil(sum(row.length for row in small_rows) / target_bytes))
     packed = target.spark.newSession()
     packed.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packed.conf.set("spark.sql.files.openCostInBytes", "0")
-    packed.conf.set("spark.sql.files.minPartitionNum", str(max(1, math.ceil(small_bytes / target_bytes))))
+    packed.conf.set("spark.sql.files.minPartitionNum", str(tasks))
     packed.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = target.scan(small, schema, packed).select(*[F.col(f"`{n}`") for n in schema.names])
-    entry, _ = target.write_folder(rows, state)
-    large = [e for e in target.live_files(state) if e not in small_set]
+    rows = target.scan(sorted(small), schema, packed).select(*[F.col(f"`{n}`") for n in schema.names])
+    clustered = bool(state.cluster_by) and not state.partition_by
+    if clustered:
+        rows = rows.hint("rebalance", *state.cluster_by).sortWithinPartitions(*state.cluster_by)
+    entry, _ = target.write_folder(rows, state, arranged=clustered)
+    large = [e for e in target.live_files(state) if e not in small]
     after = len(large) + len(target.files_below([entry], schema))
-    metrics = {"numFilesBefore": totals.files, "numFilesAfter": after}
+    metrics = {"numFilesBefore": files, "numFilesAfter": after}
     return target.commit(state.version, state, "OPTIMIZE", metrics, [*large, entry])
 
 

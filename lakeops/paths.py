@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,11 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def literal(path: str) -> str:
+    """A path Spark's readers take as it is, also with characters that would make it a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _resolve(spark, path)
     return fs.exists(hadoop_path)
@@ -52,6 +59,23 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8", comment: str | None = None) -> str:
+    """First line of a text file that is not blank and no comment; only the start of the file is read."""
+    fs, hadoop_path = _resolve(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    try:
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, encoding))
+        line = reader.readLine()
+        while line is not None and (not line.strip() or (comment and line.startswith(comment))):
+            line = reader.readLine()
+        return line or ""
+    finally:
+        stream.close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, one listing call; empty when the folder is missing."""
     fs, hadoop_path = _resolve(spark, path)

@@ -144,7 +144,7 @@ class SnapshotTable:
     def scan(self, entries: Sequence[str], schema: T.StructType, spark: SparkSession | None = None) -> DataFrame:
         """Raw file scan of some live entries; keeps Spark's hidden ``_metadata`` column reachable."""
         reader = (spark or self.spark).read.schema(schema).option("basePath", self.data_dir)
-        return reader.parquet(*[f"{self.data_dir}/{entry}" for entry in entries])
+        return reader.parquet(*[f"{self.data_dir}/{paths.literal(entry)}" for entry in entries])
 
     def read(self, version: int | None = None) -> DataFrame:
         state = self.state(version)
@@ -172,7 +172,7 @@ class SnapshotTable:
         state = self.state() if state is None else state
         if not state.live:
             return self.spark.range(0).selectExpr("cast(null as string) AS entry", "cast(null as bigint) AS length")
-        files = paths.list_files(self.spark, *[f"{self.data_dir}/{entry}" for entry in state.live])
+        files = paths.list_files(self.spark, *[f"{self.data_dir}/{paths.literal(entry)}" for entry in state.live])
         return files.where(F.col("path").endswith(".parquet")).select(entry_of(F.col("path")).alias("entry"), "length")
 
     # -- writing ---------------------------------------------------------------------------------------------

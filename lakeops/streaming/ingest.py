@@ -8,9 +8,9 @@ a CSV stream with one fixed schema cannot do: it maps columns by position.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,41 +52,26 @@ def store_schema(spark: SparkSession, schema_loc: str, schema: T.StructType) ->
 # -- reading new files ---------------------------------------------------------------------------------------------
 
 
-def _first_lines(batches: Iterator) -> Iterator:
-    """First row of a partition; the rest of the file is not pulled."""
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
-def csv_headers(spark: SparkSession, files: Sequence[str], encoding: str | None = None) -> DataFrame:
-    """(file, header) per CSV file: one task per file that stops after the first line."""
-    whole_files = spark.newSession()
-    # A packing cost as large as a partition puts every file in a partition of its own, unsplit.
-    whole_files.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 45))
-    whole_files.conf.set("spark.sql.files.openCostInBytes", str(1 << 45))
-    reader = whole_files.read if encoding is None else whole_files.read.option("encoding", encoding)
-    lines = reader.text(list(files)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"))
-    return lines.mapInArrow(_first_lines, "file string, header string")
+def csv_headers(spark: SparkSession, files: Sequence[str], options: Mapping[str, str] | None = None) -> list[str]:
+    """Header line of each CSV file.
 
-
-def _decoded(uri: str) -> str:
-    return unquote(uri)
+    The driver opens the files side by side and reads their first block. A Spark scan would read every file to its
+    end for it, and a micro-batch has a bounded number of files.
+    """
+    opts = dict(options or {})
+    encoding, comment = opts.get("encoding", "UTF-8"), opts.get("comment")
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        return list(pool.map(lambda f: paths.first_line(spark, f, encoding, comment), files))
 
 
 def _group_by_header(
-    spark: SparkSession, sources: Sequence[str], encoding: str | None
+    spark: SparkSession, files: Sequence[str], options: Mapping[str, str]
 ) -> list[tuple[str, list[str]]]:
-    """(one file as example, sources) per distinct header; file names are listed only when headers differ."""
-    headers = csv_headers(spark, sources, encoding)
-    kinds = headers.groupBy("header").agg(F.min("file").alias("example")).orderBy("header").collect()
-    if len(kinds) == 1:
-        return [(_decoded(kinds[0].example), list(sources))]
+    """Files with the same header, as (header, files)."""
     groups: dict[str, list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault(row.header, []).append(_decoded(row.file))
-    return [(_decoded(kind.example), groups[kind.header]) for kind in kinds]
+    for file, header in zip(files, csv_headers(spark, files, options)):
+        groups.setdefault(header, []).append(file)
+    return sorted(groups.items())
 
 
 def _retype(names: Sequence[str], known: T.StructType | None, inferred: T.StructType | None) -> T.StructType:
@@ -123,30 +108,32 @@ def read_new_files(
     the known schema as it is, without a pass that looks for new fields.
     """
     opts = {"mode": "FAILFAST", **dict(options or {})}
+    named = [paths.literal(file) for file in files]
     if fmt == "parquet":
-        found = spark.read.option("mergeSchema", "true").parquet(*files).schema
+        found = spark.read.option("mergeSchema", "true").parquet(*named).schema
         merged = found if known is None else merge_schemas(known, found)
         _refuse_growth(known, merged, evolve)
-        return spark.read.schema(merged).parquet(*files), merged
+        return spark.read.schema(merged).parquet(*named), merged
     if fmt == "json":
         if known is not None and not evolve:
-            return spark.read.schema(known).options(**opts).json(list(files)), known
+            return spark.read.schema(known).options(**opts).json(named), known
         as_text = "false" if infer_types else "true"
-        found = spark.read.options(**opts).option("primitivesAsString", as_text).json(list(files)).schema
+        found = spark.read.options(**opts).option("primitivesAsString", as_text).json(named).schema
         if known is not None:
             # A kept type wins over what this batch alone looks like; only new columns are added.
             fresh = [f for f in found.fields if f.name.lower() not in {n.lower() for n in known.names}]
             same = [f for f in found.fields if f not in fresh and isinstance(f.dataType, (T.StructType, T.ArrayType))]
             found = merge_schemas(known, T.StructType(same + fresh))
-        return spark.read.schema(found).options(**opts).json(list(files)), found
+        return spark.read.schema(found).options(**opts).json(named), found
     if fmt != "csv":
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
 
     csv_opts = {**opts, "header": str(bool(header)).lower()}
-    groups = _group_by_header(spark, files, opts.get("encoding")) if header else [(files[0], list(files))]
+    groups = _group_by_header(spark, files, opts) if header else [("", list(files))]
     merged, frames = known, []
-    for example, members in groups:
-        names = spark.read.options(**csv_opts).csv(example).columns
+    for _, members in groups:
+        members = [paths.literal(file) for file in members]
+        names = spark.read.options(**csv_opts).csv(members[0]).columns
         have = {n.lower() for n in (merged.names if merged else [])}
         inferred = None
         if infer_types and any(n.lower() not in have for n in names):
@@ -178,11 +165,12 @@ def infer_stream_schema(
 ) -> T.StructType:
     """Schema of the files of a folder merged into the kept one, which is updated."""
     known = stored_schema(spark, schema_loc) if schema_loc else None
-    if paths.list_files(spark, src).isEmpty():
+    files = [row.path for row in paths.list_files(spark, src).select("path").toLocalIterator()]
+    if not files:
         if known is None:
             raise ValueError(f"no files at {src} and no kept schema")
         return known
-    _, merged = read_new_files(spark, [src], fmt, known, header, infer_types, options=options)
+    _, merged = read_new_files(spark, files, fmt, known, header, infer_types, options=options)
     if schema_loc and merged != known:
         store_schema(spark, schema_loc, merged)
     return merged
@@ -232,7 +220,8 @@ def ingest_files(
         session = batch.sparkSession
         if batch_id <= _last_batch(target, app):
             return
-        files = [_decoded(row.path) for row in batch.collect()]
+        # The listing names a file twice when another one's name reads as a pattern.
+        files = sorted({row.path for row in batch.collect()})
         if not files:
             return
         known = stored_schema(session, kept_at)

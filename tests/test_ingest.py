@@ -1,5 +1,6 @@
 """File ingest: once per file, schema growth by name, replay, refusals."""
 
+import gzip
 import os
 
 import pytest
@@ -40,7 +41,7 @@ def test_demo_file_is_loaded_once(spark, lake, scratch):
 
 def test_columns_are_matched_by_name(spark, lake, scratch):
     src, checkpoint = scratch("src"), scratch("checkpoint")
-    put(src, "a b.csv", "id,name\n1,x\n2,\n")
+    put(src, "a b[1]{x}%20+.csv", "id,name\n1,x\n2,\n")
     put(src, "c,d.csv", 'name,extra,id\n"y, ""q""",e,3\n')
     target = target_of(lake, "id STRING, name STRING")
     ingest_files(spark, src, target, checkpoint, options={"escape": '"'})
@@ -110,8 +111,17 @@ def test_headers_one_per_file(spark, scratch):
     for i in range(5):
         put(src, f"{i}.csv", f"h{i},x\n" + "1,2\n" * 50_000)
     files = [os.path.join(src, f) for f in os.listdir(src)]
-    got = csv_headers(spark, files)
-    assert sorted(r.header for r in got.collect()) == [f"h{i},x" for i in range(5)]
+    assert sorted(csv_headers(spark, files)) == [f"h{i},x" for i in range(5)]
+
+
+def test_header_after_blank_lines_and_comments_and_in_gzip(spark, lake, scratch):
+    src = scratch("src")
+    put(src, "a.csv", "\n# note\nid,n\n1,a\n")
+    with gzip.open(os.path.join(src, "b.csv.gz"), "wt") as f:
+        f.write("n,id\nb,2\n")
+    target = lake.table("dev.bronze.t")
+    ingest_files(spark, src, target, scratch("checkpoint"), options={"comment": "#"})
+    assert sorted((r.id, r.n) for r in target.read().collect()) == [("1", "a"), ("2", "b")]
 
 
 def test_schema_is_kept_between_runs(spark, scratch):

@@ -61,6 +61,16 @@ def test_compaction_leaves_large_files(spark, lake):
     assert target.read().count() == 4040
 
 
+def test_compaction_clusters_by_the_tables_keys(spark, lake):
+    df = numbers(spark, 2000, 10)
+    target = build(lake, df, cluster_by=["s"])
+    compact(target)
+    assert same_rows(target, df)
+    (path,) = target.live_files()
+    in_file = [r.s for r in spark.read.parquet(f"{target.data_dir}/{path}").collect()]
+    assert in_file == sorted(in_file)
+
+
 def test_zorder_narrows_each_column(spark, lake):
     df = numbers(spark, 20_000, 16)
     target = build(lake, df)

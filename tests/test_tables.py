@@ -204,18 +204,21 @@ def test_required_columns_are_enforced(lake):
 
 
 def test_partition_overwrite_leaves_other_partitions_alone(lake):
-    rows = [(1, "a b/%", 1), (2, "x", 2), (3, None, 3), (4, "ü", 4)]
+    rows = [(1, "a b/%", 1), (2, "x", 2), (3, None, 3), (4, "ü", 4), (5, "{[x]}*?", 5)]
     target = build(lake, rows=rows, partition_by=["kind"])
     before = {e for e in target.live_files() if "kind=x" not in e}
     overwrite(rows_df(lake.spark, [(9, "x", 9)], DDL), target, partition={"kind": "x"})
-    assert contents(target) == sorted([rows[0], rows[2], rows[3], (9, "x", 9)], key=repr)
+    assert contents(target) == sorted([rows[0], rows[2], rows[3], rows[4], (9, "x", 9)], key=repr)
     assert before <= set(target.live_files())
     with pytest.raises(ValueError, match="outside"):
         overwrite(rows_df(lake.spark, [(9, "y", 9)], DDL), target, partition={"kind": "x"})
     overwrite(rows_df(lake.spark, [(10, "a b/%", 10), (11, None, 11)], DDL), target, dynamic=True)
-    assert contents(target) == sorted([(10, "a b/%", 10), (11, None, 11), rows[3], (9, "x", 9)], key=repr)
+    assert contents(target) == sorted([(10, "a b/%", 10), (11, None, 11), rows[3], rows[4], (9, "x", 9)], key=repr)
     delete_where(target, "kind = 'ü'")
-    assert target.read().count() == 3
+    update_where(target, {"n": "n + 1"}, "kind = '{[x]}*?'")
+    assert contents(target) == sorted(
+        [(10, "a b/%", 10), (11, None, 11), (5, "{[x]}*?", 6), (9, "x", 9)], key=repr
+    )
 
 
 def test_partition_filter_is_pruned(lake):
