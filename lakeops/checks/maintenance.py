@@ -341,7 +341,7 @@ def compacted_partitions(spark, sf):
         append(parts.where(half), target)
     compact(target)
     state = target.state()
-    scan = target.scan(state.live, target.schema(state))
+    scan = target.scan_state(state)
     return scan.groupBy("p_brand").agg(
         F.count(F.lit(1)).alias("part_count"), F.count_distinct("_metadata.file_path").alias("files")
     )
@@ -354,7 +354,8 @@ def compacted_partitions(spark, sf):
       retained AS (SELECT * FROM log WHERE committed_at > TIMESTAMP '1998-06-15'
                    OR v = (SELECT max(v) FROM log WHERE committed_at <= TIMESTAMP '1998-06-15'))
     SELECT 'lk_commit=' || v || '/part-' || o_orderkey AS entry, o_orderkey AS length FROM o
-    WHERE o_orderdate < TIMESTAMP '1998-06-15' AND v NOT IN (SELECT v FROM retained)
+    WHERE o_orderdate < TIMESTAMP '1998-06-15' AND (v NOT IN (SELECT v FROM retained)
+        OR (v % 12 > 6 AND o_orderkey = (SELECT carried FROM log l WHERE l.v = o.v)))
       AND NOT EXISTS (SELECT 1 FROM retained r WHERE r.v = o.v + 1 AND o.o_orderkey =
                       (SELECT carried FROM log l WHERE l.v = o.v))""",
 )
@@ -378,6 +379,10 @@ def vacuum_listing(spark, sf):
         F.array_compact(
             F.array(F.format_string("lk_commit=%d", "v"), F.when(F.col("carried_before").isNotNull(), kept_file))
         ).alias("live"),
+        # From the second half of a year on, a commit has dropped its own carried file.
+        F.when(F.col("v") % 12 > 6, F.array(F.format_string("lk_commit=%d/part-%d", "v", "carried")))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("dropped"),
     )
     return vacuum_candidates(files, log, F.lit("1998-06-15").cast("timestamp")).select("entry", "length")
 

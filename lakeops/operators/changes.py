@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
-import re
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -13,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops import paths
 from lakeops.operators.landing import landed
-from lakeops.sources.snapshot import _ENTRY_PATTERN, CommitResult, SnapshotTable, schema_of
+from lakeops.sources.snapshot import CommitResult, SnapshotTable, entry_of, folder_of, schema_of
 
 
 class DuplicateMergeKeys(ValueError):
@@ -24,35 +22,49 @@ def _as_column(condition: str | Column) -> Column:
     return F.expr(condition) if isinstance(condition, str) else condition
 
 
-def _distinct_files(df: DataFrame) -> list[str]:
-    """Live entries of the files the rows of a scan come from (file names only reach the driver)."""
-    rows = df.distinct().collect()
-    return sorted(re.search(_ENTRY_PATTERN, unquote(row[0])).group(1) for row in rows)
+def _distinct_files(uris: DataFrame) -> list[str]:
+    """Entries of the files a column of file URIs names (file names only reach the driver)."""
+    return sorted(row.entry for row in uris.select(entry_of(F.col(uris.columns[0])).alias("entry")).distinct().collect())
 
 
 def touched_files(target: SnapshotTable, state: Row, condition: Column) -> list[str]:
+    """Entries of the live files that hold a row where the condition is true."""
     if not state.live:
         return []
-    scan = target.scan(state.live, schema_of(state))
-    return _distinct_files(scan.where(condition).select(F.col("_metadata.file_path")))
+    return _distinct_files(target.scan_state(state).where(condition).select("_metadata.file_path"))
 
 
-def _untouched(target: SnapshotTable, state: Row, touched: Sequence[str]) -> list[str]:
-    """Live entries without the touched files; folders that lose no file stay whole."""
-    gone = set(touched)
-    hit_folders = {entry.split("/", 1)[0] for entry in touched}
-    whole = [e for e in state.live if "/" not in e and e not in hit_folders]
-    opened = [e for e in state.live if "/" not in e and e in hit_folders]
-    single = [e for e in state.live if "/" in e]
-    left = [e for e in [*target.files_below(opened, schema_of(state)), *single] if e not in gone]
-    return [*whole, *left]
+def without_files(target: SnapshotTable, state: Row, touched: Sequence[str]) -> tuple[list[str], list[str]]:
+    """(live entries, newly dropped files) of a version without some of its files.
+
+    Folders that lose no file stay as they are. One that loses files stays a folder with dropped files, or, when more
+    than half of it is gone, is replaced by the files left. So the log lists the smaller side.
+    """
+    gone: dict[str, set[str]] = {}
+    for entry in (*state.dropped, *touched):
+        gone.setdefault(folder_of(entry), set()).add(entry)
+    hit = {folder_of(entry) for entry in touched}
+    live = [e for e in state.live if ("/" in e and e not in gone.get(folder_of(e), ())) or ("/" not in e and e not in hit)]
+    dropped: list[str] = []
+    opened = [e for e in state.live if "/" not in e and e in hit]
+    files: dict[str, list[str]] = {folder: [] for folder in opened}
+    for entry in target.files_below(opened, schema_of(state)):
+        files[folder_of(entry)].append(entry)
+    for folder, members in files.items():
+        left = [e for e in members if e not in gone[folder]]
+        if 2 * len(left) >= len(members) and left:
+            live.append(folder)
+            dropped += [e for e in touched if folder_of(e) == folder]
+        else:
+            live += left
+    return live, dropped
 
 
 def delete_where(target: SnapshotTable, condition: str | Column | None = None) -> CommitResult:
     """Remove rows where the condition is true; rows where it is false or NULL stay."""
     state = target.state()
     if condition is None:
-        count = target.read_entries(state.live, schema_of(state)).count()
+        count = target.read_state(state).count()
         return target.commit(state.version, state, "DELETE", {"numDeletedRows": count}, [])
     hit = _as_column(condition)
     touched = touched_files(target, state, hit)
@@ -62,8 +74,10 @@ def delete_where(target: SnapshotTable, condition: str | Column | None = None) -
     rows = target.read_entries(touched, schema_of(state))
     # The scan reads the rows partition by partition already: rewriting them needs no shuffle.
     entry, counts = target.write_folder(rows, state, {"deleted": F.count_if(doomed)}, cut=~doomed, arranged=True)
-    live = _untouched(target, state, touched) + ([entry] if counts["rows_written"] else [])
-    return target.commit(state.version, state, "DELETE", {"numDeletedRows": counts["deleted"]}, live)
+    live, dropped = without_files(target, state, touched)
+    live += [entry] if counts["rows_written"] else []
+    metrics = {"numDeletedRows": counts["deleted"]}
+    return target.commit(state.version, state, "DELETE", metrics, live, dropped=dropped)
 
 
 def update_where(
@@ -73,9 +87,7 @@ def update_where(
     state = target.state()
     schema = schema_of(state)
     hit = F.coalesce(_as_column(condition), F.lit(False)) if condition is not None else F.lit(True)
-    touched = (
-        touched_files(target, state, hit) if condition is not None else target.files_below(state.live, schema)
-    )
+    touched = touched_files(target, state, hit) if condition is not None else target.live_files(state)
     if not touched:
         return target.commit(state.version, state, "UPDATE", {"numUpdatedRows": 0}, state.live)
     new_values = {name.lower(): _as_column(value) for name, value in assignments.items()}
@@ -95,8 +107,9 @@ def update_where(
     )
     moves = any(name.lower() in new_values for name in state.partition_by or [])
     entry, counts = target.write_folder(rows, state, {"updated": F.count_if(F.col(tag))}, arranged=not moves)
-    live = [*_untouched(target, state, touched), entry]
-    return target.commit(state.version, state, "UPDATE", {"numUpdatedRows": counts["updated"]}, live)
+    live, dropped = without_files(target, state, touched)
+    metrics = {"numUpdatedRows": counts["updated"]}
+    return target.commit(state.version, state, "UPDATE", metrics, [*live, entry], dropped=dropped)
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -155,7 +168,7 @@ def _merge_landed(target, source, keys, update, insert, delete_when, update_when
 
     touched: list[str] = []
     if state.live:
-        located = target.scan(state.live, schema).select(*keys, F.col("_metadata.file_path").alias("lk_file"))
+        located = target.scan_state(state).select(*keys, F.col("_metadata.file_path").alias("lk_file"))
         touched = _distinct_files(located.join(source.select(*keys), list(keys), "left_semi").select("lk_file"))
 
     rewrites = update is not None or delete_when is not None
@@ -206,14 +219,14 @@ def _merge_landed(target, source, keys, update, insert, delete_when, update_when
     result = reduce(DataFrame.unionByName, branches)
     tallies = {name: F.count_if(F.col("lk_action") == name) for name in ("inserted", "updated", "deleted")}
     entry, counts = target.write_folder(result, state, tallies, cut=F.col("lk_action") != "deleted")
-    base = _untouched(target, state, touched) if rewrites and touched else list(state.live)
-    live = base + ([entry] if counts["rows_written"] else [])
+    live, dropped = without_files(target, state, touched) if rewrites else (list(state.live), [])
+    live += [entry] if counts["rows_written"] else []
     metrics = {
         "numTargetRowsInserted": counts["inserted"],
         "numTargetRowsUpdated": counts["updated"],
         "numTargetRowsDeleted": counts["deleted"],
     }
-    return target.commit(state.version, state, "MERGE", metrics, live)
+    return target.commit(state.version, state, "MERGE", metrics, live, dropped=dropped)
 
 
 def _row_fingerprint(schema: T.StructType) -> Column:

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops import paths
+from lakeops.operators.changes import without_files
 from lakeops.operators.landing import landed
 from lakeops.sources.snapshot import CommitResult, SnapshotTable, entry_of, schema_of
 
@@ -55,10 +57,10 @@ def compact(target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES) ->
     if clustered:
         rows = rows.hint("rebalance", *state.cluster_by).sortWithinPartitions(*state.cluster_by)
     entry, _ = target.write_folder(rows, state, arranged=clustered)
-    large = [e for e in target.live_files(state) if e not in small]
-    after = len(large) + len(target.files_below([entry], schema))
+    live, dropped = without_files(target, state, sorted(small))
+    after = files - len(small) + len(target.files_below([entry], schema))
     metrics = {"numFilesBefore": files, "numFilesAfter": after}
-    return target.commit(state.version, state, "OPTIMIZE", metrics, [*large, entry])
+    return target.commit(state.version, state, "OPTIMIZE", metrics, [*live, entry], dropped=dropped)
 
 
 # -- Z-order -------------------------------------------------------------------------------------------------------
@@ -138,7 +140,7 @@ def zorder(
     ).first()
     if n_files is None:
         n_files = max(1, math.ceil(totals.bytes / target_bytes))
-    scan = target.scan(state.live, schema)
+    scan = target.scan_state(state)
     values = {f"lk_v{i}": _sortable(c, schema[c].dataType) for i, c in enumerate(cols)}
     steps = 1 << bits
     cuts = scan.select(*[v.alias(c) for c, v in values.items()]).approxQuantile(
@@ -193,30 +195,40 @@ def _spread_by_rank(df: DataFrame, value: str, address: str, parts: int) -> Data
 # -- vacuum --------------------------------------------------------------------------------------------------------
 
 
-def retained_entries(log: DataFrame, cutoff: Column) -> DataFrame:
-    """Live entries of every version a reader may still ask for: committed since the cut-off, or current at it.
-
-    The newest version is always one of these.
-    """
-    since = log.where(F.col("committed_at") > cutoff).select(F.explode("live").alias("entry"))
-    at_cutoff = log.where(F.col("committed_at") <= cutoff).agg(F.max_by("live", "version").alias("live"))
-    return since.unionByName(at_cutoff.select(F.explode("live").alias("entry"))).distinct()
+def retained_versions(log: DataFrame, cutoff: Column) -> DataFrame:
+    """``live`` and ``dropped`` of every version a reader may still ask for: committed since the cut-off, or current
+    at it. The newest version is always one of these."""
+    lists = F.struct("live", "dropped").alias("lists")
+    since = log.where(F.col("committed_at") > cutoff).select(lists)
+    at_cutoff = log.where(F.col("committed_at") <= cutoff).agg(F.max_by(lists, "version").alias("lists"))
+    return since.unionByName(at_cutoff).select("lists.*")
 
 
 def vacuum_candidates(files: DataFrame, log: DataFrame, cutoff: Column) -> DataFrame:
-    """Files (entry, length, modified) that no retained version uses and that are older than the cut-off."""
-    retained = retained_entries(log, cutoff)
+    """Files (entry, length, modified) that no retained version uses and that are older than the cut-off.
+
+    A retained version uses a file that it lists, or whose folder it lists unless it dropped the file. So a file is
+    free when it is listed nowhere and dropped as often as its folder is listed.
+    """
+    retained = retained_versions(log, cutoff)
+    listed = retained.select(F.explode("live").alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("uses"))
+    drops = retained.select(F.explode("dropped").alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("drops"))
     old = files.where(F.col("modified") < cutoff).withColumn("folder", F.substring_index("entry", "/", 1))
-    folders = retained.select(F.col("entry").alias("folder"))
-    return old.join(retained, "entry", "left_anti").join(folders, "folder", "left_anti").select(files.columns)
+    free = (
+        old.join(listed, "entry", "left_anti")
+        .join(listed.withColumnRenamed("entry", "folder"), "folder", "left")
+        .join(drops, "entry", "left")
+    )
+    unused = F.coalesce("uses", F.lit(0)) <= F.coalesce("drops", F.lit(0))
+    return free.where(unused).select(files.columns)
 
 
 def stored_files(target: SnapshotTable) -> DataFrame:
     """(entry, length, modified) of all data files on storage, live or not."""
     files = paths.list_files(target.spark, target.data_dir)
     return files.select(
-        entry_of(F.col("path")).alias("entry"), "length", F.col("modificationTime").alias("modified")
-    ).where("entry <> ''")
+        entry_of(F.col("uri")).alias("entry"), "length", F.col("modificationTime").alias("modified")
+    )
 
 
 def vacuum(
@@ -249,7 +261,7 @@ def vacuum(
     with ThreadPoolExecutor(max_workers=16) as pool:
         doomed = whole.unionByName(single.withColumnRenamed("entry", "folder")).toLocalIterator()
         while batch := list(islice(doomed, 1000)):
-            list(pool.map(lambda row: paths.delete(spark, f"{target.data_dir}/{row.folder}"), batch))
+            list(pool.map(lambda row: paths.delete(spark, f"{target.data_dir}/{unquote(row.folder)}"), batch))
     paths.delete(spark, listed_at)
     return candidates, removed
 
@@ -295,7 +307,7 @@ def analyze(target: SnapshotTable, columns: Sequence[str] | None = None) -> Data
     folder per version, and returned.
     """
     state = target.state()
-    rows = target.read_entries(state.live, schema_of(state))
+    rows = target.read_state(state)
     row_count = rows.count()
     table_stats = target.file_sizes(state).agg(
         F.lit(state.version).cast("bigint").alias("version"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.changes import touched_files
+from lakeops.operators.changes import touched_files, without_files
 from lakeops.operators.schemas import merge_schemas
 from lakeops.sources.snapshot import CommitResult, Lake, SnapshotTable, schema_of
 
@@ -81,6 +81,7 @@ def overwrite(
     state = target.state()
     fitted, state = _fit(df, state, merge_schema)
     kept: list[str] = []
+    dropped: list[str] = []
     if partition:
         missing = [name for name in partition if name not in (state.partition_by or [])]
         if missing:
@@ -89,32 +90,25 @@ def overwrite(
         for name, value in partition.items():
             inside = inside & F.col(name).eqNullSafe(F.lit(value))
         stray = F.count_if(~inside)
-        kept = _files_outside(target, state, inside)
+        kept, dropped = without_files(target, state, touched_files(target, state, inside))
         entry, counts = target.write_folder(fitted, state, counts={"stray": stray})
         if counts["stray"]:
             raise ValueError(f"{counts['stray']} rows lie outside {dict(partition)}; nothing was committed")
     else:
         entry, counts = target.write_folder(fitted, state)
         if dynamic and state.partition_by:
-            schema = schema_of(state)
-            replaced = {_partition_folder(e) for e in target.files_below([entry], schema)}
-            kept = [e for e in target.files_below(state.live, schema) if _partition_folder(e) not in replaced]
+            new = {_partition_folder(e) for e in target.files_below([entry], schema_of(state))}
+            replaced = [e for e in target.live_files(state) if _partition_folder(e) in new]
+            kept, dropped = without_files(target, state, replaced)
     live = [*kept, entry] if counts["rows_written"] else kept
-    return target.commit(state.version, state, operation, {"numOutputRows": counts["rows_written"]}, live, txn)
+    metrics = {"numOutputRows": counts["rows_written"]}
+    return target.commit(state.version, state, operation, metrics, live, txn, dropped)
 
 
 def _partition_folder(entry: str) -> str:
     return "/".join(entry.split("/")[1:-1])
 
 
-def _files_outside(target: SnapshotTable, state: Row, inside: Column) -> list[str]:
-    """Live files that lie outside some partitions; Spark's partition pruning finds those inside."""
-    if not state.live:
-        return []
-    everything = target.files_below(state.live, schema_of(state))
-    return sorted(set(everything) - set(touched_files(target, state, inside)))
-
-
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Write with equal keys side by side in files of even size.
 

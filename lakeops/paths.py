@@ -6,6 +6,7 @@ import re
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _resolve(spark: SparkSession, path: str):
@@ -91,10 +92,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def list_files(spark: SparkSession, *folders: str) -> DataFrame:
-    """One row per file (path, length, modificationTime). The file contents are never read."""
+    """One row per file (path, uri, length, modificationTime). The file contents are never read.
+
+    ``uri`` is the URL-encoded path, as in ``_metadata.file_path`` of a data scan.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(list(folders))
-        .select("path", "length", "modificationTime")
+        .select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime")
     )

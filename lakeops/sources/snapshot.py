@@ -1,8 +1,10 @@
 """Versioned Parquet tables: immutable commit folders plus one small log row per version.
 
 ``data/lk_commit=<version>-<token>/`` holds the files one commit wrote and is never changed afterwards.
-``log/<version>.json`` holds one row: operation, metrics, schema and ``live``, the folders (or single files, where
-only part of a folder is still current) that make up the table at that version. Reading a version is a plain
+``log/<version>.json`` holds one row: operation, metrics, schema and ``live``, the folders that make up the table at
+that version. Where only part of a folder is still current, the smaller side is listed: its files in ``dropped``
+beside the folder, or the files left as ``live`` entries of their own. File entries are URL-encoded, as Spark shows
+them in ``_metadata.file_path``. Reading a version is a plain
 ``spark.read.parquet`` over its live entries, so partition pruning, filter pushdown and column pruning are Spark's
 own. A version file is created only when it does not exist, so of two writers the second fails and can try again.
 """
@@ -11,7 +13,6 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -24,10 +25,10 @@ from pyspark.sql import types as T
 from lakeops import paths
 
 COMMIT_KEY = "lk_commit"
-_ENTRY_PATTERN = rf"({COMMIT_KEY}=[^/]+(?:/.*)?)$"
 
 LOG_SCHEMA = (
-    "version BIGINT, operation STRING, metrics MAP<STRING,BIGINT>, live ARRAY<STRING>, schema_json STRING, "
+    "version BIGINT, operation STRING, metrics MAP<STRING,BIGINT>, live ARRAY<STRING>, dropped ARRAY<STRING>, "
+    "schema_json STRING, "
     "partition_by ARRAY<STRING>, cluster_by ARRAY<STRING>, constraints MAP<STRING,STRING>, "
     "properties MAP<STRING,STRING>, batches MAP<STRING,BIGINT>, committed_at TIMESTAMP"
 )
@@ -75,9 +76,13 @@ def row_counts(operation: str, metrics: Mapping[str, int]) -> tuple[int, int, in
     return tuple(int(metrics.get(name, 0)) if name else 0 for name in OPERATION_METRICS[operation])
 
 
-def entry_of(path_col):
-    """Live-entry form of a file path column (the part below ``data/``)."""
-    return F.regexp_extract(path_col, _ENTRY_PATTERN, 1)
+def entry_of(uri: Column) -> Column:
+    """Entry of a file (the part below ``data/``) from ``_metadata.file_path``."""
+    return F.substring_index(uri, "/data/", -1)
+
+
+def folder_of(entry: str) -> str:
+    return entry.split("/", 1)[0]
 
 
 class SnapshotTable:
@@ -141,39 +146,51 @@ class SnapshotTable:
     def schema(self, state: Row | None = None) -> T.StructType:
         return schema_of(self.state() if state is None else state)
 
+    def _located(self, entry: str) -> str:
+        return f"{self.data_dir}/{paths.literal(unquote(entry))}"
+
     def scan(self, entries: Sequence[str], schema: T.StructType, spark: SparkSession | None = None) -> DataFrame:
-        """Raw file scan of some live entries; keeps Spark's hidden ``_metadata`` column reachable."""
+        """Raw scan of folders or files; keeps Spark's hidden ``_metadata`` column reachable."""
         reader = (spark or self.spark).read.schema(schema).option("basePath", self.data_dir)
-        return reader.parquet(*[f"{self.data_dir}/{paths.literal(entry)}" for entry in entries])
+        return reader.parquet(*[self._located(entry) for entry in entries])
+
+    def scan_state(self, state: Row) -> DataFrame:
+        """Raw scan of a version. Spark leaves out the dropped files when it plans the scan."""
+        scan = self.scan(state.live, schema_of(state))
+        return scan.where(~entry_of(F.col("_metadata.file_path")).isin(state.dropped)) if state.dropped else scan
 
     def read(self, version: int | None = None) -> DataFrame:
-        state = self.state(version)
-        return self.read_entries(state.live, schema_of(state))
+        return self.read_state(self.state(version))
+
+    def read_state(self, state: Row) -> DataFrame:
+        schema = schema_of(state)
+        return _columns_of(self.scan_state(state), schema) if state.live else self._no_rows(schema)
 
     def read_entries(self, entries: Sequence[str], schema: T.StructType) -> DataFrame:
-        if not entries:
-            nothing = self.spark.range(0)
-            return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-        return self.scan(entries, schema).select(*[F.col(f"`{name}`") for name in schema.names])
+        return _columns_of(self.scan(entries, schema), schema) if entries else self._no_rows(schema)
+
+    def _no_rows(self, schema: T.StructType) -> DataFrame:
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
     def live_files(self, state: Row | None = None) -> list[str]:
         """Entries of the single files of a version, listed from storage (no data is read)."""
         state = self.state() if state is None else state
-        return self.files_below(state.live, schema_of(state))
+        gone = set(state.dropped)
+        return [entry for entry in self.files_below(state.live, schema_of(state)) if entry not in gone]
 
     def files_below(self, entries: Sequence[str], schema: T.StructType) -> list[str]:
         if not entries:
             return []
-        uris = self.scan(entries, schema).inputFiles()
-        return sorted(re.search(_ENTRY_PATTERN, unquote(uri)).group(1) for uri in uris)
+        return sorted(uri.rsplit("/data/", 1)[1] for uri in self.scan(entries, schema).inputFiles())
 
     def file_sizes(self, state: Row | None = None) -> DataFrame:
         """(entry, length) of every live file as a DataFrame; the contents are not read."""
         state = self.state() if state is None else state
         if not state.live:
             return self.spark.range(0).selectExpr("cast(null as string) AS entry", "cast(null as bigint) AS length")
-        files = paths.list_files(self.spark, *[f"{self.data_dir}/{paths.literal(entry)}" for entry in state.live])
-        return files.where(F.col("path").endswith(".parquet")).select(entry_of(F.col("path")).alias("entry"), "length")
+        files = paths.list_files(self.spark, *[self._located(entry) for entry in state.live])
+        listed = files.where(F.col("path").endswith(".parquet")).select(entry_of(F.col("uri")).alias("entry"), "length")
+        return listed.where(~F.col("entry").isin(state.dropped)) if state.dropped else listed
 
     # -- writing ---------------------------------------------------------------------------------------------
 
@@ -198,6 +215,7 @@ class SnapshotTable:
             constraints=dict(constraints or {}),
             properties=dict(properties or {}),
             batches={},
+            dropped=[],
         )
         operation = "CREATE TABLE" if latest is None else "REPLACE TABLE"
         return self.commit(latest if latest is not None else -1, definition, operation, {}, [])
@@ -255,16 +273,23 @@ class SnapshotTable:
         metrics: Mapping[str, int],
         live: Iterable[str],
         txn: tuple[str, int] | None = None,
+        dropped: Iterable[str] = (),
     ) -> CommitResult:
-        """Publish a version. Fails when the version is already taken."""
+        """Publish a version. Fails when the version is already taken.
+
+        Files dropped before stay dropped as long as their folder is live.
+        """
         if operation not in OPERATION_METRICS and operation not in LAYOUT_OPERATIONS:
             raise UnknownOperation(f"cannot commit operation {operation!r}")
         version = prev_version + 1
+        live = sorted(live)
+        folders = {entry for entry in live if "/" not in entry}
         row = {
             "version": version,
             "operation": operation,
             "metrics": {k: int(v) for k, v in metrics.items()},
-            "live": sorted(live),
+            "live": live,
+            "dropped": sorted({e for e in (*definition.dropped, *dropped) if folder_of(e) in folders}),
             "schema_json": definition.schema_json,
             "partition_by": list(definition.partition_by or []),
             "cluster_by": list(definition.cluster_by or []),
@@ -281,6 +306,10 @@ class SnapshotTable:
         return CommitResult(operation, prev_version, version, dict(metrics))
 
 
+def _columns_of(scan: DataFrame, schema: T.StructType) -> DataFrame:
+    return scan.select(*[F.col(f"`{name}`") for name in schema.names])
+
+
 def schema_of(state: Row) -> T.StructType:
     return T.StructType.fromJson(json.loads(state.schema_json))
 

@@ -77,7 +77,7 @@ def test_zorder_narrows_each_column(spark, lake):
 
     def span(column):
         state = target.state()
-        files = target.scan(state.live, target.schema(state)).groupBy("_metadata.file_path")
+        files = target.scan_state(state).groupBy("_metadata.file_path")
         return files.agg((F.max(column) - F.min(column)).alias("w")).agg(F.avg("w")).first()[0]
 
     before = span("a")
@@ -92,7 +92,7 @@ def test_zorder_spreads_one_heavy_value(spark, lake):
     target = build(lake, df)
     zorder(target, ["k", "s"], n_files=8)
     state = target.state()
-    largest = target.scan(state.live, target.schema(state)).groupBy("_metadata.file_path").count().agg(F.max("count"))
+    largest = target.scan_state(state).groupBy("_metadata.file_path").count().agg(F.max("count"))
     assert largest.first()[0] < 3000
     assert same_rows(target, df)
 
@@ -259,3 +259,26 @@ def test_invalid_names_stop_the_run(spark, lake):
     with pytest.raises(InvalidRules, match="a.b.c.d"):
         run(lake, rules_of(spark, rule(1, "a.b.c.d")))
     assert lake.read(LOG).count() == 0
+
+
+def test_vacuum_removes_dropped_files_of_a_live_folder(spark, lake):
+    target = build(lake, numbers(spark, 1000, 10))
+    delete_where(target, "id < 5")
+    (dropped,) = target.state().dropped
+    later = F.current_timestamp() + F.expr("INTERVAL '8' DAY")
+    assert [r.entry for r in vacuum(target, 168, dry_run=True, now=later)[0].collect()] == [dropped]
+    assert vacuum(target, 168, now=F.current_timestamp())[1] == 0
+    assert vacuum(target, 168, now=later)[1] == 1
+    assert target.read().count() == 995
+    delete_where(target, "id BETWEEN 200 AND 204")
+    compact(target)
+    assert target.read().count() == 990
+
+
+def test_compaction_of_a_few_small_files_keeps_the_large_folder(spark, lake):
+    target = build(lake, numbers(spark, 20_000, 4))
+    folder = target.state().live[0]
+    size = target.file_sizes().agg(F.min("length")).first()[0]
+    append(numbers(spark, 30, 3), target)
+    compact(target, target_bytes=size)
+    assert folder in target.state().live and target.read().count() == 20_030

@@ -263,3 +263,44 @@ def test_replace_empties_but_keeps_history(lake):
     assert target.read().count() == 0
     assert target.read(1).count() == 5
     assert [r.operation for r in target.history().collect()] == ["REPLACE TABLE", "WRITE", "CREATE TABLE"]
+
+
+def test_small_changes_keep_the_folder_and_list_dropped_files(spark, lake):
+    df = spark.range(0, 1000, 1, 10).select("id", F.format_string("ü k{%d", F.col("id") % 2).alias("k"))
+    ensure_tables(lake, [TableSpec("d.s.t", df.schema)])
+    target = lake.table("d.s.t")
+    append(df, target)
+    folder = target.state().live
+    assert len(folder) == 1 and len(target.live_files()) == 10
+    delete_where(target, "id < 5")  # one file of ten
+    state = target.state()
+    assert state.live[0] == folder[0] and len(state.dropped) == 1
+    update_where(target, {"k": "'x'"}, "id = 250")
+    append(df.where("id = 1"), target)
+    assert len(target.state().dropped) == 2
+    assert target.read().count() == 996 and target.read(1).count() == 1000
+    assert target.read().where("k = 'x'").count() == 1
+    assert not set(target.state().dropped) & set(target.live_files())
+    assert target.file_sizes().count() == len(target.live_files())
+    # More than half of the folder goes: now its remaining files are listed instead.
+    delete_where(target, "id BETWEEN 300 AND 899")
+    state = target.state()
+    assert folder[0] not in state.live and state.dropped == []
+    assert sorted(r.id for r in target.read().collect()) == sorted([*range(5, 300), *range(900, 1000), 1])
+    changes = {(r.id, r.change) for r in diff_versions(target, 2, 3, ["id"]).collect()}
+    assert changes == {(250, "updated")}
+
+
+def test_dropped_files_of_partitions_with_odd_names(spark, lake):
+    df = spark.range(0, 400, 1, 4).select("id", F.format_string("ü b/{%d%%", F.col("id") % 4).alias("k"))
+    ensure_tables(lake, [TableSpec("d.s.odd", df.schema, partition_by=["k"])])
+    target = lake.table("d.s.odd")
+    append(df, target)
+    delete_where(target, "k = 'ü b/{1%' AND id < 10")
+    state = target.state()
+    assert len(state.live) == 2 and len(state.dropped) == 1
+    assert sorted(r.id for r in target.read().collect()) == [i for i in range(400) if i not in (1, 5, 9)]
+    overwrite(df.where("id = 2"), target, dynamic=True)
+    assert target.read().count() == 298
+    merge(target, df.where("id IN (2, 3)").withColumn("id", F.col("id") + 0), ["id"], delete_when="t.id = 3")
+    assert target.read().count() == 297
