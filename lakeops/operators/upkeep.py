@@ -30,42 +30,58 @@ class RetentionTooShort(ValueError):
 # -- compaction ----------------------------------------------------------------------------------------------------
 
 
-def compact(target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES) -> CommitResult:
+def compact(
+    target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES, round_files: int = 100_000
+) -> CommitResult:
     """Rewrite files smaller than three quarters of the target into files of about the target size.
 
     Rows stay as they are and large files are not touched. A plain table is rewritten without a shuffle: Spark packs
     small files into scan tasks of the target size and each task writes one file. With partition columns the rows are
     rebalanced by them, so that a file holds one partition value; with clustering columns equal keys come together.
+    ``round_files`` bounds the file names one round handles; a table with more small files gets several rounds, each
+    its own commit.
     """
+    before = target.file_sizes().count()
+    while True:
+        done, small = _compact_round(target, target_bytes, round_files)
+        if small < round_files or done.metrics["numFilesAfter"] >= done.metrics["numFilesBefore"]:
+            metrics = {**done.metrics, "numFilesBefore": before}
+            return CommitResult(done.operation, done.prev_version, done.version, metrics)
+
+
+def _compact_round(target: SnapshotTable, target_bytes: int, round_files: int) -> tuple[CommitResult, int]:
     state = target.state()
     schema = schema_of(state)
     sizes = target.file_sizes(state)
     files = sizes.count()
-    small_rows = sizes.where(F.col("length") < target_bytes * 3 // 4).collect()
-    small = {row.entry for row in small_rows}
+    small_rows = sizes.where(F.col("length") < target_bytes * 3 // 4).limit(round_files).collect()
+    small = sorted(row.entry for row in small_rows)
     if len(small) < 2:
         metrics = {"numFilesBefore": files, "numFilesAfter": files}
-        return target.commit(state.version, state, "OPTIMIZE", metrics, state.live)
+        return target.commit(state.version, state, "OPTIMIZE", metrics, state.live), len(small)
     tasks = max(1, math.ceil(sum(row.length for row in small_rows) / target_bytes))
     packed = target.spark.newSession()
     packed.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packed.conf.set("spark.sql.files.openCostInBytes", "0")
     packed.conf.set("spark.sql.files.minPartitionNum", str(tasks))
     packed.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = target.scan(sorted(small), schema, packed).select(*[F.col(f"`{n}`") for n in schema.names])
+    rows = target.scan(small, schema, packed).select(*[F.col(f"`{n}`") for n in schema.names])
     clustered = bool(state.cluster_by) and not state.partition_by
     if clustered:
         rows = rows.hint("rebalance", *state.cluster_by).sortWithinPartitions(*state.cluster_by)
     entry, _ = target.write_folder(rows, state, arranged=clustered)
-    live, dropped = without_files(target, state, sorted(small))
+    live, dropped = without_files(target, state, small)
     after = files - len(small) + len(target.files_below([entry], schema))
     metrics = {"numFilesBefore": files, "numFilesAfter": after}
-    return target.commit(state.version, state, "OPTIMIZE", metrics, [*live, entry], dropped=dropped)
+    done = target.commit(state.version, state, "OPTIMIZE", metrics, [*live, entry], dropped=dropped)
+    return done, len(small)
 
 
 # -- Z-order -------------------------------------------------------------------------------------------------------
 
 _STRING_BYTES = 6
+# Beyond this many files exact rank cuts cost more than Spark's own sampling of range bounds.
+_MAX_CUTS = 2000
 
 
 def _sortable(name: str, data_type: T.DataType) -> Column:
@@ -159,7 +175,7 @@ def zorder(
     z = z_value([F.col(f"{c}_bucket") for c in values], bits)
     leading = list(state.partition_by or [])
     placed = placed.select(*[F.col(f"`{n}`") for n in schema.names], z.alias("lk_z"), "lk_address")
-    if leading:
+    if leading or n_files > _MAX_CUTS:
         # Files of a partitioned table belong to one partition value, so that comes first.
         spread = placed.repartitionByRange(n_files, *leading, "lk_z", "lk_address")
     else:

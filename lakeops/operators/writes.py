@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops.operators.changes import touched_files, without_files
 from lakeops.operators.schemas import merge_schemas
-from lakeops.sources.snapshot import CommitResult, Lake, SnapshotTable, schema_of
+from lakeops.sources.snapshot import CommitConflict, CommitResult, Lake, SnapshotTable, schema_of
 
 
 def rows_df(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
@@ -33,6 +33,13 @@ def _fit(df: DataFrame, state: Row, merge_schema: bool) -> tuple[DataFrame, Row]
     return df.to(schema), state
 
 
+_APPEND_ATTEMPTS = 50
+
+
+def _definition(state: Row) -> tuple:
+    return state.schema_json, state.partition_by, state.constraints
+
+
 def append(
     df: DataFrame,
     target: SnapshotTable,
@@ -45,11 +52,21 @@ def append(
 
     ``checks`` are counted while the rows are written; when one fires nothing is committed.
     """
-    state = target.state()
-    fitted, state = _fit(df, state, merge_schema)
+    base = target.state()
+    fitted, state = _fit(df, base, merge_schema)
     entry, counts = target.write_folder(fitted, state, checks=checks)
-    live = [*state.live, entry] if counts["rows_written"] else list(state.live)
-    return target.commit(state.version, state, operation, {"numOutputRows": counts["rows_written"]}, live, txn)
+    added = [entry] if counts["rows_written"] else []
+    metrics = {"numOutputRows": counts["rows_written"]}
+    for _ in range(_APPEND_ATTEMPTS):
+        try:
+            return target.commit(state.version, state, operation, metrics, [*state.live, *added], txn)
+        except CommitConflict:
+            # An append depends on no other row, so it can follow any commit that kept the table's definition.
+            newest = target.state()
+            if _definition(newest) != _definition(base):
+                raise
+            state = Row(**{**newest.asDict(), "schema_json": state.schema_json})
+    raise CommitConflict(f"{target.name}: other writers committed first {_APPEND_ATTEMPTS} times")
 
 
 append_by_name = append

@@ -51,6 +51,23 @@ def test_compaction_keeps_rows_and_history(spark, lake):
     assert again.metrics["numFilesBefore"] == again.metrics["numFilesAfter"]
 
 
+def test_compaction_in_rounds(spark, lake):
+    df = numbers(spark, 2000, 40)
+    target = build(lake, df)
+    size = target.file_sizes().agg(F.max("length")).first()[0]
+    done = compact(target, target_bytes=4 * size, round_files=15)
+    assert done.metrics["numFilesBefore"] == 40 and done.metrics["numFilesAfter"] < 20
+    assert done.version > 2 and same_rows(target, df)
+
+
+def test_zorder_beyond_rank_cuts(spark, lake, monkeypatch):
+    monkeypatch.setattr("lakeops.operators.upkeep._MAX_CUTS", 4)
+    df = numbers(spark, 3000, 6)
+    target = build(lake, df)
+    zorder(target, ["id", "s"], n_files=6)
+    assert same_rows(target, df)
+
+
 def test_compaction_leaves_large_files(spark, lake):
     target = build(lake, numbers(spark, parts=1))
     large = target.live_files()

@@ -244,6 +244,39 @@ def test_two_writers_one_wins(lake):
         target.commit(state.version, state, "WRITE", {"numOutputRows": 0}, state.live)
 
 
+def test_concurrent_appends_all_land(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    target = build(lake, rows=[])
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        done = list(pool.map(lambda i: append(rows_df(spark, [(i, "x", i)], DDL), target), range(8)))
+    assert sorted(d.version for d in done) == list(range(1, 9))
+    assert sorted(r.id for r in target.read().collect()) == list(range(8))
+
+
+def test_session_catalog_inventory(spark):
+    from lakeops.sources.inventory import table_inventory
+
+    spark.range(1).createOrReplaceTempView("only_a_view")
+    names = {r.table_name for r in table_inventory(spark).collect()}
+    assert "only_a_view" not in names
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lakeops.session import shared_folder
+
+    def session(master, folder):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}-{folder}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=context)
+
+    assert shared_folder(session("spark://host:7077", "hdfs://nn/shared/")) == "hdfs://nn/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", None))
+    assert shared_folder(session("local[2]", None)).startswith("/")
+
+
 def test_names_locations_and_drop(spark, scratch):
     elsewhere = scratch("elsewhere")
     lake = Lake(spark, scratch("root"), {"dev.gold.far": elsewhere})
