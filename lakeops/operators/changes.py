@@ -116,6 +116,30 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _key_range(source: DataFrame, schema: T.StructType, keys: Sequence[str]) -> Column:
+    """The range of the source's keys as a filter on the target.
+
+    It reaches the Parquet scan, so on a table laid out by its keys most files and row groups are skipped before the
+    join. Only keys of the same type on both sides whose values pass through Python unchanged take part.
+    """
+    plain = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.StringType, T.DateType)
+    types = {f.name.lower(): f.dataType for f in schema.fields}
+    used = [
+        f.name
+        for f in source.schema.fields
+        if f.name.lower() in {k.lower() for k in keys}
+        and isinstance(f.dataType, plain)
+        and types.get(f.name.lower()) == f.dataType
+    ]
+    if not used:
+        return F.lit(True)
+    ends = source.agg(*[f(k).alias(f"{n}_{k}") for k in used for n, f in (("low", F.min), ("high", F.max))]).first()
+    condition = F.lit(True)
+    for k in used:
+        condition = condition & F.col(k).between(F.lit(ends[f"low_{k}"]), F.lit(ends[f"high_{k}"]))
+    return condition
+
+
 def _clause(clause: str | Mapping[str, str] | None, schema: T.StructType, source: DataFrame) -> dict:
     """Column expressions of an UPDATE or INSERT clause; "all" copies the columns the source has."""
     if clause is None:
@@ -168,7 +192,8 @@ def _merge_landed(target, source, keys, update, insert, delete_when, update_when
 
     touched: list[str] = []
     if state.live:
-        located = target.scan_state(state).select(*keys, F.col("_metadata.file_path").alias("lk_file"))
+        near = target.scan_state(state).where(_key_range(source, schema, keys))
+        located = near.select(*keys, F.col("_metadata.file_path").alias("lk_file"))
         touched = _distinct_files(located.join(source.select(*keys), list(keys), "left_semi").select("lk_file"))
 
     rewrites = update is not None or delete_when is not None

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops.operators.changes import touched_files, without_files
 from lakeops.operators.schemas import merge_schemas
+from lakeops.operators.upkeep import compact
 from lakeops.sources.snapshot import CommitConflict, CommitResult, Lake, SnapshotTable, schema_of
 
 
@@ -34,6 +35,17 @@ def _fit(df: DataFrame, state: Row, merge_schema: bool) -> tuple[DataFrame, Row]
 
 
 _APPEND_ATTEMPTS = 50
+_AUTO_COMPACT_AT = 50
+
+
+def _auto_compact(target: SnapshotTable, state: Row) -> None:
+    """Merge the files of many small appends, for tables with the property ``auto_compact``."""
+    wanted = dict(state.properties or {}).get("auto_compact") == "true"
+    if wanted and len(state.live) >= _AUTO_COMPACT_AT:
+        try:
+            compact(target)
+        except CommitConflict:
+            pass  # someone else is writing; a later append tries again
 
 
 def _definition(state: Row) -> tuple:
@@ -59,7 +71,9 @@ def append(
     metrics = {"numOutputRows": counts["rows_written"]}
     for _ in range(_APPEND_ATTEMPTS):
         try:
-            return target.commit(state.version, state, operation, metrics, [*state.live, *added], txn)
+            done = target.commit(state.version, state, operation, metrics, [*state.live, *added], txn)
+            _auto_compact(target, state)
+            return done
         except CommitConflict:
             # An append depends on no other row, so it can follow any commit that kept the table's definition.
             newest = target.state()

@@ -142,6 +142,7 @@ def load_status_spec(name: str) -> TableSpec:
         LOAD_STATUS_SCHEMA,
         comment="One row per executed step with a target",
         cluster_by=("etls_catalog", "etls_schema", "etls_table_name", "etls_status"),
+        properties={"optimize_write": "true", "auto_compact": "true"},
     )
 
 

@@ -241,6 +241,8 @@ class SnapshotTable:
         if partition_by and not arranged:
             # Adaptive execution cuts an oversized partition value into several tasks.
             df = df.hint("rebalance", *partition_by)
+        elif not arranged and dict(state.properties or {}).get("optimize_write") == "true":
+            df = df.hint("rebalance")
         broken = {
             name: ~F.coalesce(F.expr(rule), F.lit(True)) for name, rule in dict(state.constraints or {}).items()
         }

@@ -244,6 +244,40 @@ def test_two_writers_one_wins(lake):
         target.commit(state.version, state, "WRITE", {"numOutputRows": 0}, state.live)
 
 
+def test_many_small_appends_are_compacted_on_the_way(spark, lake, monkeypatch):
+    monkeypatch.setattr("lakeops.operators.writes._AUTO_COMPACT_AT", 4)
+    target = build(lake, rows=[], properties={"auto_compact": "true", "optimize_write": "true"})
+    for i in range(6):
+        done = append(rows_df(spark, [(i, "x", i)], DDL), target)
+        assert done.row_counts == (1, 0, 0)
+    assert "OPTIMIZE" in {r.operation for r in target.history().collect()}
+    assert len(target.live_files()) < 6
+    assert sorted(r.id for r in target.read().collect()) == list(range(6))
+
+
+def test_merge_on_text_and_time_keys(spark, lake):
+    ddl = "k STRING, at TIMESTAMP, n INT"
+    rows = [(f"k{i}", f"2024-01-0{i} 10:00:00", i) for i in range(1, 6)]
+
+    def frame(rows):
+        return rows_df(spark, rows, ddl.replace("TIMESTAMP", "STRING")).withColumn("at", F.col("at").cast("timestamp"))
+
+    ensure_tables(lake, [TableSpec("d.s.keys", frame(rows).schema)])
+    target = lake.table("d.s.keys")
+    append(frame(rows), target)
+    source = frame([("k2", "2024-01-02 10:00:00", 20), ("k3", "2024-01-09 10:00:00", 30), ("zz", None, 0)])
+    assert merge(target, source, ["k", "at"]).row_counts == (2, 1, 0)
+    assert {(r.k, r.n) for r in target.read().collect()} == {
+        ("k1", 1), ("k2", 20), ("k3", 3), ("k4", 4), ("k5", 5), ("k3", 30), ("zz", 0)
+    }
+
+
+def test_merge_with_only_null_keys(spark, lake):
+    target = build(lake)
+    assert merge(target, rows_df(spark, [(None, "s", 1)], DDL), ["id"]).row_counts == (1, 0, 0)
+    assert target.read().count() == 6
+
+
 def test_concurrent_appends_all_land(spark, lake):
     from concurrent.futures import ThreadPoolExecutor
 
