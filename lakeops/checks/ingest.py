@@ -111,8 +111,8 @@ def ingest_evolve(spark, sf):
 @check(
     "metrics_stream",
     """SELECT batch, operation, inserted FROM (
-         SELECT 1 AS batch, 'STREAMING UPDATE' AS operation, count_if(o_orderstatus = 'O') AS inserted FROM orders
-         UNION ALL SELECT 2, 'STREAMING UPDATE', count_if(o_orderstatus <> 'O') FROM orders)""",
+         SELECT 1 AS batch, 'STREAMING UPDATE' AS operation, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS inserted FROM orders
+         UNION ALL SELECT 2, 'STREAMING UPDATE', CAST(count_if(o_orderstatus <> 'O') AS BIGINT) FROM orders)""",
 )
 def metrics_stream(spark, sf):
     orders = table(spark, sf, "orders")

@@ -223,7 +223,7 @@ def maint_plan(spark, sf):
 @check(
     "plan_counts",
     _sql("""SELECT (SELECT count(*) FROM rules) AS active_rules, CAST(0 AS BIGINT) AS invalid_names,
-    (SELECT count(*) FROM dues) AS candidate_tables, (SELECT count_if(is_due) FROM dues) AS due_tables"""),
+    (SELECT count(*) FROM dues) AS candidate_tables, (SELECT CAST(count_if(is_due) AS BIGINT) FROM dues) AS due_tables"""),
 )
 def plan_counts(spark, sf):
     return plan_summary(maintenance_rules(spark, sf), customer_inventory(spark, sf), _run_date(), **WHEN)
@@ -390,9 +390,9 @@ def vacuum_listing(spark, sf):
 @check(
     "column_stats",
     """SELECT column_name, row_count, null_count, min_value, max_value FROM (
-      SELECT 'l_orderkey' AS column_name, count(*) AS row_count, count_if(l_orderkey IS NULL) AS null_count,
+      SELECT 'l_orderkey' AS column_name, count(*) AS row_count, CAST(count_if(l_orderkey IS NULL) AS BIGINT) AS null_count,
         CAST(min(l_orderkey) AS VARCHAR) AS min_value, CAST(max(l_orderkey) AS VARCHAR) AS max_value FROM lineitem
-      UNION ALL SELECT 'l_returnflag', count(*), count_if(l_returnflag = 'A'),
+      UNION ALL SELECT 'l_returnflag', count(*), CAST(count_if(l_returnflag = 'A') AS BIGINT),
         min(CASE WHEN l_returnflag <> 'A' THEN l_returnflag END), max(l_returnflag) FROM lineitem
       UNION ALL SELECT 'l_linenumber', count(*), 0, CAST(min(l_linenumber) AS VARCHAR),
         CAST(max(l_linenumber) AS VARCHAR) FROM lineitem)""",

@@ -124,8 +124,8 @@ def dq_allowed(spark, sf):
 @check(
     "dq_not_null",
     """SELECT rule, row_count FROM (
-      SELECT 'type_required' AS rule, count_if(event_type = 'error') AS row_count FROM events
-      UNION ALL SELECT 'value_required', count_if(value > 100) FROM events
+      SELECT 'type_required' AS rule, CAST(count_if(event_type = 'error') AS BIGINT) AS row_count FROM events
+      UNION ALL SELECT 'value_required', CAST(count_if(value > 100) AS BIGINT) FROM events
       UNION ALL SELECT 'user_required', 0 FROM (SELECT 1))""",
 )
 def dq_not_null(spark, sf):
@@ -251,7 +251,7 @@ def load_status(spark, sf):
     "load_report",
     f"""SELECT etls_load_date, etls_catalog, etls_schema, etls_table_name, count(*) AS steps,
           CAST(sum(etls_rows_inserted) AS BIGINT) AS rows_inserted, CAST(sum(etls_rows_updated) AS BIGINT) AS rows_updated,
-          CAST(sum(etls_rows_deleted) AS BIGINT) AS rows_deleted, count_if(etls_status = 'FAILED') AS failures
+          CAST(sum(etls_rows_deleted) AS BIGINT) AS rows_deleted, CAST(count_if(etls_status = 'FAILED') AS BIGINT) AS failures
         FROM ({LOAD_STATUS_SQL}) GROUP BY 1, 2, 3, 4""",
 )
 def load_reports(spark, sf):

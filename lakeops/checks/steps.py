@@ -71,9 +71,10 @@ def config_scan(spark, sf):
 
 @check(
     "step_order",
-    f"""SELECT emc_id, row_number() OVER (PARTITION BY emc_task_id, emc_target_layer
-                 ORDER BY TRY_CAST(emc_seq AS INTEGER), emc_seq, emc_id) AS numeric_place,
-               row_number() OVER (PARTITION BY emc_task_id, emc_target_layer ORDER BY emc_seq, emc_id) AS text_place
+    f"""SELECT emc_id, CAST(row_number() OVER (PARTITION BY emc_task_id, emc_target_layer
+                 ORDER BY TRY_CAST(emc_seq AS INTEGER), emc_seq, emc_id) AS INTEGER) AS numeric_place,
+               CAST(row_number() OVER (PARTITION BY emc_task_id, emc_target_layer ORDER BY emc_seq, emc_id) AS INTEGER)
+                 AS text_place
         FROM ({STEP_CONFIG_SQL})""",
 )
 def step_places(spark, sf):
@@ -366,7 +367,7 @@ _pass_through(
       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running,
     lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS status_before
     FROM dev.bronze.orders""",
-    """SELECT o_orderkey, row_number() OVER w AS place, CAST(sum(o_custkey) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+    """SELECT o_orderkey, CAST(row_number() OVER w AS INTEGER) AS place, CAST(sum(o_custkey) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
     AND CURRENT ROW) AS BIGINT) AS running, lag(o_orderstatus) OVER w AS status_before FROM orders
     WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
 )
@@ -408,8 +409,8 @@ _pass_through(
     """SELECT upper(substring(event_type, 1, 3)) AS kind, date_format(ts, 'yyyy-MM') AS month, dayofmonth(ts) AS dom,
     count(*) AS event_count, max(length(props)) AS longest FROM dev.bronze.events
     GROUP BY upper(substring(event_type, 1, 3)), date_format(ts, 'yyyy-MM'), dayofmonth(ts)""",
-    """SELECT upper(substring(event_type, 1, 3)) AS kind, strftime(ts, '%Y-%m') AS month, day(ts) AS dom,
-    count(*) AS event_count, max(length(props)) AS longest FROM events GROUP BY 1, 2, 3""",
+    """SELECT upper(substring(event_type, 1, 3)) AS kind, strftime(ts, '%Y-%m') AS month,
+    CAST(day(ts) AS INTEGER) AS dom, count(*) AS event_count, CAST(max(length(props)) AS INTEGER) AS longest FROM events GROUP BY 1, 2, 3""",
 )
 _pass_through(
     "json_fields",

@@ -306,9 +306,9 @@ def version_diff(spark, sf):
 
 @check(
     "diff_counts",
-    """SELECT count_if(c_mktsegment = 'HOUSEHOLD') AS rows_inserted,
-              count_if(c_mktsegment <> 'HOUSEHOLD' AND c_nationkey = 5) AS rows_updated,
-              count_if(c_nationkey = 6 AND c_mktsegment <> 'HOUSEHOLD') AS rows_deleted FROM customer""",
+    """SELECT CAST(count_if(c_mktsegment = 'HOUSEHOLD') AS BIGINT) AS rows_inserted,
+              CAST(count_if(c_mktsegment <> 'HOUSEHOLD' AND c_nationkey = 5) AS BIGINT) AS rows_updated,
+              CAST(count_if(c_nationkey = 6 AND c_mktsegment <> 'HOUSEHOLD') AS BIGINT) AS rows_deleted FROM customer""",
 )
 def diff_counts(spark, sf):
     customers = table(spark, sf, "customer")

@@ -19,6 +19,17 @@ TABLES = (
 ).split()
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for name in TABLES:
@@ -59,6 +70,10 @@ def compare(spark, sf_dir: str, query, sql: str | None) -> tuple[bool, str]:
     want_columns, want = _sorted_rows(columns, cursor.fetchall())
     if got_columns != want_columns:
         return False, f"columns {got_columns} != {want_columns}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    apart = {c: (t, types[c]) for c, t in df.dtypes if DUCK_TYPES.get(t, t) != types[c]}
+    if apart:
+        return False, f"types differ: {apart}"
     if len(got) != len(want):
         return False, f"{len(got)} rows != {len(want)}"
     different = [(g, w) for g, w in zip(got, want) if g != w]
