@@ -16,8 +16,10 @@ from lakeops.llm.components import components
 WORDS, PERCENT = 5, 80
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Size of the list of frequent shingles and of the bit table below. They bound what is broadcast; no result depends on them.
-FREQUENT, BITS = 65_536, 1 << 24
-_CHUNK, _SEEN_AT = 2_000_000, 8
+FREQUENT, BITS = 1 << 18, 1 << 24
+_CHUNK, _SEEN_AT = 4_000_000, 3
+#: Percent of a set by which its prefix is longer than needed to meet a partner, so that partners must share as many columns.
+EXTRA = 5
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -62,8 +64,9 @@ def _profile(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFram
     def counted() -> pd.DataFrame:
         values, n = np.unique(np.concatenate(waiting), return_counts=True)
         often = np.flatnonzero(n >= _SEEN_AT)
-        often = often[np.argsort(n[often])[::-1][: FREQUENT // 16]]
-        return pd.DataFrame({"doc_id": pd.array([None] * len(often), "Int64"), "n": n[often], "sig": 0, "h": values[often].view(np.int64)})
+        often = often[np.argsort(n[often])[::-1][: FREQUENT // 8]]
+        none = pd.array([None] * len(often), "Int64")
+        return pd.DataFrame({"doc_id": none, "text_key": none, "n": n[often], "sig": 0, "h": values[often].view(np.int64)})
 
     for frame in frames:
         n, sig = [], []
@@ -76,7 +79,7 @@ def _profile(frames: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFram
             if held > _CHUNK:
                 yield counted()
                 waiting, held = [], 0
-        yield pd.DataFrame({"doc_id": frame[ID].astype("Int64"), "n": n, "sig": sig, "h": pd.array([None] * len(n), "Int64")})
+        yield pd.DataFrame({"doc_id": frame[ID].astype("Int64"), "text_key": frame["text_key"].astype("Int64"), "n": n, "sig": sig, "h": pd.array([None] * len(n), "Int64")})
     if held:
         yield counted()
 
@@ -88,7 +91,7 @@ class _Order:
     passages and headers out of the prefixes.
     """
 
-    def __init__(self, hashes: list[int]):
+    def __init__(self, hashes: np.ndarray):
         values = np.array(hashes, np.int64).view(np.uint64)
         by = np.argsort(values)
         self.values, self.rank = values[by], by
@@ -113,7 +116,7 @@ def _prefixes(frames: Iterator[pd.DataFrame], words: int, percent: int, order) -
             if not n or (sig := signature(hashes)) in seen:
                 continue
             seen.add(sig)
-            prefix = order.arrange(hashes)[: n - (percent * n + 99) // 100 + 1]
+            prefix = order.arrange(hashes)[: n - (percent * n + 99) // 100 + 1 + EXTRA * n // 100]
             out.append((prefix, sig, n))
         if out:
             sizes = [len(p) for p, _, _ in out]
@@ -157,16 +160,34 @@ def _bit_table(df: DataFrame, column: str) -> bytes:
     return bytes(table)
 
 
-def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Sums up the products of the column blocks by pair and drops pairs whose sizes and positions rule a link out.
+def _prefix(n, percent: int):
+    """Columns of a set's prefix when it is the larger of a pair."""
+    return n - F.ceil(n * F.lit(percent) / F.lit(100)) + 1 + F.floor(n * F.lit(EXTRA) / F.lit(100))
 
-    ``pairs`` has a row for each prefix column that a pair shares: a the smaller set, pa and pb its places there.
+
+def _index_prefix(n, percent: int):
+    """Columns of a set's prefix when it is the smaller of a pair, which needs fewer."""
+    return n - F.ceil(n * F.lit(2 * percent) / F.lit(100 + percent)) + 1 + F.floor(n * F.lit(EXTRA) / F.lit(100))
+
+
+def _candidates(pairs: DataFrame, percent: int, best: bool = False) -> DataFrame:
+    """Sums up the products of the column blocks by pair and drops pairs whose sizes rule a link out.
+
+    ``pairs`` has a row for each prefix column that a pair shares: a the smaller set, pa and pb its places there. Of
+    what the pair shares besides, all lies behind the prefix of one of the two: the one whose prefix ends first.
+    With ``best`` only the partner that shares most is kept of each larger set.
     """
+    pairs = pairs.where(F.col("pa") < _index_prefix(F.col("na"), percent))
     least = _least_overlap(F.col("na"), F.col("nb"), percent)
     summed = pairs.where(F.col("na") * 100 >= F.col("nb") * percent).groupBy("a", "b", "na", "nb")
     summed = summed.agg(F.count("*").alias("shared"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return summed.where(rest >= least).select("a", "b", "na", "nb")
+    behind = F.greatest(F.col("na") - _index_prefix(F.col("na"), percent), F.col("nb") - _prefix(F.col("nb"), percent))
+    found = summed.where((rest >= least) & (F.col("shared") + behind >= least))
+    if best:
+        partner = F.struct(F.col("shared"), "a", "na")
+        found = found.groupBy("b", "nb").agg(F.max(partner).alias("x")).select("b", "nb", "x.a", "x.na")
+    return found.select("a", "b", "na", "nb")
 
 
 def _ordered(x: str, y: str, nx: str, ny: str, px: str, py: str) -> list:
@@ -176,16 +197,25 @@ def _ordered(x: str, y: str, nx: str, ny: str, px: str, py: str) -> list:
     return [pick(p, q).alias(k) for k, p, q in (("a", x, y), ("b", y, x), ("na", nx, ny), ("nb", ny, nx), ("pa", px, py), ("pb", py, px))]
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int, store: Landings, label: str) -> DataFrame:
     """The candidate pairs (a, b) whose whole sets reach the similarity."""
+    pairs = store.keep(pairs, label)
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
+    wanted = pairs.sparkSession.sparkContext.broadcast(_bit_table(ends, "sig"))
+    sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
+    sets = sets.groupBy("sig").agg(F.first("s").alias("s"))
     both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("s").alias("sa")), "a")
     both = both.join(sets.select(F.col("sig").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")
+    return store.keep(both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b"), f"{label}-links")
 
 
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (the lowest doc_id its links reach, itself included).
+    """Per row of ``docs``: doc_id, n_shingles, component_id (the lowest doc_id its links reach, itself included), text_key, group_key.
+
+    ``text_key`` is xxhash64 of the text, ``group_key`` the same for all rows of a group and null for texts without words.
 
     Two documents link when 100 * |A and B| >= percent * |A or B| over their sets of distinct word shingles. The
     incidence matrix of classes of equal sets by shingles is kept in coordinate form and dealt by column; each block
@@ -194,7 +224,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     positions drop the pairs that cannot, and the rest is decided on the whole sets.
 
     Pairs inside one large group are not all made. A first product links each set of a column with the first one and
-    the one before it. The second makes the remaining pairs of a column only between different components, so nothing
+    the one before it, and keeps the best such partner of each. The second makes the remaining pairs of a column only between different components, so nothing
     is lost and a group of many near copies costs its size, not its square.
 
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
@@ -202,9 +232,10 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     spark, store = docs.sparkSession, Landings("jaccard")
     rows = id_and_text(docs)
-    profile = store.keep(rows.mapInPandas(lambda f: _profile(f, words), "doc_id long, n int, sig long, h long"), "profile")
+    keyed = rows.withColumn("text_key", F.xxhash64(TEXT))
+    profile = store.keep(keyed.mapInPandas(lambda f: _profile(f, words), "doc_id long, text_key long, n int, sig long, h long"), "profile")
     often = profile.where("h is not null").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(FREQUENT)
-    order = spark.sparkContext.broadcast(_Order([r["h"] for r in often.collect()][::-1]))
+    order = spark.sparkContext.broadcast(_Order(often.select("h").toPandas()["h"].to_numpy()[::-1]))
 
     work = Landings("jaccard-work")
     texts = rows.select(TEXT)
@@ -213,36 +244,32 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     column = Window.partitionBy("h").orderBy("n", "sig")
     shared = incidence.withColumn("before", F.lag("sig").over(column)).withColumn("after", F.lead("sig").over(column))
     shared = work.keep(shared.where("before is not null or after is not null").select("h", "sig", "n", "pos"), "shared")
-    wanted = spark.sparkContext.broadcast(_bit_table(shared, "sig"))
-    sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
-    sets = work.keep(sets.dropDuplicates(["sig"]), "sets")
 
     start = F.struct("sig", "n", "pos")
     steps = shared.withColumn("head", F.first(start).over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     steps = steps.withColumn("prior", F.lag(start).over(column)).where("prior is not null")
     steps = steps.select("h", "sig", "n", "pos", F.explode(F.array_distinct(F.array("head", "prior"))).alias("o"))
     steps = steps.select("sig", "n", "pos", F.col("o.sig").alias("osig"), F.col("o.n").alias("on"), F.col("o.pos").alias("opos"))
-    first = _candidates(steps.select(_ordered("sig", "osig", "n", "on", "pos", "opos")), percent)
-    links = work.keep(_linked(first, sets, percent), "links")
+    first = _candidates(steps.select(_ordered("sig", "osig", "n", "on", "pos", "opos")), percent, best=True)
+    links = _linked(first, texts, words, percent, work, "first")
     group = components(links, "a", "b", "jaccard-first")
 
     known = shared.join(group.select(F.col("node").alias("sig"), F.col("root").alias("c")), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     mixed = known.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
     open_ = work.keep(known.join(mixed, "h", "left_semi"), "open")
     a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c")]) for s in "ab")
-    index = F.col("n_a") - F.ceil(F.col("n_a") * (2 * percent) / F.lit(100 + percent)) + 1
-    rest = a.where(F.col("pos_a") < index).join(b, "h").where(
+    rest = a.where(F.col("pos_a") < _index_prefix(F.col("n_a"), percent)).join(b, "h").where(
         ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("sig_a") < F.col("sig_b"))))
         & (F.col("c_a") != F.col("c_b"))
         & (F.col("n_a") * 100 >= F.col("n_b") * percent)
     )
     rest = rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
-    late = work.keep(_linked(_candidates(rest, percent), sets, percent), "late")
+    late = _linked(_candidates(rest, percent), texts, words, percent, work, "late")
     group = components(links.union(late), "a", "b", "jaccard")
     work.drop_all()
 
-    of = profile.where("h is null").select(ID, F.col("n").alias("n_shingles"), "sig")
+    of = profile.where("h is null").select(ID, "text_key", F.col("n").alias("n_shingles"), "sig")
     of = of.join(group.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     lowest = of.where("n_shingles > 0").groupBy("root").agg(F.min(ID).alias("lowest"))
     own = F.when(F.col("n_shingles") == 0, F.col(ID)).otherwise(F.col("lowest"))
-    return of.join(lowest, "root", "left").select(ID, F.col("n_shingles").cast("long").alias("n_shingles"), own.alias("component_id"), "sig")
+    return of.join(lowest, "root", "left").select(ID, F.col("n_shingles").cast("long").alias("n_shingles"), own.alias("component_id"), "text_key", F.when(F.col("n_shingles") > 0, F.col("root")).alias("group_key"))

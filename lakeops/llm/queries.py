@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakeops.llm.bitplanes import read_digests, write_ids
 from lakeops.llm.common import table
+from lakeops.llm.decontaminate import contaminated
 from lakeops.llm.jaccard import jaccard_groups
+from lakeops.llm.licenses import license_labels
+from lakeops.llm.pieces import encode_pieces
+from lakeops.llm.pii import personal_data
+from lakeops.llm.quality import KEEP_AT, graded_scores, three_grades, train
+from lakeops.llm.sketches import edited_fingerprints
+from lakeops.llm.token_counts import token_counts
+from lakeops.llm.warc import derivatives, response_records
+from lakeops.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +56,55 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 )
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op2_benchmark_decontamination")
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "question_cover", "answer_cover")
+
+
+@query("op3_token_id_planes")
+def op3_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_digests(spark, path)
+
+
+@query("op4_warc_derivatives")
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = derivatives(response_records(table(spark, sf_dir, "pages")))
+    return made.select("page_id", "kind", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "n_bytes")
+
+
+@query("op6_bottom_k_sketch")
+def op6_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_pieces", "ids_crc32", "n_decoded", "round_trip")
+
+
+@query("op8_personal_data")
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, three_grades(table(spark, sf_dir, "labels")), 3)
+    return graded_scores(spark, docs, model).withColumn("keep", F.col("top_tail") >= KEEP_AT)
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(table(spark, sf_dir, "documents"))
