@@ -11,7 +11,7 @@ from lakeops.llm.decontaminate import contaminated
 from lakeops.llm.jaccard import jaccard_groups
 from lakeops.llm.pieces import encode_pieces
 from lakeops.llm.pii import fit_classifier, masked, with_spans
-from lakeops.llm.quality import KEEP_AT, graded_scores, three_grades, train
+from lakeops.llm.quality import KEEP_AT, score_column, three_grades, train
 from lakeops.session import scratch_path
 
 
@@ -35,8 +35,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is decided by its text alone, so null and empty texts, copies and repeated rows fare alike; without labels all stay.
     """
     model = train(docs, three_grades(table(spark, sf_dir, "labels")), 3)
-    rows = graded_scores(spark, _packed(docs), model, keep=["row"])
-    return rows.where(F.col("top_tail") >= KEEP_AT).select(_columns(docs))
+    rows = _packed(docs).withColumn("s", score_column(spark, model, F.col("text")))
+    return rows.where(F.col("s.top_tail") >= KEEP_AT).select(_columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

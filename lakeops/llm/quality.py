@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType
 from xxhash import xxh32_intdigest
 
 from lakeops.llm.common import ID, TEXT, WordCache, batches, id_and_text, per_worker
@@ -155,34 +156,34 @@ def train(docs: DataFrame, graded: DataFrame, grades: int, per_grade: int = PER_
     return fit(join(number, np.int32), join(value, np.float32), starts, data["grade"].to_numpy(np.int64), grades, prior=prior)
 
 
-def graded_scores(spark: SparkSession, docs: DataFrame, model: CumulativeLink, keep: list[str] | None = None) -> DataFrame:
-    """Per row of ``docs``: its columns ``keep`` (default doc_id), then expected_grade and top_tail = P(top grade).
-
-    Null and empty texts have the one feature of a text without words. Rows are scored each on its own: repeated rows
-    and copies get the same figures. A map without a shuffle; the broadcast model has a fixed size.
-    """
+def score_column(spark: SparkSession, model: CumulativeLink, text: Column) -> Column:
+    """Struct (expected_grade, top_tail) of a text, top_tail = P(top grade). Only the text goes to Python; null counts as empty."""
     sent = spark.sparkContext.broadcast((model.weights, model.thresholds))
-    keep = [ID] if keep is None else keep
 
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         weights, thresholds = sent.value
         link = CumulativeLink(weights, thresholds)
         tokens = per_worker(lambda: WordCache(_token, size=300_000), "quality tokens")
-        for frame in batches(frames, 1_000):
-            score = np.empty(len(frame))
-            for k, text in enumerate(frame["_scored_text"]):
-                number, value = text_features(text, tokens)
+        for texts in parts:
+            score = np.empty(len(texts))
+            for k, one in enumerate(texts):
+                number, value = text_features(one, tokens)
                 score[k] = float(weights[number] @ value)
             tails = link.tails(score)
-            out = frame.drop(columns="_scored_text")
-            out["_expected"], out["_top"] = tails.sum(1), tails[:, -1]
-            yield out
-
-    # the kept columns travel under numbers, so that none can clash
-    rows = docs.select(*[F.col(c).alias(f"c{k}") for k, c in enumerate(keep)], F.coalesce(F.col(TEXT), F.lit("")).alias("_scored_text"))
-    fields = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "_scored_text")
-    out = rows.mapInPandas(scored, f"{fields}{', ' if fields else ''}_expected double, _top double")
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(keep)], F.col("_expected").alias("expected_grade"), F.col("_top").alias("top_tail"))
+            yield pd.DataFrame({"expected_grade": tails.sum(1), "top_tail": tails[:, -1]})
+
+    udf = F.pandas_udf(scored, "expected_grade double, top_tail double", PandasUDFType.SCALAR_ITER)
+    return udf(F.coalesce(text, F.lit("")))
+
+
+def graded_scores(docs: DataFrame, model: CumulativeLink) -> DataFrame:
+    """Per row of ``docs``: doc_id, expected_grade, top_tail.
+
+    Null and empty texts have the one feature of a text without words. Rows are scored each on its own: repeated rows
+    and copies get the same figures, null ids stay. A map without a shuffle; the broadcast model has a fixed size.
+    """
+    rows = id_and_text(docs).withColumn("s", score_column(docs.sparkSession, model, F.col(TEXT)))
+    return rows.select(ID, "s.expected_grade", "s.top_tail")
 
 
 def three_grades(labels: DataFrame) -> DataFrame:

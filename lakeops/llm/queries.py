@@ -102,7 +102,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, three_grades(table(spark, sf_dir, "labels")), 3)
-    return graded_scores(spark, docs, model).withColumn("keep", F.col("top_tail") >= KEEP_AT)
+    return graded_scores(docs, model).withColumn("keep", F.col("top_tail") >= KEEP_AT)
 
 
 @query("op10_license_scan")
