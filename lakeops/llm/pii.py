@@ -260,7 +260,9 @@ def span_classifier(rows: list[tuple[tuple[int, ...], float, int]], rounds: int
 
 def fit_classifier(docs: DataFrame) -> dict[tuple[int, int], float]:
     """Votes of the candidates of all texts, counted by pattern, then EM and the classifier on the counts."""
-    rows = _with_candidates(_with_base(id_and_text(docs).select(TEXT))).select(F.explode("_candidates").alias("c"))
+    rows = _with_candidates(_with_base(id_and_text(docs).select(TEXT)))
+    # the outer form: the other one adds a filter on the array, which is pushed down and finds the candidates several times over
+    rows = rows.select(F.explode_outer("_candidates").alias("c")).where("c is not null")
     counted = rows.groupBy("c.kind", "c.votes", "c.features").count().collect()  # one row per pattern
     accuracy, share = reliabilities([(r["kind"], tuple(r["votes"]), r["count"]) for r in counted])
     return span_classifier([(tuple(r["features"]), posterior(tuple(r["votes"]), accuracy, share[r["kind"]]), r["count"]) for r in counted])
