@@ -336,6 +336,15 @@ _pass_through(
     """SELECT c_mktsegment, o_orderstatus, count(*) AS order_count, count(DISTINCT o_custkey) AS customers
     FROM dev.bronze.orders JOIN dev.bronze.customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_orderstatus""",
 )
+_pass_through(
+    "literal_name",
+    ["orders"],
+    """/* dev.bronze.orders */ SELECT 'dev.bronze.orders' AS source, -- dev.bronze.orders
+    "it's dev.bronze.orders" AS note, o_orderkey FROM `dev`.`bronze`.`orders` WHERE o_custkey IN
+    (SELECT max(o_custkey) FROM Dev.bronze.orders GROUP BY o_orderdate)""",
+    """SELECT 'dev.bronze.orders' AS source, 'it''s dev.bronze.orders' AS note, o_orderkey FROM orders WHERE o_custkey IN
+    (SELECT max(o_custkey) FROM orders GROUP BY o_orderdate)""",
+)
 _pass_through(
     "left_join",
     ["customer", "orders"],

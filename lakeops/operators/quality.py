@@ -11,6 +11,7 @@ from lakeops.functions.names import classify_name
 from lakeops.functions.params import detail, has_detail
 from lakeops.operators.landing import landed
 from lakeops.operators.writes import append
+from lakeops.paths import delete
 from lakeops.session import scratch_path
 from lakeops.sources.snapshot import CommitResult, ConstraintViolation, SnapshotTable
 
@@ -80,15 +81,22 @@ def append_gated(
 ) -> tuple[CommitResult, CommitResult | None]:
     """Append good rows; broken rows go to the quarantine table, or fail the append when there is none.
 
-    Without a quarantine table the checks ride on the write, so the rows are read once.
+    Without a quarantine table the checks ride on the write, so the rows are read once. With one the flagged rows are
+    written once to the shared folder and both appends read them there, so a source that gives other rows each time
+    neither loses nor repeats any.
     """
     if quarantine is None:
         try:
             return append(df, target, checks=checks), None
         except ConstraintViolation as broken:
             raise QualityGateFailed(str(broken)) from broken
-    good, bad = gate(df, checks, "quarantine")
-    return append(good, target), append(bad, quarantine, merge_schema=True)
+    flagged, path = landed(with_broken_rules(df, checks), "gated")
+    try:
+        good = flagged.where(F.size("broken_rules") == 0).drop("broken_rules")
+        bad = flagged.where(F.size("broken_rules") > 0)
+        return append(good, target), append(bad, quarantine, merge_schema=True)
+    finally:
+        delete(df.sparkSession, path)
 
 
 def check_steps(config: DataFrame) -> DataFrame:

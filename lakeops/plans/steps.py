@@ -98,15 +98,18 @@ def _details(steps: DataFrame):
 
 
 def bind_statements(steps: DataFrame, library: DataFrame) -> DataFrame:
-    """Steps with the statement they name: left join on (sql_path, sql_var); ``problem`` tells a missing name.
+    """Steps with the statement they name: left join on (sql_path, sql_var), one row per step.
 
-    ``library`` has sql_path, sql_var and sql_text.
+    ``library`` has sql_path, sql_var and sql_text. ``problem`` tells a missing name, and one that several files of a
+    library folder define.
     """
     checked = with_step_problem(steps).withColumn("sql_var", F.trim(detail(_details(steps), "sql_var")))
-    bound = checked.join(library.select("sql_path", "sql_var", "sql_text"), ["sql_path", "sql_var"], "left")
-    unbound = (F.upper("emc_func_type") == "SQL") & F.col("sql_text").isNull()
-    missing = F.when(unbound, F.concat(F.lit("no statement named "), F.col("sql_var")))
-    return bound.withColumn("problem", F.coalesce("problem", missing))
+    named = library.groupBy("sql_path", "sql_var").agg(F.min("sql_text").alias("sql_text"), F.count(F.lit(1)).alias("lk_n"))
+    bound = checked.join(named, ["sql_path", "sql_var"], "left")
+    is_sql = F.upper("emc_func_type") == "SQL"
+    missing = F.when(is_sql & F.col("sql_text").isNull(), F.concat(F.lit("no statement named "), F.col("sql_var")))
+    repeated = F.when(is_sql & (F.col("lk_n") > 1), F.concat(F.lit("several files define the statement "), F.col("sql_var")))
+    return bound.withColumn("problem", F.coalesce("problem", missing, repeated)).drop("lk_n")
 
 
 def render_steps(bound: DataFrame, common: Mapping[str, str], parms_ovrd: str = "") -> DataFrame:
@@ -147,20 +150,36 @@ def load_libraries(spark: SparkSession, steps: DataFrame) -> DataFrame:
 # -- SQL over lake tables ------------------------------------------------------------------------------------------
 
 
+# Literals and comments are taken whole, so that only names outside of them are looked at.
+_TOKEN = re.compile(
+    r"\b[rR](?:'[^']*'|\"[^\"]*\")|'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/"
+    r"|(?P<name>(?:`[^`]+`|\w+)(?:\s*\.\s*(?:`[^`]+`|\w+))*)",
+    re.DOTALL,
+)
+_PART = re.compile(r"`[^`]+`|\w+")
+_LEADING = re.compile(r"^(?:\s+|--[^\n]*(?:\n|$)|/\*.*?\*/)+", re.DOTALL)
+
+
 def lake_sql(lake: Lake, text: str, args: Mapping[str, object] | None = None) -> DataFrame:
     """Run a query whose ``catalog.schema.table`` names are lake tables.
 
-    Each lake table the text names becomes a temporary view called by its full name in backticks. Everything else in
-    the text is Spark SQL as it stands.
+    Each lake table the text names, with or without backticks, becomes a temporary view called by its full name. Only
+    names that occur in the text are looked up. Literals, comments and everything else are Spark SQL as they stand.
     """
-    lowered = text.lower()
-    for name in sorted({*lake.names(), *lake.mounts}, key=len, reverse=True):
-        if name not in lowered:
-            continue
-        pattern = re.compile(rf"(?<![\w.`]){re.escape(name)}(?![\w.`])", re.IGNORECASE)
-        if pattern.search(text):
-            lake.read(name).createOrReplaceTempView(f"`{name}`")
-            text = pattern.sub(f"`{name}`", text)
+    known: dict[str, bool] = {}
+
+    def view(token: re.Match) -> str:
+        parts = _PART.findall(token["name"] or "")
+        if len(parts) != 3:
+            return token[0]
+        name = ".".join(part.strip("`").lower() for part in parts)
+        if name not in known:
+            known[name] = name in lake.mounts or lake.exists(name)
+            if known[name]:
+                lake.read(name).createOrReplaceTempView(f"`{name}`")
+        return f"`{name}`" if known[name] else token[0]
+
+    text = _TOKEN.sub(view, text)
     return lake.spark.sql(text, args=dict(args)) if args else lake.spark.sql(text)
 
 
@@ -189,7 +208,7 @@ def run_statement(lake: Lake, text: str, target: str | None, out_mode: str, deta
     With ``partition_overwrite`` in the details an OVERWRITE replaces only the partitions the new rows fall in.
     Without a target a query is only run. Anything else is refused before it runs.
     """
-    text = text.strip().rstrip(";").strip()
+    text = _LEADING.sub("", text).strip().rstrip(";").strip()
     operation = str(details.get("op") or "").upper()
     overwriting = (out_mode or "").upper() == "OVERWRITE"
     dynamic = bool(details.get("partition_overwrite"))

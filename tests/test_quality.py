@@ -44,6 +44,14 @@ def test_quarantine_splits_and_keeps_every_row(spark, lake):
     assert lake.read("d.s.good").count() == 2
 
 
+def test_quarantine_of_a_source_that_changes(spark, lake):
+    df = spark.range(2000).select(F.col("id").cast("int").alias("id"), F.when(F.rand() < 0.5, "a").otherwise("z").alias("kind"))
+    ensure_tables(lake, [TableSpec("d.s.good", df.schema), TableSpec("d.s.bad", df.schema)])
+    append_gated(df, lake.table("d.s.good"), checks(), lake.table("d.s.bad"))
+    ids = [r.id for name in ("d.s.good", "d.s.bad") for r in lake.read(name).select("id").collect()]
+    assert sorted(ids) == list(range(2000))
+
+
 def test_null_passes_a_sql_check(spark):
     counts = violation_counts(rows_df(spark, ROWS, DDL), {"low": sql_check("id < 2")}).first()
     assert counts.row_count == 1

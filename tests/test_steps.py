@@ -198,6 +198,27 @@ def test_statements_of_each_kind(demo):
     assert as_dict(lake, "dev_etl.gold.test") == {"A": "1"}
 
 
+def test_names_in_literals_and_comments_stay(demo):
+    lake, _ = demo
+    text = r"""SELECT 'dev_etl.bronze.test' AS a, "x''dev_etl.bronze.test" AS b, r'\' AS c, 'it\'s dev_etl.bronze.test' AS d
+    FROM `dev_etl`.`bronze`.`test` /* dev_etl.bronze.test */ LIMIT 1 -- dev_etl.bronze.test"""
+    assert tuple(lake_sql(lake, text).first()) == ("dev_etl.bronze.test", "x''dev_etl.bronze.test", "\\", "it's dev_etl.bronze.test")
+    insert = "-- a note\n/* more */ INSERT INTO dev_etl.silver.test SELECT * FROM dev_etl.bronze.test"
+    assert run_statement(lake, insert, "dev_etl.silver.test", "", {}).row_counts == (8, 0, 0)
+
+
+def test_a_name_that_two_files_define_is_refused(demo, scratch):
+    lake, _ = demo
+    folder = scratch("library")
+    text = '{} = """INSERT INTO dev_etl.gold.test VALUES (1, 1)"""'
+    lake.spark.createDataFrame([(text.format(n),) for n in ("q", "q", "other")], "value STRING").repartition(3).write.option("maxRecordsPerFile", 1).text(folder)
+    steps = [("T", 1, "GOLD", "SQLLOAD", {"sql_path": folder}, "", "")]
+    steps += [("T", k, "GOLD", "SQL", {"sql_var": v, "sql_parms": ""}, "dev_etl.gold.test", "") for k, v in ((2, "other"), (3, "q"))]
+    with pytest.raises(StepFailed, match="several files define the statement q"):
+        run_task(context(lake, configure(lake, *steps)), "T", "GOLD")
+    assert lake.read("dev_etl.gold.test").count() == 1
+
+
 @pytest.mark.parametrize("text", ["DROP TABLE dev_etl.gold.test", "CREATE TABLE x AS SELECT 1", "OPTIMIZE x"])
 def test_other_statements_are_refused_before_they_run(demo, text):
     lake, _ = demo
