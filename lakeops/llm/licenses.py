@@ -35,7 +35,7 @@ TEMPLATES = [
     ("mit", "released under the mit license", ["mit license"]),
     (
         "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
         ["permission is hereby granted free of charge", "without restriction"],
     ),
     (
@@ -53,8 +53,8 @@ TEMPLATES = [
     ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", ["creative commons attribution 4 0 international license"]),
 ]
-#: Highest-IDF template words looked up for a text, and the share of a notice's weight that must stand in its places.
-RARE, SHARE = 12, 0.6
+#: The share of a notice's weight that must stand in its places, and the words by which a key phrase may be off its place.
+SHARE, SLACK = 0.6, 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 VOCABULARY = sorted({w for _, words, _ in TEMPLATES for w in words.split()})
@@ -98,45 +98,69 @@ def word_weights(docs: DataFrame) -> dict[str, float]:
     return {w: log(1 + (n - counts.get(w, 0) + 0.5) / (counts.get(w, 0) + 0.5)) for w in VOCABULARY}
 
 
-def notices(texts: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """(key, label, score) of the notices found in rows (key, words) of distinct texts.
+def looked_up(words: str, weights: dict[str, float]) -> list[str]:
+    """The highest-IDF words of a template, as many as it takes that the others together weigh less than SHARE.
 
-    The template words of a text are ranked by IDF and the RARE highest looked up. Each place of such a word meets the
-    places it has in the templates; the difference of the two is where the template would begin. The weight a template
-    gathers on one beginning, over the weight of its words that were looked up and of those that the text lacks, is
-    its score; at SHARE and with its key phrases in their places the notice counts.
+    A beginning that gathers SHARE has one of them in its place, so looking up all places of these alone misses none.
     """
-    spark = texts.sparkSession
-    postings, phrases = [], []
-    for t, (label, words, must) in enumerate(TEMPLATES):
-        parts = words.split()
-        whole = sum(weights[w] for w in parts)
-        postings += [(w, t, label, o, weights[w], whole) for o, w in enumerate(parts)]
-        for phrase in must:
-            need = phrase.split()
-            phrases.append((t, next(o for o in range(len(parts)) if parts[o : o + len(need)] == need), phrase))
-    index = F.broadcast(spark.createDataFrame(postings, "w string, t int, label string, o int, idf double, whole double"))  # fixed size
-    idf = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.lit(weights[w]))])
-    here = F.array_intersect(F.array_distinct("words"), F.array(*[F.lit(w) for w in VOCABULARY]))
-    ranked = F.array_sort(F.transform(here, lambda w: F.struct((-idf[w]).alias("i"), w.alias("w"))))
-    looked = texts.withColumn("rare", F.transform(F.slice(ranked, 1, RARE), lambda r: r["w"])).withColumn("here", here)
-    hits = looked.select("key", "rare", "here", F.posexplode("words").alias("p", "w")).where(F.array_contains("rare", F.col("w")))
-    hits = hits.join(index, "w")
-    starts = hits.groupBy("key", "t", "label", "whole", (F.col("p") - F.col("o")).alias("start")).agg(F.sum("idf").alias("got"))
-    # a template's words that are in the text but not among those looked up say nothing either way
-    silent = looked.select("key", F.explode(F.array_except("here", "rare")).alias("w")).join(index, "w").groupBy("key", "t").agg(F.sum("idf").alias("silent"))
-    total = F.greatest(F.col("whole") - F.coalesce("silent", F.lit(0.0)), F.lit(1e-9))
-    found = starts.join(silent, ["key", "t"], "left").withColumn("score", F.least(F.col("got") / total, F.lit(1.0))).where(F.col("score") >= SHARE)
-    found = found.join(texts, "key")
-    ok = F.lit(True)
-    for t in range(len(TEMPLATES)):
-        for _, o, phrase in [p for p in phrases if p[0] == t]:
-            parts = phrase.split()
-            held = F.lit(True)
-            for k, part in enumerate(parts):
-                held = held & (F.get("words", F.col("start") + o + k) == part)
-            ok = ok & ((F.col("t") != t) | F.coalesce(held, F.lit(False)))
-    return found.where(ok).groupBy("key", "label").agg(F.max("score").alias("score"))
+    parts = words.split()
+    rest = sum(weights[w] for w in parts)
+    least, picked = SHARE * rest * (1 - 1e-9), []
+    for w in sorted(set(parts), key=lambda w: (-weights[w], w)):
+        if rest < least:
+            break
+        picked.append(w)
+        rest -= weights[w] * parts.count(w)
+    return picked
+
+
+def rare_places(words: Column, weights: dict[str, float]) -> Column:
+    """Places of all words that some template looks up. ``words`` must be a plain column."""
+    rare = sorted({w for _, template, _ in TEMPLATES for w in looked_up(template, weights)})
+    return F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(rare))
+
+
+def _stands(words: Column, at: Column, phrase: list[str]) -> Column:
+    hit = F.get(words, at) == phrase[0]
+    for k, part in enumerate(phrase[1:], 1):
+        hit = hit & (F.get(words, at + k) == part)
+    return F.coalesce(hit, F.lit(False))
+
+
+def _begins(places: Column, words: Column, word: str, offset: int) -> Column:
+    return F.transform(F.filter(places, lambda i: F.get(words, i) == word), lambda i: i - offset)
+
+
+def _notice(words: Column, places: Column, weights: dict[str, float], label: str, template: str, must: list[str]) -> Column:
+    parts = template.split()
+    whole = sum(weights[w] for w in parts)
+    begins = F.concat(*[_begins(places, words, w, o) for w in looked_up(template, weights) for o in range(len(parts)) if parts[o] == w])
+    needs = [(next(o for o in range(len(parts)) if parts[o : o + len(p)] == p), p) for p in (phrase.split() for phrase in must)]
+
+    def scored(start: Column) -> Column:
+        got = F.lit(0.0)
+        for o, w in enumerate(parts):
+            got = got + F.when(F.get(words, start + o) == w, F.lit(weights[w])).otherwise(F.lit(0.0))
+        return F.struct(F.lit(label).alias("label"), F.least(got / F.lit(whole), F.lit(1.0)).alias("score"), start.alias("start"))
+
+    def counts(n: Column) -> Column:
+        ok = n["score"] >= SHARE
+        for o, phrase in needs:
+            near = F.sequence(n["start"] + (o - SLACK), n["start"] + (o + SLACK))
+            ok = ok & F.exists(near, lambda i: _stands(words, i, phrase))  # noqa: B023
+        return ok
+
+    return F.filter(F.transform(F.array_distinct(begins), scored), counts)
+
+
+def notices(words: Column, places: Column, weights: dict[str, float]) -> Column:
+    """Array of (label, score, start) of all notices in a text. ``words`` and ``places`` must be plain columns.
+
+    Each place of a looked-up word, less the places it has in a template, is where the template would begin. The weight
+    of all the template's words that stand in their places from there, over its whole weight, is its score; at SHARE and
+    with each key phrase within SLACK words of its place the notice counts.
+    """
+    return F.concat(*[_notice(words, places, weights, *template) for template in TEMPLATES])
 
 
 def license_labels(docs: DataFrame) -> DataFrame:
@@ -144,8 +168,8 @@ def license_labels(docs: DataFrame) -> DataFrame:
 
     Words are runs of digits, letters and non-ASCII characters after A-Z are lower-cased. Base columns count every place where the
     words of a phrase stand one after another. Labels of notices are added to those of the phrases; score is the best
-    notice's, 1 for a phrase alone, 0 without any. Null and empty texts have no words and no labels. Equal texts are
-    looked up once and all their rows get the result; null ids stay. Two scans and one more for the word weights; only texts with a licence word are shuffled.
+    notice's, 1 for a phrase alone, 0 without any. Null and empty texts have no words and no labels; repeated rows and
+    null ids stay. Every row is decided by itself, so no text is shuffled; the word weights take two scans before.
     """
     rows = id_and_text(docs)
     gapped = F.regexp_replace(TEXT, _GAP, " ")
@@ -159,23 +183,20 @@ def license_labels(docs: DataFrame) -> DataFrame:
     every = F.concat(*[F.coalesce(f"_p{k}", F.expr("cast(array() as array<int>)")) for k in range(len(PHRASES))])
     labels = F.array_compact(F.array(*[F.when(F.size(f"_p{k}") > 0, F.lit(label)) for k, label in enumerate(PHRASES.values())]))
     rows = rows.withColumn("_all", every).withColumn("_base", F.array_sort(F.array_distinct(labels)))
-    # texts without a licence word get a key of their own, so that they are dealt evenly
-    key = F.when(F.col("_might"), F.md5(TEXT)).otherwise(F.concat_ws("", F.lit("-"), F.xxhash64(ID).cast("string")))
-    rows = rows.select(
+    weights = word_weights(docs)
+    rows = rows.withColumn("_places", F.when(F.col("_might"), rare_places(words, weights)))
+    rows = rows.withColumn("_found", F.when(F.col("_might"), notices(words, F.col("_places"), weights)))
+    more = F.array_distinct(F.transform("_found", lambda n: n["label"]))
+    both = F.array_sort(F.array_union("_base", F.coalesce(more, F.expr("cast(array() as array<string>)"))))
+    best = F.array_max(F.transform("_found", lambda n: n["score"]))
+    score = F.coalesce(best, F.when(F.size("_base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return rows.select(
         ID,
         "n_words",
         F.size("_all").cast("long").alias("n_base"),
         F.array_min("_all").cast("long").alias("first_word"),
         F.array_max("_all").cast("long").alias("last_word"),
-        F.col("_base"),
-        key.alias("key"),
-    )
-    texts = id_and_text(docs).where(might).select(F.md5(TEXT).alias("key"), TEXT).dropDuplicates(["key"]).select("key", _words(TEXT).alias("words"))
-    found = notices(texts, word_weights(docs)).groupBy("key").agg(F.collect_set("label").alias("_more"), F.max("score").alias("_score"))
-    out = rows.join(found, "key", "left")
-    none = F.expr("cast(array() as array<string>)")
-    both = F.array_sort(F.array_union("_base", F.coalesce("_more", none)))
-    score = F.coalesce("_score", F.when(F.size("_base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return out.select(
-        ID, "n_words", "n_base", "first_word", "last_word", F.array_join("_base", ",").alias("base_labels"), F.array_join(both, ",").alias("labels"), score.alias("score")
+        F.array_join("_base", ",").alias("base_labels"),
+        F.array_join(both, ",").alias("labels"),
+        score.alias("score"),
     )

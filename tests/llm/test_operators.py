@@ -419,6 +419,37 @@ def test_notices(spark):
     assert got[91].labels == ""  # the key phrase is not there word by word
 
 
+#: The wording of the licences themselves, as their files and headers have it.
+CANONICAL = [
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use'),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+]
+
+
+def test_canonical_notices(spark):
+    docs = spark.createDataFrame([(k, f"# {text}") for k, (_, text) in enumerate(CANONICAL)], "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in licenses.license_labels(docs).collect()}
+    assert [label for k, (label, _) in enumerate(CANONICAL) if label not in got[k]] == []
+
+
+def test_notices_beside_others(spark):
+    """A second notice, all notices, or many template words by chance hide none."""
+    notices = [(label, words) for label, words, _ in licenses.TEMPLATES]
+    chance = " ".join(licenses.VOCABULARY * 3)
+    pairs = [({a, b}, f"{x}. Then {y}.") for a, x in notices for b, y in notices]
+    cases = pairs + [({a}, f"{chance} {x} {chance}") for a, x in notices] + [({a for a, _ in notices}, ". Next: ".join(x for _, x in notices))]
+    docs = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.license_labels(docs).collect()}
+    assert [(want - got[k], text) for k, (want, text) in enumerate(cases) if not want <= got[k]] == []
+
+
 def test_jaccard_query_matches_sql(spark):
     from lakeops.llm.queries import ORACLES, QUERIES
 
