@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import ID, TEXT, batches, id_and_text
+from lakeops.llm.common import ID, TEXT, Landings, batches, id_and_text
 
 #: Words of a passage, words between passage starts, longest stretch of an item that is one entry of the index.
 PASSAGE, STEP, STRETCH = 64, 32, 48
@@ -134,43 +135,38 @@ def _hits(words: list[bytes], index: Index, threshold: float, cover: float) -> d
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, cover: float = COVER, most_items: int = 200_000) -> DataFrame:
-    """(doc_id, row_key, item_id, score, question_cover, answer_cover) for each row of ``docs`` and test item it holds.
-
-    ``items`` has item_id and text, or question and answer columns beside them. Items are cut into stretches of at most
-    STRETCH words, the entries of a BM25 index whose idf is counted over all rows of ``docs``. Every passage of every text
-    is a query; entries at or above the threshold are retrieved, and an item counts only when enough n-grams of its
-    question and of its answer stand around that passage.
-
-    The index is broadcast in parts of ENTRIES entries, each searched by all passages in a pass of its own, so what a
-    worker holds is bounded; a test set of over ``most_items`` items is refused rather than gathered. Null and empty
-    texts hold nothing, items without words or with a null id are left out, items of the same id count as one (the longest text). ``row_key``
-    (xxhash64 of the text) tells apart rows of one id; repeated rows come back repeated.
-    """
-    spark = docs.sparkSession
+def _items(items: DataFrame) -> DataFrame:
+    """item_id and what an item says, with the ``key`` that items of the same words share."""
     named = {c.lower() for c in items.columns}
-    pick = lambda c: F.col(c) if c in named else F.lit(None).cast("string")
+    pick = lambda c: (F.col(c) if c in named else F.lit(None)).cast("string")
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), pick("text").alias("text"), pick("question").alias("q"), pick("answer").alias("a"))
-    rows = rows.where("item_id is not null").limit(most_items + 1).collect()
-    if len(rows) > most_items:
-        raise ValueError(f"more than {most_items} test items: search them in parts")
-    texts = {}
-    for r in sorted(rows, key=lambda r: (len(r["text"] or ""), r["text"] or "")):
-        pair = (item_words(r["q"]), item_words(r["a"] or "")) if r["q"] else question_and_answer(r["text"] or "")
-        if pair[0] or pair[1]:
-            texts[r["item_id"]] = pair
-    entries = []
-    for item, (question, answer) in sorted(texts.items()):
-        words = question + answer
-        n = -(-len(words) // -(-len(words) // STRETCH))
-        entries += [(item, words[k : k + n]) for k in range(0, len(words), n)]
-    schema = "doc_id long, row_key long, item_id long, score double, question_cover double, answer_cover double"
-    if not entries:
-        return spark.createDataFrame([], schema)
-    source = id_and_text(docs).withColumn("row_key", F.xxhash64(TEXT))
+    return rows.withColumn("key", F.md5(F.to_json(F.struct("text", "q", "a"))))
+
+
+def _parts(text: str | None, q: str | None, a: str | None) -> tuple[list[bytes], list[bytes]]:
+    return (item_words(q), item_words(a or "")) if q else question_and_answer(text or "")
+
 
-    vocabulary = sorted({w for _, words in entries for w in words})
-    sent = spark.sparkContext.broadcast({w: k for k, w in enumerate(vocabulary)})
+def _stretches(words: list[bytes]) -> list[list[bytes]]:
+    n = -(-len(words) // max(1, -(-len(words) // STRETCH)))
+    return [words[k : k + n] for k in range(0, len(words), n or 1)]
+
+
+def _average(distinct: DataFrame) -> float:
+    """Words of a stretch on average over all items, so that a score does not depend on the items read with it."""
+
+    def sizes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held = [sum(map(len, _parts(*r))) for r in zip(frame["text"], frame["q"], frame["a"])]
+            yield pd.DataFrame({"words": [sum(held)], "entries": [sum(-(-n // STRETCH) for n in held)]})
+
+    row = distinct.select("text", "q", "a").mapInPandas(sizes, "words long, entries long").agg(F.sum("words"), F.sum("entries")).first()
+    return (row[0] or 0) / (row[1] or 1)
+
+
+def _document_frequencies(source: DataFrame, vocabulary: list[bytes]) -> dict[bytes, float]:
+    """BM25 idf of each word of ``vocabulary`` over all rows of ``source``."""
+    sent = source.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(vocabulary)})
 
     def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, counts, n = sent.value, np.zeros(len(sent.value) + 1, np.int64), 0
@@ -183,28 +179,73 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
         yield pd.DataFrame({"term": held, "n": counts[held]})
 
     counted = source.select(TEXT).mapInPandas(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r["term"]: r["n"] for r in counted.collect()}  # bounded by the words of the test items
+    df = {r["term"]: r["n"] for r in counted.collect()}  # bounded by the words of the items read at once
     total = df.pop(len(vocabulary), 0)
-    idf = {w: float(np.log(1 + (total - df.get(k, 0) + 0.5) / (df.get(k, 0) + 0.5))) for k, w in enumerate(vocabulary)}
-    average = sum(len(w) for _, w in entries) / len(entries)
-
+    return {w: float(np.log(1 + (total - df.get(k, 0) + 0.5) / (df.get(k, 0) + 0.5))) for k, w in enumerate(vocabulary)}
+
+
+def _searched(source: DataFrame, texts: dict[str, tuple[list[bytes], list[bytes]]], average: float, threshold: float, cover: float) -> DataFrame:
+    """Hits of some items in all rows: (doc_id, row_key, key, score, question_cover, answer_cover)."""
+    keys = sorted(texts)
+    stretches = [_stretches(texts[k][0] + texts[k][1]) for k in keys]
+    idf = _document_frequencies(source, sorted({w for parts in stretches for words in parts for w in words}))
+    # all stretches of an item stand in one part, so that a row meets an item once
+    parts, held = [[]], 0
+    for k, own in enumerate(stretches):
+        if held and held + len(own) > ENTRIES:
+            parts.append([])
+            held = 0
+        parts[-1].append(k)
+        held += len(own)
     found = None
-    for at in range(0, len(entries), ENTRIES):
-        part = entries[at : at + ENTRIES]
-        index = spark.sparkContext.broadcast(build_index(part, {i: texts[i] for i, _ in part}, idf, average))
+    for part in parts:
+        entries = [(k, words) for k in part for words in stretches[k]]
+        built = build_index(entries, {k: texts[keys[k]] for k in part}, idf, average)
+        index = source.sparkSession.sparkContext.broadcast((built, {k: keys[k] for k in part}))
 
         def searched(frames: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
+            at, names = index.value
             for frame in batches(frames, 1_000):
                 out = []
                 for doc, text, key in zip(frame[ID], frame[TEXT], frame["row_key"]):
-                    for item, (score, q, a) in _hits(item_words(text), index.value, threshold, cover).items():
-                        out.append((doc, key, item, score, q, a))
-                got = pd.DataFrame(out, columns=["doc_id", "row_key", "item_id", "score", "question_cover", "answer_cover"])
+                    for item, (score, q, a) in _hits(item_words(text), at, threshold, cover).items():
+                        out.append((doc, key, names[item], score, q, a))
+                got = pd.DataFrame(out, columns=["doc_id", "row_key", "key", "score", "question_cover", "answer_cover"])
                 yield got.astype({"doc_id": "Int64"})
 
-        hits = source.mapInPandas(searched, schema)
+        hits = source.mapInPandas(searched, "doc_id long, row_key long, key string, score double, question_cover double, answer_cover double")
         found = hits if found is None else found.union(hits)
-    if len(entries) > ENTRIES:  # an item whose stretches lie in two parts
-        keys = ["doc_id", "row_key", "item_id"]
-        found = found.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("score", "question_cover", "answer_cover")])
     return found
+
+
+def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, cover: float = COVER, most_items: int = 200_000) -> DataFrame:
+    """(doc_id, row_key, item_id, score, question_cover, answer_cover) for each row of ``docs`` and test item it holds.
+
+    ``items`` has item_id and text, or question and answer columns beside them. Items are cut into stretches of at most
+    STRETCH words, the entries of a BM25 index whose idf is counted over all rows of ``docs``. Every passage of every text
+    is a query; entries at or above the threshold are retrieved, and an item counts only when enough n-grams of its
+    question and of its answer stand around that passage.
+
+    Distinct items are read ``most_items`` at a time, each lot searched in passes of its own whose hits are written to the
+    shared folder, so any number of items is searched with the same result. The index of a lot is broadcast in parts of
+    about ENTRIES entries, so what a worker holds is bounded too. Null and empty texts hold nothing and items without
+    words are left out. An item is its words, not its id: those of one id are all searched, and a hit comes with every
+    id (null too) that has the item. ``row_key`` (xxhash64 of the text) tells apart rows of one id; repeated rows come
+    back repeated.
+    """
+    asked = _items(items)
+    distinct = asked.select("key", "text", "q", "a").dropDuplicates(["key"])
+    source = id_and_text(docs).withColumn("row_key", F.xxhash64(TEXT))
+    store, found = Landings("contaminated"), None
+    average = _average(distinct)
+    rows = distinct.toLocalIterator()
+    while lot := list(islice(rows, most_items)):
+        texts = {r["key"]: _parts(r["text"], r["q"], r["a"]) for r in lot}
+        texts = {k: pair for k, pair in texts.items() if pair[0] or pair[1]}
+        if texts:
+            hits = store.keep(_searched(source, texts, average, threshold, cover), "hits")
+            found = hits if found is None else found.union(hits)
+    columns = ["doc_id", "row_key", "item_id", "score", "question_cover", "answer_cover"]
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, row_key long, item_id long, score double, question_cover double, answer_cover double")
+    return found.join(asked.select("item_id", "key").distinct(), "key").select(columns)

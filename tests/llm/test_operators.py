@@ -104,6 +104,22 @@ def test_contaminated(spark, documents, odd, none):
     assert decontaminate.contaminated(documents, items.limit(0)).count() == 0
 
 
+def test_items_of_null_and_repeated_ids(spark):
+    """Every distinct item is searched and named by all its ids, in any number of lots."""
+    said = [" ".join(f"q{i}x{k}" for k in range(12)) for i in range(4)]
+    items = [(None, said[0]), (1, said[1] + " and more of it"), (1, said[2]), (2, said[3]), (3, said[3]), (3, said[3]), (4, None)]
+    rows = [(10 + i, f"before {t} and more of it after") for i, t in enumerate(said)] + [(13, f"before {said[3]} and more of it after"), (20, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = collections.Counter({(10, None): 1, (11, 1): 1, (12, 1): 1, (13, 2): 2, (13, 3): 2})
+    scores = []
+    for most in (200_000, 2):
+        got = decontaminate.contaminated(docs, benchmark, most_items=most).collect()
+        assert collections.Counter((r.doc_id, r.item_id) for r in got) == want
+        scores.append(sorted((r.doc_id, str(r.item_id), round(r.score, 9)) for r in got))
+    assert scores[0] == scores[1]
+
+
 def test_search_is_exhaustive():
     """Block bounds never pass over an entry that reaches the threshold."""
     random.seed(2)
