@@ -132,6 +132,34 @@ def statement_binding(spark, sf):
     return bound.select("emc_id", text.alias("sql_text"), "problem")
 
 
+@check(
+    "bind_statements_all",
+    f"""WITH steps AS ({STEP_CONFIG_SQL}),
+      library AS (SELECT p_brand, p_name, 'SELECT ' || max(p_partkey) AS sql_text FROM part GROUP BY p_brand, p_name)
+    SELECT emc_id, CASE WHEN upper(emc_func_type) = 'SQL' AND p_size <= 30 THEN sql_text END AS sql_text,
+      CASE WHEN p_size > 45 THEN 'details are not JSON'
+           WHEN upper(emc_func_type) = 'SQL' AND p_size > 40 THEN 'sql_var is missing'
+           WHEN upper(emc_func_type) = 'SQL' AND p_size > 35 THEN 'sql_parms is missing'
+           WHEN upper(emc_func_type) = 'SQL' AND p_size > 30 THEN 'sql_var is missing'
+           WHEN emc_func_type = 'SQLLOAD' AND p_size > 30 THEN 'sql_path is missing'
+           WHEN upper(emc_func_type) = 'NOTEBOOK' AND p_size > 30 THEN 'notebook_path is missing'
+           WHEN emc_func_type = 'BRONZE' THEN 'function type is not known' END AS problem
+    FROM steps s LEFT JOIN library l ON s.p_brand = l.p_brand AND s.p_name = l.p_name""",
+)
+def statement_binding_of_all(spark, sf):
+    library = (
+        table(spark, sf, "part")
+        .groupBy("p_brand", F.col("p_name").alias("sql_var"))
+        .agg(F.concat(F.lit("SELECT "), F.max("p_partkey").cast("string")).alias("sql_text"))
+        .withColumn("sql_path", F.concat(F.lit("/lib/"), "p_brand"))
+    )
+    steps = step_config(spark, sf)
+    path = F.try_variant_get(F.try_parse_json("emc_func_dtls"), "$.sql_path", "string")
+    bound = bind_statements(steps.withColumn("sql_path", path), library)
+    text = F.when(F.upper("emc_func_type") == "SQL", F.col("sql_text"))
+    return bound.select("emc_id", text.alias("sql_text"), "problem")
+
+
 # -- SQL and job steps over events ---------------------------------------------------------------------------------
 
 SILVER = """INSERT INTO dev.silver.events (event_id, kind, load_date, value)

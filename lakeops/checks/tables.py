@@ -121,6 +121,22 @@ def insert_select(spark, sf):
     return target.read()
 
 
+@check(
+    "insert_select_all",
+    """SELECT o_orderkey AS dst_id, o_orderpriority AS dst_priority, CAST(NULL AS DOUBLE) AS dst_total,
+              CAST(o_orderdate AS DATE) AS dst_load_date FROM orders""",
+)
+def insert_select_all(spark, sf):
+    columns = "dst_id BIGINT, dst_priority STRING, dst_total DOUBLE, dst_load_date DATE"
+    layout = spark.range(0).selectExpr(
+        *[f"cast(null as {c.split()[1]}) AS {c.split()[0]}" for c in columns.split(", ")]
+    )
+    target = made(new_lake(spark, "insert-all"), "dev.silver.orders", layout)
+    rows = table(spark, sf, "orders").select(F.to_date("o_orderdate"), "o_orderkey", "o_orderpriority")
+    append_select(rows, target, ["dst_load_date", "dst_id", "dst_priority"])
+    return target.read()
+
+
 @check(
     "insert_by_name",
     """SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
