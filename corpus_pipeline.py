@@ -94,7 +94,7 @@ STAGES = [
     ("personal_data", personal_data),
     ("pieces", pieces),
 ]
-#: The stages train a model, score passages and follow links; SQL cannot express them. tests/llm compares them with plain code.
+#: The stages train a model, score passages and follow links; SQL cannot express them. tests/llm tests their operators; the stages' own logic and run() have no test yet.
 ORACLE_SQL = None
 
 
