@@ -70,7 +70,7 @@ class WordEncoder:
         probe = "Ab c's, d1\n e"
         if self._ids(probe) != sum(map(self._ids, probe.split()), []):
             raise ValueError(f"{path}: ids of this tokenizer depend on white space")
-        self.words = WordCache(self._word, size=300_000)
+        self.words = WordCache(self._word)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids

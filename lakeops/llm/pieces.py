@@ -46,8 +46,8 @@ class PieceCoder:
             self.bytes[i] = p.replace(SPACE, " ").encode()
         for b, i in self.byte_ids.items():
             self.bytes[i] = bytes([b])
-        self.fits = WordCache(self._fits, size=600_000)
-        self.words = WordCache(self._word, size=300_000)
+        self.fits = WordCache(self._fits)
+        self.words = WordCache(self._word)
 
     def _fits(self, pair: tuple[str, str]) -> bool:
         """Whether merging the characters of both, best-scored piece first and leftmost first, stops at these two."""

@@ -123,7 +123,7 @@ def fit(number: np.ndarray, value: np.ndarray, starts: np.ndarray, grade: np.nda
 
 
 def _vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    tokens = per_worker(lambda: WordCache(_token, size=300_000), "quality tokens")
+    tokens = per_worker(lambda: WordCache(_token), "quality tokens")
     for frame in batches(frames, 1_000):
         pairs = [text_features(t, tokens) for t in frame[TEXT]]
         yield pd.DataFrame({"grade": frame["grade"], "number": [n.tobytes() for n, _ in pairs], "value": [v.tobytes() for _, v in pairs]})
@@ -163,7 +163,7 @@ def score_column(spark: SparkSession, model: CumulativeLink, text: Column) -> Co
     def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         weights, thresholds = sent.value
         link = CumulativeLink(weights, thresholds)
-        tokens = per_worker(lambda: WordCache(_token, size=300_000), "quality tokens")
+        tokens = per_worker(lambda: WordCache(_token), "quality tokens")
         for texts in parts:
             score = np.empty(len(texts))
             for k, one in enumerate(texts):

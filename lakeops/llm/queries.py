@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm.alignment import alignment_digests
+from lakeops.llm.automaton import round_trip_digests
 from lakeops.llm.bitplanes import read_digests, write_ids
 from lakeops.llm.common import table
 from lakeops.llm.decontaminate import contaminated
@@ -18,6 +20,7 @@ from lakeops.llm.pii import personal_data
 from lakeops.llm.quality import KEEP_AT, graded_scores, three_grades, train
 from lakeops.llm.sketches import edited_fingerprints
 from lakeops.llm.token_counts import token_counts
+from lakeops.llm.vector_codes import vector_codes
 from lakeops.llm.warc import derivatives, response_records
 from lakeops.session import scratch_path
 
@@ -108,3 +111,53 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(table(spark, sf_dir, "documents"))
+
+
+def _op11_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Vectors and entries as lists of doubles, whole numbers below 2**53; the nearest entry by the smallest (distance, index)."""
+    nearest = """
+    a{r} AS MATERIALIZED (
+      SELECT p.i, p.part, arg_min(b.entry, {{'d': list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v), 'e': b.entry}}) AS entry,
+             min(list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, b.v) + list_inner_product(b.v, b.v)) AS d
+      FROM p JOIN b{r} b USING (part) GROUP BY p.i, p.part)"""
+    means = """
+    m{n} AS (
+      SELECT part, entry, list(m ORDER BY pos) AS v FROM (
+        SELECT a.part, a.entry, u.pos, floor(sum(p.v[u.pos]) / count(*)) AS m
+        FROM a{r} a JOIN p USING (i, part), unnest(range(1, len(p.v) + 1)) AS u(pos) GROUP BY ALL) GROUP BY part, entry),
+    b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{n} m USING (part, entry))"""
+    steps = []
+    for r in range(rounds):
+        steps += [nearest.format(r=r), means.format(r=r, n=r + 1)]
+    steps.append(nearest.format(r=rounds))
+    return f"""
+    WITH k AS (
+      SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS i, vec_id, label,
+             list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (
+      SELECT i, q AS part, v[q * len(v) // {parts} + 1 : (q + 1) * len(v) // {parts}] AS v FROM k, unnest(range({parts})) AS t(q)),
+    b0 AS MATERIALIZED (SELECT part, i - 1 AS entry, v FROM p WHERE i <= {entries}),
+    {",".join(steps)},
+    f AS (SELECT i, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY i),
+    h AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: x::BIGINT), ','), ',' ORDER BY part, entry)) AS digest FROM b{rounds})
+    SELECT k.vec_id, f.code, f.error, sum(f.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, h.digest AS codebooks_sha256
+    FROM k JOIN f USING (i), h
+    """
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment_digests(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_merge_automaton")
+def op13_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
