@@ -457,3 +457,89 @@ _pass_through(
     """SELECT CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS event_count, min(event_id) AS first_event
     FROM events GROUP BY 1""",
 )
+
+
+# -- writes as text ------------------------------------------------------------------------------------------------
+
+
+def _run_write_step(spark, sf, label, target, sources, text):
+    """Run one MERGE, UPDATE or DELETE as a SQL step over a copy of a table in several files; its rows with the counts of the audit row."""
+    lake = new_lake(spark, label)
+    for source in sources:
+        lake.mount(f"dev.bronze.{source}", table(spark, sf, source))
+    name = f"dev.silver.{target}"
+    rows = table(spark, sf, target)
+    ensure_tables(lake, [TableSpec(name, rows.schema)])
+    key = rows.columns[0]
+    for part in range(3):
+        append(rows.where(F.pmod(F.col(key), F.lit(3)) == part), lake.table(name))
+    steps = [
+        ("ANY", 1, "SILVER", "SQLLOAD", {"sql_path": library_file(spark, {"change": text})}, "", ""),
+        ("ANY", 2, "SILVER", "SQL", {"sql_var": "change", "sql_parms": ""}, name, "APPEND"),
+    ]
+    run_task(context(lake, config_frame(spark, steps)), "any", "silver")
+    log = lake.read(LOG_TABLE).first()
+    counts = {n: log[f"etls_rows_{n}"] for n in ("inserted", "updated", "deleted")}
+    return lake.read(name).select("*", *[F.lit(v).cast("bigint").alias(f"rows_{n}") for n, v in counts.items()])
+
+
+_MERGE_SOURCE = """SELECT o_custkey AS k, count(*) AS n FROM dev.bronze.orders GROUP BY o_custkey
+    UNION ALL SELECT c_custkey + 1000000 AS k, CAST(0 AS BIGINT) AS n FROM dev.bronze.customer WHERE c_acctbal < 0
+    UNION ALL SELECT NULL AS k, CAST(0 AS BIGINT) AS n FROM dev.bronze.customer WHERE c_custkey = 5"""
+_MERGE_TEXT = f"""-- changes of the day
+MERGE INTO dev.silver.customer AS t USING ({_MERGE_SOURCE}) AS s ON t.c_custkey = s.k AND t.c_nationkey <> 7
+WHEN MATCHED AND s.n > 14 THEN DELETE
+WHEN MATCHED AND t.c_acctbal < 0 THEN UPDATE SET t.c_mktsegment = 'DEBT dev.silver.customer', c_acctbal = t.c_acctbal + s.n
+WHEN MATCHED THEN UPDATE SET c_name = concat(t.c_name, '!')
+WHEN NOT MATCHED AND s.n = 0 THEN INSERT (c_custkey, c_name) VALUES (s.k, 'new')
+WHEN NOT MATCHED BY SOURCE AND c_nationkey = 7 THEN UPDATE SET c_mktsegment = 'SEVEN'
+WHEN NOT MATCHED BY SOURCE AND c_nationkey = 8 THEN DELETE"""
+
+
+@check(
+    "step_merge_text",
+    f"""WITH s AS ({_MERGE_SOURCE.replace('dev.bronze.', '')}),
+      j AS (SELECT customer.*, s.k, s.n, CASE WHEN k IS NOT NULL AND n > 14 THEN 'deleted' WHEN k IS NOT NULL AND c_acctbal < 0 THEN 'debt'
+              WHEN k IS NOT NULL THEN 'named' WHEN c_nationkey = 7 THEN 'seven' WHEN c_nationkey = 8 THEN 'deleted' ELSE 'kept' END AS a
+            FROM customer LEFT JOIN s ON c_custkey = k AND c_nationkey <> 7),
+      i AS (SELECT k FROM s WHERE n = 0 AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = k AND c_nationkey <> 7)),
+      c AS (SELECT (SELECT count(*) FROM i) AS rows_inserted, count(*) FILTER (a IN ('debt', 'named', 'seven')) AS rows_updated,
+              count(*) FILTER (a = 'deleted') AS rows_deleted FROM j)
+    SELECT c_custkey, CASE WHEN a = 'named' THEN concat(c_name, '!') ELSE c_name END AS c_name, c_nationkey,
+      CASE WHEN a = 'debt' THEN c_acctbal + n ELSE c_acctbal END AS c_acctbal,
+      CASE WHEN a = 'debt' THEN 'DEBT dev.silver.customer' WHEN a = 'seven' THEN 'SEVEN' ELSE c_mktsegment END AS c_mktsegment, c.*
+    FROM j, c WHERE a <> 'deleted'
+    UNION ALL SELECT k, 'new', NULL, NULL, NULL, c.* FROM i, c""",
+)
+def step_merge_text(spark, sf):
+    return _run_write_step(spark, sf, "merge-text", "customer", ["orders", "customer"], _MERGE_TEXT)
+
+
+@check(
+    "step_update_text",
+    """WITH u AS (SELECT orders.*, o_orderkey % 3 <> 1 AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AS hit
+              FROM orders)
+    SELECT o_orderkey, o_custkey, CASE WHEN hit THEN 'it''s X' ELSE o_orderstatus END AS o_orderstatus,
+      CASE WHEN hit THEN (SELECT max(c_acctbal) FROM customer) ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority,
+      CAST(0 AS BIGINT) AS rows_inserted, (SELECT count(*) FROM u WHERE hit) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted FROM u""",
+)
+def step_update_text(spark, sf):
+    text = """UPDATE dev.silver.orders SET dev.silver.orders.o_orderstatus = "it's X",
+      o_totalprice = (SELECT max(dev.bronze.customer.c_acctbal) FROM dev.bronze.customer)
+    WHERE dev.silver.orders.o_orderkey % 3 <> 1
+      AND o_custkey IN (SELECT c_custkey FROM dev.bronze.customer WHERE c_mktsegment = 'BUILDING')"""
+    return _run_write_step(spark, sf, "update-text", "orders", ["customer"], text)
+
+
+@check(
+    "step_delete_subquery",
+    """WITH d AS (SELECT orders.*, NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)
+                AND o_orderdate < (SELECT max(ts) FROM events) AS hit FROM orders)
+    SELECT d.* EXCLUDE (hit), CAST(0 AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+      (SELECT count(*) FROM d WHERE hit) AS rows_deleted FROM d WHERE NOT hit""",
+)
+def step_delete_subquery(spark, sf):
+    text = """DELETE FROM dev.silver.orders AS o WHERE NOT EXISTS
+      (SELECT 1 FROM dev.bronze.customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)
+      AND o.o_orderdate < (SELECT max(ts) FROM dev.bronze.events)"""
+    return _run_write_step(spark, sf, "delete-subquery", "orders", ["customer", "events"], text)

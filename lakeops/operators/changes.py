@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -27,11 +28,15 @@ def _distinct_files(uris: DataFrame) -> list[str]:
     return sorted(row.entry for row in uris.select(entry_of(F.col(uris.columns[0])).alias("entry")).distinct().collect())
 
 
-def touched_files(target: SnapshotTable, state: Row, condition: Column) -> list[str]:
+def touched_files(target: SnapshotTable, state: Row, condition: Column, alias: str | None = None) -> list[str]:
     """Entries of the live files that hold a row where the condition is true."""
     if not state.live:
         return []
-    return _distinct_files(target.scan_state(state).where(condition).select("_metadata.file_path"))
+    return _distinct_files(_named(target.scan_state(state), alias).where(condition).select("_metadata.file_path"))
+
+
+def _named(df: DataFrame, alias: str | None) -> DataFrame:
+    return df.alias(alias) if alias else df
 
 
 def without_files(target: SnapshotTable, state: Row, touched: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -60,18 +65,21 @@ def without_files(target: SnapshotTable, state: Row, touched: Sequence[str]) ->
     return live, dropped
 
 
-def delete_where(target: SnapshotTable, condition: str | Column | None = None) -> CommitResult:
-    """Remove rows where the condition is true; rows where it is false or NULL stay."""
+def delete_where(target: SnapshotTable, condition: str | Column | None = None, alias: str | None = None) -> CommitResult:
+    """Remove rows where the condition is true; rows where it is false or NULL stay.
+
+    The condition can hold subqueries, and qualify the table's columns with ``alias``.
+    """
     state = target.state()
     if condition is None:
         count = target.read_state(state).count()
         return target.commit(state.version, state, "DELETE", {"numDeletedRows": count}, [])
     hit = _as_column(condition)
-    touched = touched_files(target, state, hit)
+    touched = touched_files(target, state, hit, alias)
     if not touched:
         return target.commit(state.version, state, "DELETE", {"numDeletedRows": 0}, state.live)
-    doomed = F.coalesce(hit, F.lit(False))
-    rows = target.read_entries(touched, schema_of(state))
+    rows = _named(target.read_entries(touched, schema_of(state)), alias).withColumn("lk_hit", F.coalesce(hit, F.lit(False)))
+    doomed = F.col("lk_hit")
     # The scan reads the rows partition by partition already: rewriting them needs no shuffle.
     entry, counts = target.write_folder(rows, state, {"deleted": F.count_if(doomed)}, cut=~doomed, arranged=True)
     live, dropped = without_files(target, state, touched)
@@ -81,13 +89,19 @@ def delete_where(target: SnapshotTable, condition: str | Column | None = None) -
 
 
 def update_where(
-    target: SnapshotTable, assignments: Mapping[str, str | Column], condition: str | Column | None = None
+    target: SnapshotTable,
+    assignments: Mapping[str, str | Column],
+    condition: str | Column | None = None,
+    alias: str | None = None,
 ) -> CommitResult:
-    """Set columns on rows where the condition is true (all rows without one)."""
+    """Set columns on rows where the condition is true (all rows without one).
+
+    Condition and values can hold subqueries, and qualify the table's columns with ``alias``.
+    """
     state = target.state()
     schema = schema_of(state)
     hit = F.coalesce(_as_column(condition), F.lit(False)) if condition is not None else F.lit(True)
-    touched = touched_files(target, state, hit) if condition is not None else target.live_files(state)
+    touched = touched_files(target, state, hit, alias) if condition is not None else target.live_files(state)
     if not touched:
         return target.commit(state.version, state, "UPDATE", {"numUpdatedRows": 0}, state.live)
     new_values = {name.lower(): _as_column(value) for name, value in assignments.items()}
@@ -95,13 +109,13 @@ def update_where(
     if unknown:
         raise ValueError(f"columns not in the table: {', '.join(sorted(unknown))}")
     tag = "lk_hit"
-    flagged = target.read_entries(touched, schema).withColumn(tag, hit)
+    flagged = _named(target.read_entries(touched, schema), alias).withColumn(tag, hit)
     rows = flagged.select(
         tag,
         *[
-            F.when(F.col(tag), new_values[f.name.lower()].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+            F.when(F.col(tag), new_values[f.name.lower()].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
             if f.name.lower() in new_values
-            else F.col(f.name)
+            else F.col(f"`{f.name}`")
             for f in schema.fields
         ],
     )
@@ -254,6 +268,152 @@ def _merge_landed(target, source, keys, update, insert, delete_when, update_when
     return target.commit(state.version, state, "MERGE", metrics, live, dropped=dropped)
 
 
+@dataclass(frozen=True)
+class MergeClause:
+    """One WHEN clause: its outcome (updated, deleted or inserted), its condition and the values by column; without values
+    the columns of the source are taken by name."""
+
+    outcome: str
+    condition: Column | None = None
+    values: Mapping[str, Column] | None = None
+
+
+def merge_into(
+    target: SnapshotTable,
+    source: DataFrame,
+    on: Column,
+    matched: Sequence[MergeClause] = (),
+    unmatched: Sequence[MergeClause] = (),
+    missing: Sequence[MergeClause] = (),
+    target_alias: str = "t",
+    source_alias: str = "s",
+) -> CommitResult:
+    """MERGE with any condition and any number of clauses; of several that hold, the first counts.
+
+    ``matched`` clauses see both rows, ``unmatched`` ones a source row without partner, ``missing`` ones a target row without partner.
+    A target row with several partners raises, unless all there is to do with it is to delete it.
+
+    The pairs that meet are found once, as (file, row, source row), and kept as a table. What follows joins on these unique
+    addresses, or the target with those source rows that met it, of which a target row has one: only the target side can be
+    skewed, and as the left side of a left join adaptive execution can cut it.
+    """
+    numbered, landed_at = landed(source.withColumn("lk_source", F.monotonically_increasing_id()), "merge-source")
+    used = [landed_at]
+    try:
+        return _merge_numbered(target, numbered, on, list(matched), list(unmatched), list(missing), target_alias, source_alias, used)
+    finally:
+        for path in used:
+            paths.delete(target.spark, path)
+
+
+def _first_clause(clauses: Sequence[MergeClause]) -> Column:
+    """Number of the first clause that holds, NULL without one."""
+    out = F.lit(None).cast("int")
+    for number, clause in reversed(list(enumerate(clauses))):
+        holds = F.lit(True) if clause.condition is None else F.coalesce(clause.condition, F.lit(False))
+        out = F.when(holds, number).otherwise(out)
+    return out
+
+
+def _outcome(clauses: Sequence[MergeClause], otherwise: Column) -> Column:
+    out = otherwise
+    for number, clause in enumerate(clauses):
+        out = F.when(F.col("lk_clause") == number, clause.outcome).otherwise(out)
+    return out
+
+
+def _values(clauses: Sequence[MergeClause], schema: T.StructType, source: DataFrame, source_alias: str, old) -> list[Column]:
+    """The table's columns after the clause of each row; ``old`` gives the column as it was."""
+    have = {name.lower(): name for name in source.columns}
+    known = {f.name.lower() for f in schema.fields}
+    out = []
+    for clause in clauses:
+        strange = sorted(set(clause.values or {}) - known)
+        if strange:
+            raise ValueError(f"columns not in the table: {', '.join(strange)}")
+    for f in schema.fields:
+        value = old(f)
+        for number, clause in enumerate(clauses):
+            if clause.outcome == "deleted":
+                continue
+            key = f.name.lower()
+            if clause.values is not None:
+                new = clause.values.get(key)
+            else:
+                new = F.col(f"`{source_alias}`.`{have[key]}`") if key in have else None
+            if new is None and clause.outcome == "inserted":
+                new = F.lit(None)
+            if new is not None:
+                value = F.when(F.col("lk_clause") == number, new.cast(f.dataType)).otherwise(value)
+        out.append(value.alias(f.name))
+    return out
+
+
+def _merge_numbered(target, source, on, matched, unmatched, missing, target_alias, source_alias, used) -> CommitResult:
+    state = target.state()
+    schema = schema_of(state)
+    plain = [name for name in source.columns if name != "lk_source"]
+    empty = target.spark.range(0).selectExpr("'' AS lk_file", "id AS lk_row", "id AS lk_source")
+    if state.live:
+        address = target.scan_state(state).select(
+            *[F.col(f"`{n}`") for n in schema.names],
+            F.col("_metadata.file_path").alias("lk_file"),
+            F.col("_metadata.row_index").alias("lk_row"),
+        )
+        pairs = address.alias(target_alias).join(source.alias(source_alias), on).select("lk_file", "lk_row", "lk_source")
+        pairs, pairs_at = landed(pairs, "merge-pairs")
+        used.append(pairs_at)
+    else:
+        pairs = empty
+    only_deleted = len(matched) == 1 and matched[0].outcome == "deleted" and matched[0].condition is None
+    if matched and not only_deleted and pairs.groupBy("lk_file", "lk_row").count().where("count > 1").take(1):
+        raise DuplicateMergeKeys(f"{target.name}: several rows of the merge source match one row")
+
+    touched: list[str] = []
+    if missing:
+        touched = target.live_files(state)
+    elif matched:
+        touched = _distinct_files(pairs.select("lk_file"))
+    met = pairs.select("lk_source").distinct()
+    branches = []
+    if touched:
+        as_was = lambda f: F.col(f"`{target_alias}`.`{f.name}`")
+        old = target.scan(touched, schema)
+        hits = source.join(met, "lk_source", "left_semi")
+        if only_deleted and not missing:
+            rows = old.select(*[F.col(f"`{n}`") for n in schema.names], F.col("_metadata.file_path").alias("lk_file"), F.col("_metadata.row_index").alias("lk_row"))
+            rows = rows.join(pairs.select("lk_file", "lk_row").distinct().withColumn("lk_hit", F.lit(True)), ["lk_file", "lk_row"], "left")
+            outcome = F.when(F.col("lk_hit"), "deleted").otherwise("kept")
+            branches.append(rows.select(outcome.alias("lk_action"), *[F.col(f"`{n}`") for n in schema.names]))
+        else:
+            old = old.select(*[F.col(f"`{n}`") for n in schema.names]).alias(target_alias)
+            partners = hits.withColumn("lk_hit", F.lit(True)).alias(source_alias)
+            if missing:
+                # these clauses know no source columns
+                lonely = old.join(partners, on, "left_anti").withColumn("lk_clause", _first_clause(missing))
+                branches.append(lonely.select(_outcome(missing, F.lit("kept")).alias("lk_action"), *_values(missing, schema, source.select(*plain), source_alias, as_was)))
+                if only_deleted:
+                    both = old.join(partners, on, "left_semi").withColumn("lk_clause", F.lit(0))
+                    branches.append(both.select(F.lit("deleted").alias("lk_action"), *[as_was(f).alias(f.name) for f in schema.fields]))
+            if not (missing and only_deleted):
+                both = old.join(partners, on, "inner" if missing else "left")
+                both = both.withColumn("lk_clause", F.when(F.col("lk_hit"), _first_clause(matched)))
+                branches.append(both.select(_outcome(matched, F.lit("kept")).alias("lk_action"), *_values(matched, schema, source.select(*plain), source_alias, as_was)))
+    if unmatched:
+        new = source.join(met, "lk_source", "left_anti").alias(source_alias).withColumn("lk_clause", _first_clause(unmatched)).where("lk_clause IS NOT NULL")
+        nothing = lambda f: F.lit(None).cast(f.dataType)
+        branches.append(new.select(F.lit("inserted").alias("lk_action"), *_values(unmatched, schema, source.select(*plain), source_alias, nothing)))
+    counts = {"inserted": 0, "updated": 0, "deleted": 0, "rows_written": 0}
+    live, dropped = list(state.live), []
+    if branches:
+        tallies = {name: F.count_if(F.col("lk_action") == name) for name in ("inserted", "updated", "deleted")}
+        entry, counts = target.write_folder(reduce(DataFrame.unionByName, branches), state, tallies, cut=F.col("lk_action") != "deleted")
+        live, dropped = without_files(target, state, touched)
+        live += [entry] if counts["rows_written"] else []
+    metrics = {f"numTargetRows{name.capitalize()}": counts[name] for name in ("inserted", "updated", "deleted")}
+    return target.commit(state.version, state, "MERGE", metrics, live, dropped=dropped)
+
+
 def _row_fingerprint(schema: T.StructType) -> Column:
     """64-bit hash of a row. NULL flags are hashed too, because the hash itself skips NULLs."""
     values = [

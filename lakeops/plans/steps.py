@@ -17,6 +17,7 @@ from lakeops.operators.audit import log_load
 from lakeops.operators.changes import delete_where, merge, update_where
 from lakeops.operators.quality import with_step_problem
 from lakeops.operators.writes import append, append_by_name, append_select, overwrite
+from lakeops.plans.parsed import ParsedWrite
 from lakeops.sources.control import order_steps, read_steps, step_order
 from lakeops.sources.snapshot import CommitResult, Lake, SnapshotTable, schema_of
 from lakeops.sources.statements import read_statement_library
@@ -166,21 +167,26 @@ def lake_sql(lake: Lake, text: str, args: Mapping[str, object] | None = None) ->
     Each lake table the text names, with or without backticks, becomes a temporary view called by its full name. Only
     names that occur in the text are looked up. Literals, comments and everything else are Spark SQL as they stand.
     """
+    text = with_views(lake, text)
+    return lake.spark.sql(text, args=dict(args)) if args else lake.spark.sql(text)
+
+
+def with_views(lake: Lake, text: str) -> str:
+    """The text with every lake table it names as a temporary view; in a longer name (``table.column``) the first three parts are the table."""
     known: dict[str, bool] = {}
 
     def view(token: re.Match) -> str:
         parts = _PART.findall(token["name"] or "")
-        if len(parts) != 3:
+        if len(parts) < 3:
             return token[0]
-        name = ".".join(part.strip("`").lower() for part in parts)
+        name = ".".join(part.strip("`").lower() for part in parts[:3])
         if name not in known:
             known[name] = name in lake.mounts or lake.exists(name)
             if known[name]:
                 lake.read(name).createOrReplaceTempView(f"`{name}`")
-        return f"`{name}`" if known[name] else token[0]
+        return ".".join([f"`{name}`", *parts[3:]]) if known[name] else token[0]
 
-    text = _TOKEN.sub(view, text)
-    return lake.spark.sql(text, args=dict(args)) if args else lake.spark.sql(text)
+    return _TOKEN.sub(view, text)
 
 
 # The head of a statement tells the kind of write; the rest is a query or condition Spark parses itself.
@@ -189,9 +195,7 @@ _INSERT_HEAD = re.compile(
     r"(?:(?P<by_name>by\s+name)|\((?P<columns>[^()]*)\))?\s*(?P<query>(?:(?:select|with|values|from|table)\b|\().*)$",
     re.IGNORECASE | re.DOTALL,
 )
-_DELETE_HEAD = re.compile(
-    r"^\s*delete\s+from\s+(?P<name>[\w.`]+)(?:\s+where\s+(?P<condition>.*))?\s*$", re.IGNORECASE | re.DOTALL
-)
+_WRITE_HEAD = re.compile(r"^\s*(merge|update|delete)\b", re.IGNORECASE)
 _QUERY_HEAD = re.compile(r"^\s*(select|with|values|from|table|\()", re.IGNORECASE)
 
 
@@ -202,7 +206,7 @@ def _plain(name: str) -> str:
 def run_statement(lake: Lake, text: str, target: str | None, out_mode: str, details: Mapping) -> CommitResult | None:
     """Run one rendered statement as a change-tracked write into the target.
 
-    INSERT and DELETE statements say what they do. A plain query is written to the target by the step's out mode, or
+    INSERT, MERGE, UPDATE and DELETE statements say what they do. A plain query is written to the target by the step's out mode, or
     by ``op`` in the details: ``MERGE`` (the query is the source; ``keys``, ``update``, ``insert``, ``delete_when``,
     ``update_when``), ``UPDATE`` (the text is the condition; ``set``) or ``DELETE`` (the text is the condition).
     With ``partition_overwrite`` in the details an OVERWRITE replaces only the partitions the new rows fall in.
@@ -243,13 +247,12 @@ def run_statement(lake: Lake, text: str, target: str | None, out_mode: str, deta
                 rows = rows.toDF(*(columns or schema_of(table.state()).names))
             return overwrite(rows, table, dynamic=dynamic)
         return append_by_name(rows, table) if insert["by_name"] else append_select(rows, table, columns)
-    delete = _DELETE_HEAD.match(text)
-    if delete:
-        name = _plain(delete["name"])
-        _same_target(name, target)
-        return delete_where(lake.table(name), delete["condition"])
+    if _WRITE_HEAD.match(text):
+        write = ParsedWrite(lake.spark, with_views(lake, text))
+        _same_target(write.target, target)
+        return write.run(lake)
     if not _QUERY_HEAD.match(text):
-        raise StepFailed("a SQL step must be a query, an INSERT or a DELETE, or name its op in the details")
+        raise StepFailed("a SQL step must be a query, an INSERT, a MERGE, an UPDATE or a DELETE, or name its op in the details")
     rows = lake_sql(lake, text)
     if not target:
         rows.write.format("noop").mode("overwrite").save()
