@@ -7,12 +7,25 @@ levels; customers without a balance are tables that rules name but that do not e
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 
 from lakeops.checks.registry import check, new_lake, table
 from lakeops.checks.tables import made
-from lakeops.operators.upkeep import column_stats, compact, vacuum_candidates, zorder
+from lakeops.operators.changes import delete_where
+from lakeops.operators.upkeep import (
+    analyze,
+    column_stats,
+    compact,
+    files_by_probe,
+    overlap_depth,
+    recluster,
+    stored_files,
+    vacuum,
+    vacuum_candidates,
+    zorder,
+)
 from lakeops.operators.writes import append, ensure_tables, overwrite
 from lakeops.plans.maintenance import (
     drop_excluded,
@@ -416,3 +429,127 @@ def time_travel(spark, sf):
     append(suppliers, target)
     at_first = target.read(first).select(F.lit("first").alias("at"), "s_suppkey", "s_acctbal")
     return at_first.unionByName(target.read(second).select(F.lit("second").alias("at"), "s_suppkey", "s_acctbal"))
+
+
+# -- layouts that a plain copy does not have -----------------------------------------------------------------------
+
+_PROBES = [
+    ("low dates", "d", "2024-01-01", "2024-01-03"),
+    ("one date", "d", "2024-01-20", "2024-01-20"),
+    ("last dates", "d", "2024-01-28", "2024-02-28"),
+    ("low keys", "k", "a long prefix that all keys share / 0", "a long prefix that all keys share / 1"),
+    ("high keys", "k", "a long prefix that all keys share / 8", "a long prefix that all keys share / 9"),
+]
+
+
+@check(
+    "zorder_probes",
+    f"""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS d,
+                'a long prefix that all keys share / ' || CAST(event_id % 10 AS VARCHAR) || ' / ' || CAST(user_id AS VARCHAR) AS k FROM events),
+      p(probe, col, low, high) AS (VALUES {", ".join(str(p) for p in _PROBES)})
+    SELECT files, probe, (SELECT count(*) FROM e WHERE CASE col WHEN 'd' THEN d ELSE k END BETWEEN low AND high) AS row_count,
+      TRUE AS skips_half, TRUE AS idle FROM p, (VALUES (40), (2400)) f(files)""",
+)
+def zorder_probes(spark, sf):
+    """Z-order by text keys with a long common prefix, in few files and in more than 2,000: files that probes of each column meet."""
+    events = table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("d"),
+        F.concat(F.lit("a long prefix that all keys share / "), F.col("event_id") % 10, F.lit(" / "), F.col("user_id")).alias("k"),
+        "event_id",
+    )
+    out = None
+    for files in (40, 2400):
+        target = made(new_lake(spark, f"probes-{files}"), "dev.bronze.events", events)
+        append(events.repartition(6), target)
+        first = zorder(target, ["d", "k"], n_files=files)
+        again = zorder(target, ["d", "k"], n_files=files)
+        found = files_by_probe(target, _PROBES).select(
+            F.lit(files).alias("files"), "probe", "row_count", (F.col("files_hit") * 2 <= F.col("files")).alias("skips_half")
+        )
+        found = found.withColumn("idle", F.lit(again.version == first.version))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@check(
+    "compact_idle",
+    """WITH b AS (SELECT p_brand, count(*) AS part_count FROM part GROUP BY p_brand)
+    SELECT b.*, CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS versions_first, CAST(0 AS BIGINT) AS versions_second FROM b""",
+)
+def compact_idle(spark, sf):
+    """Many small files per partition become one; partitions of one small file, and the table at rest, are left alone."""
+    parts = table(spark, sf, "part")
+    target = made(new_lake(spark, "compact-idle"), "dev.bronze.part", parts, partition_by=["p_brand"])
+    append(parts.where("p_brand <= 'Brand#3'"), target)
+    for low, high in ((0, 20), (21, 35), (36, 50)):
+        append(parts.where(f"p_brand > 'Brand#3' AND p_size BETWEEN {low} AND {high}"), target)
+    alone = {e for e in target.live_files() if _brand(e) <= "Brand#3"}
+    start = target.latest_version()
+    first = compact(target)
+    second = compact(target)
+    if not alone <= set(target.live_files()):
+        raise AssertionError("partitions of one file were rewritten")
+    state = target.state()
+    files = target.scan_state(state).groupBy("p_brand").agg(
+        F.count(F.lit(1)).alias("part_count"), F.count_distinct("_metadata.file_path").alias("files")
+    )
+    versions = {"versions_first": first.version - start, "versions_second": second.version - first.version}
+    return files.select("*", *[F.lit(v).cast("bigint").alias(n) for n, v in versions.items()])
+
+
+def _brand(entry):
+    return unquote(unquote(entry.split("/")[1])).split("=", 1)[1]
+
+
+@check(
+    "clustered_overlap",
+    """SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, TRUE AS deep_before, CAST(1 AS BIGINT) AS depth_after,
+      CAST(1 AS BIGINT) AS depth_at_end, CAST(0 AS BIGINT) AS versions_at_rest, TRUE AS others_kept FROM lineitem""",
+)
+def clustered_overlap(spark, sf):
+    """Files with overlapping key ranges are rewritten by range, and only these: depth of overlap before and after, and again after
+    an append that overlaps a part of the keys."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    target = made(new_lake(spark, "overlap"), "dev.bronze.lineitem", lines, cluster_by=["l_shipdate", "l_orderkey"])
+    ends = lines.agg(F.min("l_shipdate").alias("low"), F.max("l_shipdate").alias("high")).first()
+    late = F.col("l_shipdate") > F.lit(ends["low"] + (ends["high"] - ends["low"]) * 0.8)
+    append(lines.where(~late).repartition(5), target)
+    append(lines.where(late & (F.col("l_linenumber") < 4)).repartition(3), target)
+    before = overlap_depth(target)
+    recluster(target, target_bytes=target.file_sizes().agg(F.max("length")).first()[0] // 2)
+    after = overlap_depth(target)
+    state = target.state()
+    early = {r.entry for r in target.scan_state(state).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.max(late).alias("l")).where("NOT l").select(F.substring_index("f", "/data/", -1).alias("entry")).collect()}
+    append(lines.where(late & (F.col("l_linenumber") >= 4)), target)
+    second = recluster(target, target_bytes=1 << 20)
+    third = recluster(target)
+    kept = early <= set(target.live_files())
+    facts = {"deep_before": F.lit(before > 4), "others_kept": F.lit(kept and bool(early))}
+    numbers = {"depth_after": after, "depth_at_end": overlap_depth(target), "versions_at_rest": third.version - second.version}
+    facts |= {n: F.lit(v).cast("bigint") for n, v in numbers.items()}
+    return target.read().select("*", *[v.alias(n) for n, v in facts.items()])
+
+
+@check(
+    "vacuum_run",
+    """SELECT customer.*, TRUE AS deleted_some, CAST(0 AS BIGINT) AS left_over, TRUE AS old_version_gone
+    FROM customer WHERE c_acctbal >= 0 OR c_acctbal IS NULL""",
+)
+def vacuum_run(spark, sf):
+    """A vacuum that deletes: the table reads as before, files of old versions only are gone, and a second run finds none."""
+    customers = table(spark, sf, "customer")
+    target = made(new_lake(spark, "vacuum-run"), "dev.bronze.customer", customers)
+    append(customers.repartition(6), target)
+    delete_where(target, "c_acctbal < 0")
+    compact(target)
+    later = F.current_timestamp() + F.expr("INTERVAL '9' DAY")
+    _, deleted = vacuum(target, 168, now=later)
+    _, again = vacuum(target, 168, now=later)
+    stored, live = stored_files(target).select("entry"), target.file_sizes().select("entry")
+    left = stored.exceptAll(live).count()
+    try:
+        gone = target.read(1).count() < 0
+    except Exception:
+        gone = True
+    facts = {"deleted_some": F.lit(deleted >= 6 and again == 0), "left_over": F.lit(left).cast("bigint"), "old_version_gone": F.lit(gone)}
+    return target.read().select("*", *[v.alias(n) for n, v in facts.items()])

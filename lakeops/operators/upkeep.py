@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import islice
 from urllib.parse import unquote
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops import paths
 from lakeops.operators.changes import without_files
 from lakeops.operators.landing import landed
-from lakeops.sources.snapshot import CommitResult, SnapshotTable, entry_of, schema_of
+from lakeops.sources.snapshot import CommitConflict, CommitResult, SnapshotTable, entry_of, schema_of
 
 DEFAULT_TARGET_BYTES = 512 << 20
 # Fixed value: the shortest retention a vacuum accepts, in hours.
@@ -31,102 +32,233 @@ class RetentionTooShort(ValueError):
 
 
 def compact(
-    target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES, round_files: int = 100_000
+    target: SnapshotTable, target_bytes: int = DEFAULT_TARGET_BYTES, round_files: int = 100_000, attempts: int = 50
 ) -> CommitResult:
-    """Rewrite files smaller than three quarters of the target into files of about the target size.
-
-    Rows stay as they are and large files are not touched. A plain table is rewritten without a shuffle: Spark packs
-    small files into scan tasks of the target size and each task writes one file. With partition columns the rows are
-    rebalanced by them, so that a file holds one partition value; with clustering columns equal keys come together.
-    ``round_files`` bounds the file names one round handles; a table with more small files gets several rounds, each
-    its own commit.
-    """
-    before = target.file_sizes().count()
-    while True:
-        done, small = _compact_round(target, target_bytes, round_files)
-        if small < round_files or done.metrics["numFilesAfter"] >= done.metrics["numFilesBefore"]:
-            metrics = {**done.metrics, "numFilesBefore": before}
-            return CommitResult(done.operation, done.prev_version, done.version, metrics)
+    """Merge files smaller than three quarters of the target where several fit into one of the target size.
 
+    The small files of a partition (of the whole table without partition columns) are packed into bins, largest first. A bin
+    of several files becomes one file, one of a single file is left alone, so every rewrite leaves fewer files, and a
+    table at rest gets no version. Rows stay as they are. A plain table is rewritten without a shuffle: Spark packs
+    the files into scan tasks in the same way and each task writes one file. With partition columns each bin is sent to one task; with
+    clustering columns the rows are cut into ranges of these.
 
-def _compact_round(target: SnapshotTable, target_bytes: int, round_files: int) -> tuple[CommitResult, int]:
+    ``round_files`` bounds the file names the driver holds at a time: files are dealt to rounds by a hash of their
+    partition (of their name without partition columns; a partition with more files is dealt by name too), and each round is its own commit. Rounds follow until none
+    finds files to merge. Appends that others commit meanwhile are kept and followed, up to ``attempts`` times a round; any other commit raises CommitConflict.
+    """
+    state = target.state()
+    files = target.file_sizes(state).count()
+    done, after, saving = CommitResult("OPTIMIZE", state.version, state.version, {}), files, True
+    while saving:
+        saving = False
+        small = _small_files(target, target.state(), target_bytes)
+        rounds = max(1, math.ceil(small.count() / round_files))
+        for number in range(rounds):
+            dealt = F.when(F.col("members") > round_files, F.xxhash64("entry")).otherwise(F.xxhash64("folder"))
+            mine = small.where(F.pmod(dealt, F.lit(rounds)) == number).select("entry", "length", "folder").collect()
+            bins = _bins(mine, target_bytes)
+            if bins:
+                saved = sum(len(b) - 1 for b in bins)
+                after -= saved
+                done, saving = _merge_bins(target, bins, target_bytes, after + saved, after, attempts), True
+    after = target.file_sizes().count() if done.metrics else files
+    return CommitResult(done.operation, done.prev_version, done.version, {"numFilesBefore": files, "numFilesAfter": after})
+
+
+def _small_files(target: SnapshotTable, state: Row, target_bytes: int) -> DataFrame:
+    """(entry, length, folder, members): small files with their partition's folder and how many it has; all of the table's without partition columns have their own name's."""
+    small = target.file_sizes(state).where(F.col("length") < target_bytes * 3 // 4)
+    if not state.partition_by:
+        return small.select("*", F.lit("").alias("folder"), F.lit((1 << 62)).alias("members"))
+    small = small.withColumn("folder", F.regexp_replace("entry", "^[^/]*/|[^/]*$", ""))
+    return small.join(small.groupBy("folder").agg(F.count(F.lit(1)).alias("members")), "folder")
+
+
+def _bins(files: Sequence[Row], target_bytes: int) -> list[list[str]]:
+    """Files of one folder that together fit in a file of the target size, as Spark packs scan tasks; bins of one file are left out."""
+    out: list[list[str]] = []
+    folder, room = None, 0
+    for f in sorted(files, key=lambda f: (f.folder, -f.length, f.entry)):
+        if f.folder != folder or f.length > room:
+            out.append([])
+            folder, room = f.folder, target_bytes
+        out[-1].append(f.entry)
+        room -= f.length
+    return [b for b in out if len(b) > 1]
+
+
+def _merge_bins(target: SnapshotTable, bins: list[list[str]], target_bytes: int, before: int, after: int, attempts: int) -> CommitResult:
+    """Write each bin's rows as one file and commit them in place of its files."""
     state = target.state()
     schema = schema_of(state)
-    sizes = target.file_sizes(state)
-    files = sizes.count()
-    small_rows = sizes.where(F.col("length") < target_bytes * 3 // 4).limit(round_files).collect()
-    small = sorted(row.entry for row in small_rows)
-    if len(small) < 2:
-        metrics = {"numFilesBefore": files, "numFilesAfter": files}
-        return target.commit(state.version, state, "OPTIMIZE", metrics, state.live), len(small)
-    tasks = max(1, math.ceil(sum(row.length for row in small_rows) / target_bytes))
+    small = sorted(entry for b in bins for entry in b)
     packed = target.spark.newSession()
     packed.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     packed.conf.set("spark.sql.files.openCostInBytes", "0")
-    packed.conf.set("spark.sql.files.minPartitionNum", str(tasks))
-    packed.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = target.scan(small, schema, packed).select(*[F.col(f"`{n}`") for n in schema.names])
-    clustered = bool(state.cluster_by) and not state.partition_by
-    if clustered:
-        rows = rows.hint("rebalance", *state.cluster_by).sortWithinPartitions(*state.cluster_by)
-    entry, _ = target.write_folder(rows, state, arranged=clustered)
+    packed.conf.set("spark.sql.files.minPartitionNum", "1")
+    scan = target.scan(small, schema, packed)
+    columns = [F.col(f"`{n}`") for n in schema.names]
+    if state.partition_by:
+        # at most round_files names
+        home = packed.createDataFrame([(e, k) for k, b in enumerate(bins) for e in b], "lk_entry STRING, lk_bin INT")
+        rows = scan.select(*columns, entry_of(F.col("_metadata.file_path")).alias("lk_entry")).join(F.broadcast(home), "lk_entry")
+        rows = rows.repartitionById(len(bins), F.col("lk_bin")).select(*columns)
+    elif state.cluster_by:
+        rows = by_range(scan, state.cluster_by, len(bins), row_address()).select(*columns)
+    else:
+        rows = scan.select(*columns)
+    entry, _ = target.write_folder(rows, state, arranged=True)
     live, dropped = without_files(target, state, small)
-    after = files - len(small) + len(target.files_below([entry], schema))
-    metrics = {"numFilesBefore": files, "numFilesAfter": after}
-    done = target.commit(state.version, state, "OPTIMIZE", metrics, [*live, entry], dropped=dropped)
-    return done, len(small)
+    return _publish(target, state, {"numFilesBefore": before, "numFilesAfter": after}, [*live, entry], dropped, attempts)
 
 
-# -- Z-order -------------------------------------------------------------------------------------------------------
+def _publish(
+    target: SnapshotTable, state: Row, metrics: dict, live: Sequence[str], dropped: Sequence[str], attempts: int
+) -> CommitResult:
+    """Commit a new layout of the rows of ``state``. Appends committed meanwhile are kept and followed; other commits raise."""
+    newest = state
+    for _ in range(attempts):
+        added = [entry for entry in newest.live if entry not in set(state.live)]
+        try:
+            return target.commit(newest.version, Row(**{**newest.asDict(), "properties": state.properties}), "OPTIMIZE", metrics, [*live, *added], dropped=dropped)
+        except CommitConflict:
+            newest = target.state()
+            same = newest.schema_json == state.schema_json and newest.partition_by == state.partition_by
+            if not same or not set(state.live) <= set(newest.live) or sorted(newest.dropped) != sorted(state.dropped):
+                raise
+    raise CommitConflict(f"{target.name}: other writers committed first {attempts} times")
 
-_STRING_BYTES = 6
-# Beyond this many files exact rank cuts cost more than Spark's own sampling of range bounds.
-_MAX_CUTS = 2000
 
+# -- clustering by ranges ------------------------------------------------------------------------------------------
 
-def _sortable(name: str, data_type: T.DataType) -> Column:
-    """A number that grows with the column, 0 for NULL and NaN; for layout only (long strings may tie)."""
-    number = _as_number(name, data_type)
-    return F.coalesce(F.nanvl(number, F.lit(0.0)), F.lit(0.0))
 
+def row_address() -> Column:
+    """A number that tells the rows of a file scan apart and stays the same when a task runs again."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
 
-def _as_number(name: str, data_type: T.DataType) -> Column:
-    col = F.col(f"`{name}`")
-    if isinstance(data_type, T.StringType):
-        # The first bytes of a string as one base-256 number.
-        padded = F.rpad(F.hex(F.encode(col, "UTF-8")), 2 * _STRING_BYTES, "0")
-        return F.conv(padded, 16, 10).cast("double")
-    if isinstance(data_type, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(data_type, T.BooleanType):
-        return col.cast("int").cast("double")
-    return col.cast("double")
 
+def by_range(df: DataFrame, keys: Sequence[str], parts: int, tie: Column) -> DataFrame:
+    """Rows in ``parts`` ranges of their keys, sorted in each. Equal keys stay in one range, unless there are more of them
+    than an average range holds; these are spread by ``tie``.
 
-def _with_buckets(df: DataFrame, bounds: dict[str, Sequence[float]], suffix: str) -> DataFrame:
-    """Add, per column, how many of its (distinct, sorted) bounds lie at or below the value."""
-    splits = [[-math.inf, *edges, math.inf] for edges in bounds.values()]
-    names = list(bounds)
-    out = [f"{name}{suffix}" for name in names]
-    # The bucketizer searches its splits in the JVM; values are never NULL or NaN here.
-    return Bucketizer(splitsArray=splits, inputCols=names, outputCols=out).transform(df)
+    Fewer than ``parts`` keys can have that many rows, so the list of them that is sent to every task has a bound.
+    """
+    rows = df.withColumn("lk_tie", tie)
+    total = df.count()
+    names = [f"lk_key_{i}" for i in range(len(keys))]
+    held = df.groupBy(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("lk_rows"))
+    heavy = held.where(F.col("lk_rows") > max(1, total // max(1, parts))).select(*names, F.lit(True).alias("lk_heavy"))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    rows = rows.join(F.broadcast(heavy), same, "left").withColumn("lk_tie", F.when(F.col("lk_heavy"), F.col("lk_tie")))
+    order = [*[F.col(f"`{k}`") for k in keys], F.col("lk_tie")]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("lk_tie", "lk_heavy", *names)
+
+
+def key_ranges(target: SnapshotTable, state: Row, keys: Sequence[str]) -> DataFrame:
+    """(entry, low, high) of every live file: its lowest and highest key as structs, NULLs first. Reads the key columns only."""
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    files = target.scan_state(state).groupBy(entry_of(F.col("_metadata.file_path")).alias("entry"))
+    return files.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+
+
+def overlapping(ranges: DataFrame) -> DataFrame:
+    """(entry, stretch, depth): the stretch of keys that a file lies in, and the largest number of files over one point of it.
+
+    A sweep over the ends of all ranges in key order keeps the number of open ranges; a stretch ends where none is open. Ranges that only touch do
+    not overlap, and a file of one key lies in no stretch: a key with many rows fills several files rightly. It
+    works on two rows per file.
+    """
+    wide = ranges.where("low < high")
+    ends = wide.select("entry", F.col("low").alias("key"), F.lit(1).alias("step")).union(wide.select("entry", F.col("high").alias("key"), F.lit(-1).alias("step")))
+    order = Window.orderBy("key", "step", "entry")  # of equal keys the ends come before the beginnings
+    swept = ends.withColumn("open", F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    begins = (F.col("step") == 1) & (F.col("open") == 1)
+    swept = swept.withColumn("stretch", F.count_if(begins).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    depth = F.max("open").over(Window.partitionBy("stretch"))
+    return swept.withColumn("depth", depth).where("step = 1").select("entry", "stretch", F.col("depth").cast("bigint").alias("depth"))
+
+
+def overlap_depth(target: SnapshotTable) -> int:
+    """The largest number of files whose key ranges share a stretch of keys; 1 for a table in order, 0 for an empty one."""
+    state = target.state()
+    if not state.live or not state.cluster_by:
+        return 0
+    found = overlapping(key_ranges(target, state, state.cluster_by)).agg(F.max("depth")).first()[0]
+    return int(found or 1)
 
 
-def _edges(quantiles: Sequence[float]) -> list[float]:
-    return sorted(set(quantiles))
+def recluster(
+    target: SnapshotTable, limit: int = 1, target_bytes: int = DEFAULT_TARGET_BYTES, attempts: int = 50
+) -> CommitResult:
+    """Rewrite by range the files of those stretches of keys in which more than ``limit`` files overlap; leave all others alone.
 
+    The files made for a stretch cover no key outside of it, where no other file has any, and do not overlap each other: a second run finds
+    nothing to do and makes no version. File names of the stretches that are rewritten reach the driver.
+    """
+    state = target.state()
+    if not state.cluster_by or state.partition_by:
+        raise ValueError(f"{target.name} has no clustering columns, or has partition columns")
+    files = target.file_sizes(state).count()
+    idle = CommitResult("OPTIMIZE", state.version, state.version, {"numFilesBefore": files, "numFilesAfter": files})
+    if not state.live:
+        return idle
+    deep = overlapping(key_ranges(target, state, state.cluster_by)).where(F.col("depth") > limit).select("entry")
+    chosen = target.file_sizes(state).join(deep, "entry", "left_semi").collect()
+    if not chosen:
+        return idle
+    schema = schema_of(state)
+    parts = max(1, math.ceil(sum(r.length for r in chosen) / target_bytes))
+    picked = sorted(r.entry for r in chosen)
+    rows = by_range(target.scan(picked, schema), state.cluster_by, parts, row_address())
+    entry, _ = target.write_folder(rows.select(*[F.col(f"`{n}`") for n in schema.names]), state, arranged=True)
+    live, dropped = without_files(target, state, picked)
+    metrics = {"numFilesBefore": files, "numFilesAfter": files - len(picked) + len(target.files_below([entry], schema))}
+    return _publish(target, state, metrics, [*live, entry], dropped, attempts)
+
+
+# -- Z-order -------------------------------------------------------------------------------------------------------
 
-def z_value(buckets: Sequence[Column], bits: int) -> Column:
-    """Bits of the bucket numbers interleaved into one number, highest bits first."""
-    z = F.lit(0).cast("bigint")
-    width = len(buckets)
-    for bit in range(bits):
-        for index, bucket in enumerate(buckets):
-            one = F.shiftright(bucket.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
-            z = z.bitwiseOR(F.shiftleft(one, bit * width + (width - 1 - index)))
-    return z
+# Sizes that do not depend on the table: sampled values for each bucket of a column, bits of a Z-value that name a cell of the
+# histogram, and bits in one word of a Z-value. Samples only place the bounds of buckets; every row is counted.
+_SAMPLES, _CELL_BITS, _WORD_BITS = 32, 18, 60
+
+
+def _bucket(value: Column, bounds: Column, count: int) -> Column:
+    """How many of ``count`` ascending bounds lie at or below the value, 0 for NULL; found in two steps of about sqrt(count)."""
+    width = math.isqrt(count) + 1
+    every = F.transform(F.sequence(F.lit(0), F.lit((count - 1) // width)), lambda i: F.get(bounds, i * width))
+    coarse = F.size(F.filter(every, lambda b: b <= value))
+    fine = F.size(F.filter(F.slice(bounds, (coarse - 1) * width + 1, F.lit(width)), lambda b: b <= value))
+    return F.when(coarse > 0, (coarse - 1) * width + fine).otherwise(0)
+
+
+def _bounds(scan: DataFrame, cols: Sequence[str], rows: int, steps: int) -> dict[str, list]:
+    """Per column up to ``steps`` - 1 ascending values, whole and of the column's own type, that cut it into even parts."""
+    every = max(1, rows // (_SAMPLES * steps))
+    some = scan.where(F.pmod(row_address(), F.lit(every)) == 0)
+    picks = []
+    for c in cols:
+        values = F.array_sort(F.collect_list(F.col(f"`{c}`")))
+        at = lambda v: F.transform(
+            F.sequence(F.lit(1), F.lit(steps - 1)), lambda i: F.element_at(v, F.greatest(F.lit(1), F.ceil(i * F.size(v) / F.lit(steps)).cast("int")))
+        )
+        picks.append(F.when(F.size(values) > 0, F.array_distinct(at(values))))
+    found = some.agg(*[p.alias(f"c{i}") for i, p in enumerate(picks)]).first()
+    return {c: list(found[f"c{i}"] or []) for i, c in enumerate(cols)}
+
+
+def z_words(buckets: Sequence[Column], bits: int) -> tuple[list[Column], int]:
+    """Bits of the bucket numbers interleaved, highest bits first, as words of _WORD_BITS bits; and the bits of the first word."""
+    places = [(index, bit) for bit in reversed(range(bits)) for index in range(len(buckets))]
+    words = []
+    for at in range(0, len(places), _WORD_BITS):
+        run = places[at : at + _WORD_BITS]
+        word = F.lit(0).cast("bigint")
+        for shift, (index, bit) in enumerate(reversed(run)):
+            one = F.shiftright(buckets[index].cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
+            word = word.bitwiseOR(F.shiftleft(one, shift))
+        words.append(word)
+    return words, min(len(places), _WORD_BITS)
 
 
 def zorder(
@@ -135,13 +267,17 @@ def zorder(
     n_files: int | None = None,
     target_bytes: int = DEFAULT_TARGET_BYTES,
     bits: int = 8,
+    attempts: int = 50,
 ) -> CommitResult:
     """Rewrite the table so that rows close in all ``cols`` lie in the same files.
 
-    Each column is cut at its approximate quantiles (one pass over these columns), the bucket numbers are interleaved
-    and the rows spread over files by the rank of the result. The row's file and position break ties, so a Z-value
-    that holds a large part of the table lies in several files; both are fixed, so a task that runs again sends its
-    rows to the same places.
+    Each column, of any type that can be ordered and with whole values, is cut into 2**bits buckets at bounds from an even sample;
+    the bucket numbers are interleaved. The first bits of the result name a cell. A histogram counts the rows of every cell, of
+    which there are at most 2**18 whatever the table's size, and running sums in cell order give each cell its share of the files. Rows join
+    their cell and go to a place in its share by their file and position, so a cell that holds a large part of the
+    table lies in several files, and a task that runs again sends its rows to the same places. The way is the same for any number of files.
+
+    A table that has not changed since it was ordered by the same columns is left alone.
     """
     state = target.state()
     schema = schema_of(state)
@@ -149,63 +285,67 @@ def zorder(
     if not cols or unknown:
         raise ValueError(f"Z-order columns not in the table: {', '.join(unknown) or 'none given'}")
     if not state.live:
-        return target.commit(state.version, state, "OPTIMIZE", {"numFilesBefore": 0, "numFilesAfter": 0}, [])
-    bits = max(1, min(bits, 52 // len(cols)))  # a Z-value stays exact as a double
+        return CommitResult("OPTIMIZE", state.version, state.version, {"numFilesBefore": 0, "numFilesAfter": 0})
     totals = target.file_sizes(state).agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
     ).first()
     if n_files is None:
         n_files = max(1, math.ceil(totals.bytes / target_bytes))
+    made = json.loads(dict(state.properties or {}).get("zorder", "{}"))
+    wanted = {"cols": list(cols), "files": n_files, "bits": bits}
+    if state.live == made.pop("live", None) and not state.dropped and made == wanted:
+        return CommitResult("OPTIMIZE", state.version, state.version, {"numFilesBefore": totals.files, "numFilesAfter": totals.files})
     scan = target.scan_state(state)
-    values = {f"lk_v{i}": _sortable(c, schema[c].dataType) for i, c in enumerate(cols)}
-    steps = 1 << bits
-    cuts = scan.select(*[v.alias(c) for c, v in values.items()]).approxQuantile(
-        list(values), [i / steps for i in range(1, steps)], 0.25 / steps
-    )
-    bounds = {c: _edges(edges) for c, edges in zip(values, cuts)}
-    placed = _with_buckets(
-        scan.select(
-            *[F.col(f"`{n}`") for n in schema.names],
-            *[v.alias(c) for c, v in values.items()],
-            F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("lk_address"),
-        ),
-        bounds,
-        "_bucket",
-    )
-    z = z_value([F.col(f"{c}_bucket") for c in values], bits)
+    rows = target.read_state(state).count()
+    bounds = _bounds(scan, cols, rows, 1 << bits)
+    buckets = []
+    for c in cols:
+        kind = T.ArrayType(schema[c].dataType)
+        known = F.lit(bounds[c]).cast(kind) if bounds[c] else None
+        buckets.append(F.lit(0) if known is None else F.coalesce(_bucket(F.col(f"`{c}`"), known, len(bounds[c])), F.lit(0)))
+    columns = [F.col(f"`{n}`") for n in schema.names]
+    named = [f"lk_bucket_{i}" for i in range(len(cols))]
+    placed = scan.select(*columns, row_address().alias("lk_address"), *[b.alias(n) for b, n in zip(buckets, named)])
+    words, width = z_words([F.col(n) for n in named], bits)
     leading = list(state.partition_by or [])
-    placed = placed.select(*[F.col(f"`{n}`") for n in schema.names], z.alias("lk_z"), "lk_address")
-    if leading or n_files > _MAX_CUTS:
-        # Files of a partitioned table belong to one partition value, so that comes first.
-        spread = placed.repartitionByRange(n_files, *leading, "lk_z", "lk_address")
-    else:
-        spread = _spread_by_rank(placed, "lk_z", "lk_address", n_files)
-    entry, _ = target.write_folder(spread.sortWithinPartitions(*leading, "lk_z"), state, arranged=True)
+    partitions = target.file_sizes(state).select(F.regexp_replace("entry", "^[^/]*/|[^/]*$", "")).distinct().count() if leading else 1
+    cell_bits = max(1, min(width, _CELL_BITS - math.ceil(math.log2(partitions))))
+    z = [f"lk_z{i}" for i in range(len(words))]
+    placed = placed.select(*columns, "lk_address", *[w.alias(n) for w, n in zip(words, z)])
+    placed = placed.withColumn("lk_cell", F.shiftright("lk_z0", width - cell_bits))
+
+    keys = [*leading, "lk_cell"]
+    counts = placed.groupBy(*[F.col(f"`{k}`").alias(f"lk_of_{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("lk_rows"))
+    order = [f"lk_of_{i}" for i in range(len(keys))]
+    before = F.sum("lk_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("lk_rows")
+    cells = counts.withColumn("lk_before", before)
+    if partitions << cell_bits <= 1 << _CELL_BITS:
+        cells = F.broadcast(cells)  # at most 2**_CELL_BITS rows
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(o)) for k, o in zip(keys, order)])
+    share = F.pmod("lk_address", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    part = F.floor((F.col("lk_before") + share * F.col("lk_rows")) * F.lit(n_files) / F.lit(max(rows, 1)))
+    spread = placed.join(cells, same).withColumn("lk_part", F.least(part, F.lit(n_files - 1)).cast("int"))
+    spread = spread.repartitionById(n_files, F.col("lk_part")).sortWithinPartitions(*[F.col(f"`{k}`") for k in leading], *z)
+    entry, _ = target.write_folder(spread, state, arranged=True)
     after = len(target.files_below([entry], schema))
     metrics = {"numFilesBefore": totals.files, "numFilesAfter": after}
-    return target.commit(state.version, state, "OPTIMIZE", metrics, [entry])
-
+    noted = {**(state.properties or {}), "zorder": json.dumps({**wanted, "live": [entry]})}
+    return _publish(target, Row(**{**state.asDict(), "properties": noted}), metrics, [entry], [], attempts)
 
-def _spread_by_rank(df: DataFrame, value: str, address: str, parts: int) -> DataFrame:
-    """Range-partition into parts of equal row count; a value that fills several parts is spread over them.
 
-    The bounds come from one pass over the columns ``value`` needs, where Spark's own range partitioning would run
-    the whole row through a second time to sample it.
-    """
-    if parts == 1:
-        return df.repartition(1)
-    number = df.select(F.col(value).cast("double").alias("v"))
-    (cuts,) = number.approxQuantile(["v"], [i / parts for i in range(1, parts)], 0.1 / parts)
-    edges = _edges(cuts)
-    # Of the parts - 1 cuts, how many lie at or below the k-th distinct one.
-    upto = F.lit([0, *[sum(c <= e for c in cuts) for e in edges]])
-    ranked = _with_buckets(df.withColumn("lk_n", F.col(value).cast("double")), {"lk_n": edges}, "_rank")
-    rank = F.col("lk_n_rank").cast("int")
-    last = F.get(upto, rank)
-    on_cut = F.get(F.lit([-1.0, *edges]), rank) == F.col("lk_n")
-    first = F.when(on_cut, F.get(upto, rank - 1)).otherwise(last)
-    part = first + F.pmod(F.col(address), (last - first + 1).cast("bigint")).cast("int")
-    return ranked.withColumn("lk_part", part).repartitionById(parts, F.col("lk_part"))
+def files_by_probe(target: SnapshotTable, probes: Sequence[tuple[str, str, object, object]]) -> DataFrame:
+    """(probe, row_count, files_hit, files): for each (name, column, low, high) the rows in the range and the files whose own range of that column meets it."""
+    state = target.state()
+    ranges = target.scan_state(state).groupBy(F.col("_metadata.file_path").alias("lk_file"))
+    held = [F.count_if(F.col(f"`{c}`").between(F.lit(low), F.lit(high))).alias(f"n{i}") for i, (_, c, low, high) in enumerate(probes)]
+    met = [
+        ((F.min(f"`{c}`") <= F.lit(high)) & (F.max(f"`{c}`") >= F.lit(low))).alias(f"m{i}") for i, (_, c, low, high) in enumerate(probes)
+    ]
+    total = ranges.agg(*held, *met).agg(
+        F.count(F.lit(1)).alias("files"), *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(probes))], *[F.count_if(f"m{i}").alias(f"m{i}") for i in range(len(probes))]
+    )
+    rows = [F.struct(F.lit(name).alias("probe"), F.col(f"n{i}").alias("row_count"), F.col(f"m{i}").alias("files_hit"), "files") for i, (name, *_) in enumerate(probes)]
+    return total.select(F.inline(F.array(*rows)))
 
 
 # -- vacuum --------------------------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakeops.operators.changes import touched_files, without_files
 from lakeops.operators.schemas import merge_schemas
-from lakeops.operators.upkeep import compact
+from lakeops.operators.upkeep import by_range, compact
 from lakeops.sources.snapshot import CommitConflict, CommitResult, Lake, SnapshotTable, schema_of
 
 
@@ -140,13 +140,14 @@ def _partition_folder(entry: str) -> str:
     return "/".join(entry.split("/")[1:-1])
 
 
-def write_clustered(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Write with equal keys side by side in files of even size.
+def write_clustered(df: DataFrame, path: str, keys: Sequence[str], parts: int | None = None) -> None:
+    """Write in ``parts`` files (the shuffle partitions by default), each a range of the keys and sorted by them.
 
-    The rebalance shuffle lets adaptive execution merge small key groups and cut a hot one (even one made of equal
-    rows) into several tasks; the sort inside each task gives narrow row-group statistics.
+    Equal keys lie in one file, unless a key has more rows than an average file. ``df`` is read three times (to count keys, to
+    sample the ranges' bounds, to write), so it should be a scan or something as cheap.
     """
-    df.hint("rebalance", *keys).sortWithinPartitions(*keys).write.parquet(path)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_range(df, keys, parts, F.monotonically_increasing_id()).write.parquet(path)
 
 
 @dataclass(frozen=True)

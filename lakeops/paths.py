@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -35,18 +36,36 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a small text file unless it exists; False when it does. One writer wins."""
-    fs, hadoop_path = _resolve(spark, path)
-    try:
-        stream = fs.create(hadoop_path, False)
-    except Py4JJavaError as error:
-        if fs.exists(hadoop_path):
-            return False
-        raise error
+    """Write a small text file unless it exists; False when it does. One writer wins, and nobody sees half a file.
+
+    The text is written beside the path first. A rename that does not replace, or on a local disk a hard link, then gives it its name.
+    """
+    fs, final = _resolve(spark, path)
+    jvm = spark._jvm
+    if fs.exists(final):
+        return False
+    draft = jvm.org.apache.hadoop.fs.Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex}.tmp")
     try:
-        stream.write(bytearray(text.encode("utf-8")))
+        stream = fs.create(draft, False)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        try:
+            if fs.getScheme() == "file":
+                local = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+                jvm.java.nio.file.Files.createLink(local(final), local(draft))
+            else:
+                none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                none[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+                context.rename(fs.makeQualified(draft), fs.makeQualified(final), none)
+        except Py4JJavaError as error:
+            if fs.exists(final):
+                return False
+            raise error
     finally:
-        stream.close()
+        fs.delete(draft, False)
     return True
 
 

@@ -300,10 +300,7 @@ class SnapshotTable:
             "batches": {**(definition.batches or {}), **({txn[0]: txn[1]} if txn else {})},
             "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
-        path = self._log_file(version)
-        if paths.exists(self.spark, path) and self._log_row(version) is None:
-            paths.delete(self.spark, path)  # left behind by a writer that died
-        if not paths.write_new(self.spark, path, json.dumps(row) + "\n"):
+        if not paths.write_new(self.spark, self._log_file(version), json.dumps(row) + "\n"):
             raise CommitConflict(f"{self.name}: version {version} was committed by another writer")
         return CommitResult(operation, prev_version, version, dict(metrics))
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators.changes import delete_where
-from lakeops.operators.upkeep import RetentionTooShort, analyze, compact, stored_files, vacuum, zorder
+from lakeops.operators.upkeep import RetentionTooShort, analyze, compact, overlap_depth, recluster, stored_files, vacuum, zorder
+from lakeops.sources.snapshot import CommitConflict
 from lakeops.operators.writes import TableSpec, append, ensure_tables, write_clustered
 from lakeops.plans.maintenance import (
     InvalidRules,
@@ -60,12 +61,123 @@ def test_compaction_in_rounds(spark, lake):
     assert done.version > 2 and same_rows(target, df)
 
 
-def test_zorder_beyond_rank_cuts(spark, lake, monkeypatch):
-    monkeypatch.setattr("lakeops.operators.upkeep._MAX_CUTS", 4)
-    df = numbers(spark, 3000, 6)
+def test_compaction_at_rest_makes_no_version(spark, lake):
+    target = build(lake, numbers(spark, 900, 1), partition_by=["s"])
+    start = target.latest_version()
+    assert compact(target).version == start == target.latest_version()
+    plain = build(lake, numbers(spark, 900, 6), "dev.bronze.p")
+    first = compact(plain)
+    assert compact(plain).version == first.version and len(plain.live_files()) == 1
+
+
+def test_files_that_fit_no_better_stay(spark, lake):
+    target = build(lake, numbers(spark, 4000, 4))
+    size = target.file_sizes().agg(F.max("length")).first()[0]
+    assert compact(target, target_bytes=int(size / 0.7)).version == target.latest_version() == 1
+    append(numbers(spark, 30, 1), target)
+    done = compact(target, target_bytes=int(size / 0.7) + size // 2)
+    assert done.metrics == {"numFilesBefore": 5, "numFilesAfter": 4} and len(target.live_files()) == 4
+    assert target.read().count() == 4030
+
+
+def test_compaction_of_partitions_in_rounds(spark, lake):
+    df = numbers(spark, 600, 1).withColumn("s", F.col("s").substr(1, 2))
+    target = build(lake, df, partition_by=["s"])
+    for _ in range(3):
+        append(df, target)
+    done = compact(target, round_files=5)
+    assert done.metrics["numFilesAfter"] == len(target.live_files()) == df.select("s").distinct().count()
+    assert target.read().count() == 2400
+    assert compact(target, round_files=5).version == done.version
+
+
+def test_compaction_follows_an_append_and_loses_nothing(spark, lake, monkeypatch):
+    for change, works in (("append", True), ("delete", False)):
+        df = numbers(spark, 1000, 8)
+        target = build(lake, df, f"dev.bronze.{change}")
+        whole = type(target).write_folder
+
+        def slow(self, rows, state, *args, **options):
+            monkeypatch.setattr(type(target), "write_folder", whole)
+            other = lake.table(target.name)
+            if change == "append":
+                append(numbers(spark, 10, 1), other)
+            else:
+                delete_where(other, "id = 3")
+            return whole(self, rows, state, *args, **options)
+
+        monkeypatch.setattr(type(target), "write_folder", slow)
+        if works:
+            compact(target)
+            assert target.read().count() == 1010 and len(target.live_files()) == 1
+        else:
+            with pytest.raises(CommitConflict):
+                compact(target)
+            assert target.read().count() == 999
+
+
+@pytest.mark.parametrize("n_files", [1, 6, 700])
+def test_zorder_is_the_same_way_for_any_number_of_files(spark, lake, n_files):
+    df = numbers(spark, 3000, 6).withColumn("s", F.concat(F.lit("x" * 60), "s"))
     target = build(lake, df)
-    zorder(target, ["id", "s"], n_files=6)
+    zorder(target, ["id", "s"], n_files=n_files)
     assert same_rows(target, df)
+    assert n_files * 0.6 <= len(target.live_files()) <= n_files
+    version = target.latest_version()
+    assert zorder(target, ["id", "s"], n_files=n_files).version == version
+    append(df.limit(1), target)
+    assert zorder(target, ["id", "s"], n_files=n_files).version == version + 2
+
+
+def test_zorder_of_many_columns_and_types(spark, lake):
+    df = numbers(spark, 600, 3).select(
+        "*",
+        F.col("id").cast("double").alias("f"),
+        F.when(F.col("id") % 3 == 0, F.lit("nan").cast("double")).otherwise(F.col("a")).alias("n"),
+        F.col("d").cast("timestamp").alias("t"),
+        F.col("id").cast("decimal(20,4)").alias("m"),
+        (F.col("id") % 2 == 0).alias("b"),
+        F.lit(None).cast("string").alias("z"),
+        F.encode(F.col("s"), "UTF-8").alias("y"),
+    )
+    target = build(lake, df)
+    zorder(target, ["f", "n", "t", "m", "b", "z", "s", "y", "d"], n_files=5, bits=8)
+    assert same_rows(target, df)
+
+
+def test_reclustering_picks_the_overlapping_stretch(spark, lake):
+    df = spark.range(0, 8000, 1, 4).select(F.col("id").alias("k"), F.lit("x" * 20).alias("v"))
+    target = build(lake, df, cluster_by=["k"])
+    assert overlap_depth(target) == 1
+    settled = set(target.live_files())
+    append(spark.range(3000, 3500, 1, 2).select(F.col("id").alias("k"), F.lit("y").alias("v")), target)
+    assert overlap_depth(target) == 2
+    assert recluster(target, limit=2).version == target.latest_version() == 2
+    recluster(target)
+    assert overlap_depth(target) == 1 and len(settled & set(target.live_files())) == 3
+    assert recluster(target).version == 3
+    assert target.read().count() == 8500
+
+
+def test_a_hot_key_may_fill_several_files(spark, lake):
+    df = spark.range(0, 9000, 1, 3).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"), "id")
+    target = build(lake, df, cluster_by=["k"])
+    size = target.file_sizes().agg(F.sum("length")).first()[0]
+    recluster(target, target_bytes=size // 6)
+    assert overlap_depth(target) == 1 and same_rows(target, df)
+    largest = target.scan_state(target.state()).groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0]
+    assert largest < 3600
+    version = target.latest_version()
+    assert recluster(target, target_bytes=size // 6).version == version
+
+
+def test_reclustering_of_nulls_and_nothing(spark, lake):
+    df = spark.range(0, 300, 1, 3).select(F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("k"), "id")
+    target = build(lake, df, cluster_by=["k", "id"])
+    recluster(target)
+    assert same_rows(target, df) and overlap_depth(target) == 1
+    empty = build(lake, df.limit(0), "dev.bronze.none", cluster_by=["k"])
+    assert recluster(empty).version == empty.latest_version() and overlap_depth(empty) == 0
 
 
 def test_compaction_leaves_large_files(spark, lake):
