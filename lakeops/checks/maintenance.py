@@ -448,7 +448,7 @@ _PROBES = [
                 'a long prefix that all keys share / ' || CAST(event_id % 10 AS VARCHAR) || ' / ' || CAST(user_id AS VARCHAR) AS k FROM events),
       p(probe, col, low, high) AS (VALUES {", ".join(str(p) for p in _PROBES)})
     SELECT files, probe, (SELECT count(*) FROM e WHERE CASE col WHEN 'd' THEN d ELSE k END BETWEEN low AND high) AS row_count,
-      TRUE AS skips_half, TRUE AS idle FROM p, (VALUES (40), (2400)) f(files)""",
+      TRUE AS skips_half, TRUE AS idle FROM p, (VALUES (40), (2100)) f(files)""",
 )
 def zorder_probes(spark, sf):
     """Z-order by text keys with a long common prefix, in few files and in more than 2,000: files that probes of each column meet."""
@@ -458,7 +458,7 @@ def zorder_probes(spark, sf):
         "event_id",
     )
     out = None
-    for files in (40, 2400):
+    for files in (40, 2100):
         target = made(new_lake(spark, f"probes-{files}"), "dev.bronze.events", events)
         append(events.repartition(6), target)
         first = zorder(target, ["d", "k"], n_files=files)

@@ -302,10 +302,15 @@ def zorder(
     for c in cols:
         kind = T.ArrayType(schema[c].dataType)
         known = F.lit(bounds[c]).cast(kind) if bounds[c] else None
-        buckets.append(F.lit(0) if known is None else F.coalesce(_bucket(F.col(f"`{c}`"), known, len(bounds[c])), F.lit(0)))
+        if known is None:
+            buckets.append(F.lit(0))
+            continue
+        # a column of few values still fills all its bits, so that it counts as much as the others
+        number = F.coalesce(_bucket(F.col(f"`{c}`"), known, len(bounds[c])), F.lit(0))
+        buckets.append(F.shiftleft(number.cast("bigint"), bits) / F.lit(len(bounds[c]) + 1))
     columns = [F.col(f"`{n}`") for n in schema.names]
     named = [f"lk_bucket_{i}" for i in range(len(cols))]
-    placed = scan.select(*columns, row_address().alias("lk_address"), *[b.alias(n) for b, n in zip(buckets, named)])
+    placed = scan.select(*columns, row_address().alias("lk_address"), *[F.floor(b).alias(n) for b, n in zip(buckets, named)])
     words, width = z_words([F.col(n) for n in named], bits)
     leading = list(state.partition_by or [])
     partitions = target.file_sizes(state).select(F.regexp_replace("entry", "^[^/]*/|[^/]*$", "")).distinct().count() if leading else 1
