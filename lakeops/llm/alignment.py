@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.automaton import MergeAutomaton
-from lakeops.llm.common import ID, TEXT, batches, id_and_text, per_worker, temporary_table
+from lakeops.llm.common import CACHE, ID, TEXT, batches, id_and_text, per_worker, temporary_table
+from lakeops.llm.pieces import SPACE
 
-SPACE = "▁"
 #: Tokens of a batch that are sorted together; a longer document is a batch of its own.
-_TOGETHER = 1 << 19
+_TOGETHER = 1 << 18
 
 
 def groups_of(starts_a, ends_a, starts_b, ends_b) -> tuple[np.ndarray, np.ndarray]:
@@ -50,10 +50,9 @@ class Aligner:
     """Tokens of a text under a byte-level BPE file (A) and a piece model (B), as ids, their bytes and lengths."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.coder = MergeAutomaton(path_a)
+        self.coder = MergeAutomaton(path_a, CACHE // 2)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = self.coder.bytes
-        self.bytes_b = []
+        self.bytes_a, self.bytes_b = self.coder.bytes, []
         for i in range(self.pieces.get_piece_size()):
             piece = self.pieces.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.pieces.is_byte(i) else piece.replace(SPACE, " ").encode())
@@ -69,11 +68,12 @@ class Aligner:
         if not text:
             return none
         whole = " " + text
-        a = np.frombuffer(self.coder.encode(whole, special=False), "<u4").astype(np.int64)
         raw = self.pieces.encode(text, num_threads=1)
         expected = whole.encode()
-        if b"".join(map(self.bytes_b.__getitem__, raw)) != expected or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != expected:
+        if b"".join(map(self.bytes_b.__getitem__, raw)) != expected:
             return none
+        # the labels of a path spell the text, so A has these bytes always
+        a = np.frombuffer(self.coder.encode(whole, special=False), "<u4").astype(np.int64)
         return a, np.array(raw, np.int64)
 
     def align(self, texts: list[str]) -> pd.DataFrame:
@@ -173,6 +173,7 @@ def link_counts(links: DataFrame) -> DataFrame:
     """
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        per_worker(list, "no model")  # the models of the stage before are not needed any more
         waiting, held = [], 0
 
         def summed() -> pd.DataFrame:
@@ -183,7 +184,7 @@ def link_counts(links: DataFrame) -> DataFrame:
             for row in frame["links"]:
                 waiting.append(np.asarray(row, np.int64))
                 held += len(waiting[-1])
-                if held > 4_000_000:
+                if held > 1_000_000:
                     yield summed()
                     waiting, held = [], 0
         if held:

@@ -11,7 +11,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from lakeops.llm.common import ID, TEXT, WordCache, batches, id_and_text, per_worker
+from lakeops.llm.common import CACHE, ID, TEXT, WordCache, batches, id_and_text, per_worker
 from lakeops.llm.token_counts import SPLIT, byte_letters
 
 _LONG = 1 << 20
@@ -53,7 +53,7 @@ class MergeAutomaton:
     has exactly one path. Encoding walks from boundary to boundary, longest label first, along arcs that the table allows.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -108,7 +108,7 @@ class MergeAutomaton:
             self.bytes[i] = content.encode()
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.split = regex.compile(SPLIT)
-        self.words = WordCache(self._word)
+        self.words = WordCache(self._word, cache_bytes)
 
     def leaves(self, u: int, t: int) -> bool:
         """Whether the arc t leaves the state that u leads to."""

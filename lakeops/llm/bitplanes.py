@@ -13,6 +13,8 @@ file, in two kinds, ``chunk`` and ``document``.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakeops.llm.common import ID, TEXT, WordCache, batches, id_and_text, per_worker
+from lakeops.llm.common import CACHE, ID, TEXT, WordCache, batches, id_and_text, per_worker
+from lakeops.llm.token_counts import byte_letters
 
 CHUNK, END_ID, LEVEL = 65_536, 2, 3
 _ROWS = "shard int, kind string, chunk long, doc_id long, at long, n long, width int, bits boolean, ends array<int>, planes binary"
@@ -54,12 +57,19 @@ def from_planes(ends, planes: bytes, n: int, width: int, bits: bool) -> np.ndarr
     return np.ascontiguousarray(rows).reshape(n, width).view({2: "<u2", 4: "<u4"}[width])[:, 0].astype(np.uint32)
 
 
+#: Text of ASCII and Latin-1 letters, digits, ASCII signs, spaces and line ends: its composed and lower-case forms are plain, so is where the query's tokenizer cuts it.
+_PLAIN = re.compile(r"[ \n\x21-\x7eÀ-ÖØ-öø-ÿ]*")
+#: Fixed value: how the tokenizer cuts such a text in lower case.
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, word by word.
 
     Only for tokenizers that throw white space away before merging and never look across it, as the one of the query
     does: then the ids of a text are those of its words one after the other, and a word met before need not be
-    encoded again. Words in the middle of ordinary text are cut at spaces and line ends only.
+    encoded again. Words in the middle of ordinary text are cut at spaces and line ends only. Where the tokenizer's own
+    rule for lower case and cutting is the known one, plain texts and words are cut by it here, and the tokenizer's model gets the parts.
     """
 
     def __init__(self, path: str):
@@ -70,15 +80,56 @@ class WordEncoder:
         probe = "Ab c's, d1\n e"
         if self._ids(probe) != sum(map(self._ids, probe.split()), []):
             raise ValueError(f"{path}: ids of this tokenizer depend on white space")
-        self.words = WordCache(self._word)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        self.model, self.letters = self.tokenizer.model, {b: c for b, c in enumerate(byte_letters())}
+        self.cuts = self._cuts_plain_words(spec)
+        self.words = WordCache(self._word, CACHE // 2)
+        self.parts = WordCache(self._part, CACHE // 2)
+
+    @staticmethod
+    def _cuts_plain_words(spec: dict) -> bool:
+        """Whether the file's normalizer and splitter do to plain words what _CUT does in lower case."""
+        steps = [step["type"] for step in (spec["normalizer"] or {}).get("normalizers", [])]
+        splitters = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        first = splitters[0] if splitters else {}
+        pattern = first.get("pattern", {}).get("Regex") if first.get("type") == "Split" else None
+        return (
+            steps == ["NFC", "Replace", "Lowercase"]
+            and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+            and first.get("invert") is True
+            and [step.get("type") for step in splitters[1:]] == ["ByteLevel"]
+            and splitters[1].get("use_regex") is False
+            and splitters[1].get("add_prefix_space") is False
+            and spec["post_processor"] is None
+            and all(not (t["single_word"] or t["lstrip"] or t["rstrip"]) for t in spec["added_tokens"])
+        )
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """Ids that the file's model gives to a part, whose bytes stand as letters."""
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return self._packed([token.id for token in self.model.tokenize(letters)])
+
+    def _plain(self, text: str) -> bytes | None:
+        if not self.cuts or not _PLAIN.fullmatch(text) or self.special.search(text):
+            return None
+        return b"".join(map(self.parts.__getitem__, _CUT.findall(text.lower())))
+
     def _word(self, word: str) -> bytes:
-        return np.array(self._ids(word), self.dtype).tobytes()
+        found = self._plain(word)
+        return self._packed(self._ids(word)) if found is None else found
 
     def encode(self, text: str) -> bytes:
+        found = self._plain(text)
+        if found is not None:
+            return found
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 

@@ -16,8 +16,8 @@ from lakeops.paths import delete
 from lakeops.session import scratch_path
 
 ID, TEXT = "doc_id", "text"
-#: Bytes of a dictionary entry with its share of free places.
-_ENTRY = 150
+#: Bytes that the word cache of a worker takes, and of a dictionary entry with its share of free places.
+CACHE, _ENTRY = 160 << 20, 110
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,7 +82,7 @@ class WordCache(dict):
     again, so the limit changes the speed and never a result. Words longer than ``longest`` are not kept.
     """
 
-    def __init__(self, compute: Callable[[Any], Any], limit: int = 160 << 20, longest: int = 64):
+    def __init__(self, compute: Callable[[Any], Any], limit: int = CACHE, longest: int = 64):
         super().__init__()
         self.compute, self.half, self.longest, self.old, self.held = compute, limit // 2, longest, {}, 0
 
@@ -92,6 +92,9 @@ class WordCache(dict):
             value = self.compute(word)
             if len(word) > self.longest:
                 return value
+        return self.add(word, value)
+
+    def add(self, word, value):
         if self.held >= self.half:
             self.old = dict(self)
             self.clear()
