@@ -144,3 +144,39 @@ def stream_complete_counts(spark, sf):
         put()
         stream_aggregate(spark, src, "parquet", events.schema, ["event_type"], aggregates, target, checkpoint)
     return target.read()
+
+
+_RESCUED = """CASE WHEN event_id % 3 = 2 AND event_id % 7 = 0 THEN '{"value":"n/a ' || event_id || '"}' END"""
+
+
+@check(
+    "ingest_type_drift",
+    f"""SELECT CASE WHEN event_id % 3 = 1 THEN event_id + 3000000000 ELSE event_id END AS event_id,
+      CASE event_id % 3 WHEN 0 THEN floor(value) WHEN 1 THEN value ELSE CASE WHEN event_id % 7 <> 0 THEN value END END AS value,
+      CASE WHEN event_id % 3 = 2 THEN user_id END AS user_id, {_RESCUED} AS rescued, format
+    FROM events, (VALUES ('csv'), ('json')) f(format)""",
+)
+def ingest_type_drift(spark, sf):
+    """Three drops of events: whole numbers, then larger ids and fractions (both columns widen), then texts among the numbers
+    (kept in the rescue column) and a new column."""
+    events = table(spark, sf, "events")
+    part = F.col("event_id") % 3
+    drops = [
+        events.where(part == 0).select("event_id", F.floor("value").alias("value")),
+        events.where(part == 1).select((F.col("event_id") + 3000000000).alias("event_id"), "value"),
+        events.where(part == 2).select(
+            "event_id",
+            F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("n/a "), "event_id")).otherwise(F.col("value").cast("string")).alias("value"),
+            "user_id",
+        ),
+    ]
+    out = None
+    for fmt in ("csv", "json"):
+        src, lake = scratch_path(spark, f"drift-{fmt}"), new_lake(spark, f"drift-{fmt}")
+        target, checkpoint = lake.table("dev.bronze.events"), scratch_path(spark, f"checkpoint-drift-{fmt}")
+        for rows in drops:
+            rows.write.format(fmt).options(**({"header": True} if fmt == "csv" else {})).mode("append").save(src)
+            ingest_files(spark, src, target, checkpoint, fmt, infer_types=True, rescue="rescued")
+        found = target.read().select("event_id", "value", F.col("user_id").cast("bigint").alias("user_id"), "rescued", F.lit(fmt).alias("format"))
+        out = found if out is None else out.unionByName(found)
+    return out

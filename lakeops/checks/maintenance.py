@@ -16,6 +16,7 @@ from lakeops.checks.tables import made
 from lakeops.operators.changes import delete_where
 from lakeops.operators.upkeep import (
     analyze,
+    analyze_files,
     column_stats,
     compact,
     files_by_probe,
@@ -553,3 +554,47 @@ def vacuum_run(spark, sf):
         gone = True
     facts = {"deleted_some": F.lit(deleted >= 6 and again == 0), "left_over": F.lit(left).cast("bigint"), "old_version_gone": F.lit(gone)}
     return target.read().select("*", *[v.alias(n) for n, v in facts.items()])
+
+
+@check(
+    "analyze_run",
+    """WITH o AS (SELECT * FROM orders WHERE o_orderkey % 5 <> 3),
+      s AS (SELECT count(*) AS n, count(DISTINCT o_custkey) AS dc, count(DISTINCT o_orderpriority) AS dp, median(o_totalprice) AS m FROM o)
+    SELECT 'o_custkey' AS column_name, n AS row_count, CAST(0 AS BIGINT) AS null_count, (SELECT CAST(min(o_custkey) AS VARCHAR) FROM o) AS min_value,
+      (SELECT CAST(max(o_custkey) AS VARCHAR) FROM o) AS max_value, TRUE AS distinct_near, TRUE AS median_near, CAST(2 AS BIGINT) AS files_read, n AS table_rows FROM s
+    UNION ALL SELECT 'o_orderpriority', n, (SELECT count(*) FROM o WHERE o_orderkey % 11 = 0), (SELECT min(o_orderpriority) FROM o WHERE o_orderkey % 11 <> 0),
+      (SELECT max(o_orderpriority) FROM o WHERE o_orderkey % 11 <> 0), TRUE, TRUE, 2, n FROM s
+    UNION ALL SELECT 'o_orderkey', n, 0, (SELECT CAST(min(o_orderkey) AS VARCHAR) FROM o), (SELECT CAST(max(o_orderkey) AS VARCHAR) FROM o), TRUE, TRUE, 2, n FROM s""",
+)
+def analyze_run(spark, sf):
+    """Column statistics merged from sketches per file: after two files more, and a deletion that rewrites some, only new files are read."""
+    orders = table(spark, sf, "orders").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")))
+    target = made(new_lake(spark, "analyze-run"), "dev.bronze.orders", orders)
+    cols = ["o_custkey", "o_orderpriority", "o_orderkey"]
+    key = F.col("o_orderkey")
+    append(orders.where(key % 5 < 2).repartition(5), target)
+    _, first = analyze_files(target, cols)
+    append(orders.where(key % 5 == 3).coalesce(1), target)
+    append(orders.where(key % 5 == 2).coalesce(1), target)
+    _, second = analyze_files(target, cols)
+    append(orders.where(key % 5 == 4).coalesce(1), target)
+    delete_where(target, "o_orderkey % 5 = 3")
+    third, again = analyze_files(target, cols)
+    if (first, again) != (5, 1):
+        raise AssertionError(f"{first} and {again} files were read")
+    exact = target.read().agg(
+        *[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)],
+        *[F.percentile(c, F.array(F.lit(0.45), F.lit(0.55))).alias(f"q{i}") for i, c in ((0, "o_custkey"), (2, "o_orderkey"))],
+    ).first()
+    near = {c: (exact[f"d{i}"], exact[f"q{i}"] if i != 1 else None) for i, c in enumerate(cols)}
+    distinct_near, median_near = F.lit(True), F.lit(True)
+    for c, (d, q) in near.items():
+        mine = F.col("column_name") == c
+        distinct_near = F.when(mine, F.abs(F.col("distinct_approx") - d) <= 0.08 * d + 1).otherwise(distinct_near)
+        if q:
+            median_near = F.when(mine, F.col("median_approx").between(q[0], q[1])).otherwise(median_near)
+    table_rows = analyze(target).first()["row_count"]
+    return third.select(
+        "column_name", "row_count", "null_count", "min_value", "max_value", distinct_near.alias("distinct_near"), median_near.alias("median_near"),
+        F.lit(second).cast("bigint").alias("files_read"), F.lit(table_rows).cast("bigint").alias("table_rows"),
+    )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.checks.registry import check, table
+from lakeops.checks.registry import check, new_lake, table
 from lakeops.operators.audit import load_report, load_status_rows, maintenance_log_rows, run_summary
+from lakeops.operators.changes import delete_where
 from lakeops.operators.quality import (
+    append_gated,
     assign_ids,
     check_rules,
     check_steps,
@@ -18,7 +20,10 @@ from lakeops.operators.quality import (
     violation_counts,
     violations,
 )
+from lakeops.operators.writes import TableSpec, append, ensure_tables
+from lakeops.session import scratch_path
 from lakeops.sources.control import retention_rules
+from lakeops.sources.snapshot import ConstraintViolation
 
 
 def step_config(spark, sf):
@@ -313,3 +318,62 @@ def run_summaries(spark, sf):
         F.col("o_orderdate").alias("tml_timestamp"),
     )
     return run_summary(log, "F", "1-URGENT").withColumnRenamed("tml_timestamp", "at")
+
+
+@check(
+    "identity_append",
+    """WITH o AS (SELECT o_orderkey % 3 AS part, count(*) AS row_count FROM orders GROUP BY 1),
+      s AS (SELECT part, row_count, coalesce(CAST(sum(row_count) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS before FROM o)
+    SELECT part, CASE part WHEN 2 THEN row_count - 10 ELSE row_count END AS row_count, CASE part WHEN 2 THEN row_count - 10 ELSE row_count END AS ids,
+      before + 1 AS first_id, CASE part WHEN 2 THEN before + row_count - 10 ELSE before + row_count END AS last_id, CAST(0 AS BIGINT) AS given_again
+    FROM s UNION ALL SELECT 3, 5, 5, (SELECT count(*) FROM orders) + 1, (SELECT count(*) FROM orders) + 5, 0""",
+)
+def identity_append(spark, sf):
+    """Appends number their rows on from the largest id ever given, also after the rows with the largest ids have been deleted."""
+    orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 3).alias("part"))
+    lake = new_lake(spark, "identity")
+    layout = orders.select(F.lit(None).cast("bigint").alias("id"), "o_orderkey", "part").schema
+    ensure_tables(lake, [TableSpec("dev.bronze.orders", layout, identity="id")])
+    target = lake.table("dev.bronze.orders")
+    for part in range(3):
+        append(orders.where(F.col("part") == part).repartition(4), target)
+    last = target.read().agg(F.max("id")).first()[0]
+    delete_where(target, F.col("id") > last - 10)
+    path = scratch_path(spark, "five-orders")
+    orders.orderBy("o_orderkey").limit(5).withColumn("part", F.lit(3).cast(orders.schema["part"].dataType)).repartition(2).write.parquet(path)
+    append(spark.read.parquet(path), target)  # a scan is numbered as it lies
+    again = target.read().groupBy("id").count().where("count > 1").count()
+    return target.read().groupBy("part").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("id").alias("ids"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+        F.lit(again).cast("bigint").alias("given_again"),
+    )
+
+
+@check(
+    "append_quarantine",
+    """SELECT doc_id, lang, CASE WHEN n_chars < 100 AND lang NOT IN ('en', 'fr') THEN 'language,short' WHEN n_chars < 100 THEN 'short'
+         WHEN lang NOT IN ('en', 'fr') THEN 'language' ELSE '' END AS reasons, (SELECT count(*) FROM documents WHERE n_chars >= 100 AND lang IN ('en', 'fr')) AS appended
+    FROM documents""",
+)
+def append_quarantine(spark, sf):
+    """Good rows go to their table and broken ones, with their reasons, to the quarantine table; a broken write leaves both as they were."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    lake = new_lake(spark, "quarantine-run")
+    ensure_tables(lake, [TableSpec("dev.bronze.docs", docs.schema), TableSpec("dev.bronze.bad", docs.schema, constraints={"never": "doc_id < 0"})])
+    good, bad = lake.table("dev.bronze.docs"), lake.table("dev.bronze.bad")
+    rules = {"language": in_set("lang", ["en", "fr"]), "short": F.col("n_chars") < 100}
+    try:
+        append_gated(docs, good, rules, bad)
+        raise AssertionError("the quarantine table takes no rows")
+    except ConstraintViolation:
+        pass
+    if good.latest_version() != 0:
+        raise AssertionError("good rows were committed without the bad ones")
+    ensure_tables(lake, [TableSpec("dev.bronze.bad", docs.schema)], replace=True)
+    kept, _ = append_gated(docs, good, rules, bad)
+    reasons = F.array_join("broken_rules", ",").alias("reasons")
+    rows = good.read().select("doc_id", "lang", F.lit("").alias("reasons")).unionByName(bad.read().select("doc_id", "lang", reasons))
+    return rows.withColumn("appended", F.lit(kept.row_counts[0]).cast("bigint"))

@@ -106,32 +106,6 @@ def statement_library(spark, sf):
     return read_statement_library(spark, path).select("sql_var", "sql_text")
 
 
-@check(
-    "bind_statements",
-    f"""WITH steps AS ({STEP_CONFIG_SQL}),
-      library AS (SELECT p_brand, p_name, 'SELECT ' || max(p_partkey) AS sql_text FROM part WHERE p_size <= 10
-                  GROUP BY p_brand, p_name)
-    SELECT emc_id, CASE WHEN upper(emc_func_type) = 'SQL' THEN sql_text END AS sql_text,
-      CASE WHEN upper(emc_func_type) = 'SQL' AND sql_text IS NULL THEN 'no statement named ' || s.p_name
-           WHEN emc_func_type = 'BRONZE' THEN 'function type is not known' END AS problem
-    FROM (SELECT * FROM steps WHERE p_size <= 30) s LEFT JOIN library l
-      ON s.p_brand = l.p_brand AND s.p_name = l.p_name""",
-)
-def statement_binding(spark, sf):
-    parts = table(spark, sf, "part")
-    library = (
-        parts.where("p_size <= 10")
-        .groupBy("p_brand", F.col("p_name").alias("sql_var"))
-        .agg(F.concat(F.lit("SELECT "), F.max("p_partkey").cast("string")).alias("sql_text"))
-        .withColumn("sql_path", F.concat(F.lit("/lib/"), "p_brand"))
-    )
-    complete = step_config(spark, sf).where(F.col("emc_seq").cast("int") <= 30)
-    steps = complete.withColumn("sql_path", F.get_json_object("emc_func_dtls", "$.sql_path"))
-    bound = bind_statements(steps, library)
-    text = F.when(F.upper("emc_func_type") == "SQL", F.col("sql_text"))
-    return bound.select("emc_id", text.alias("sql_text"), "problem")
-
-
 @check(
     "bind_statements_all",
     f"""WITH steps AS ({STEP_CONFIG_SQL}),
@@ -543,3 +517,41 @@ def step_delete_subquery(spark, sf):
       (SELECT 1 FROM dev.bronze.customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)
       AND o.o_orderdate < (SELECT max(ts) FROM dev.bronze.events)"""
     return _run_write_step(spark, sf, "delete-subquery", "orders", ["customer", "events"], text)
+
+
+@check(
+    "medallion_beside",
+    f"""WITH gold AS (SELECT event_type AS kind, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' THEN 'DF' ELSE event_type END AS event_type FROM events) GROUP BY 1),
+      brackets AS (SELECT {_BRACKETS_SQL} AS label, count(*) AS n FROM events GROUP BY 1)
+    SELECT 'gold' AS section, kind AS label, n FROM gold
+    UNION ALL SELECT 'brackets', label, n FROM brackets
+    UNION ALL SELECT 'audit', 'dev.bronze.orders SUCCESS', (SELECT count(*) FROM orders)
+    UNION ALL SELECT 'audit', 'dev.silver.events SUCCESS', (SELECT count(*) FROM events)
+    UNION ALL SELECT 'audit', 'dev.gold.events SUCCESS', (SELECT count(*) FROM gold)
+    UNION ALL SELECT 'audit', 'dev.gold.value_brackets SUCCESS', (SELECT count(*) FROM brackets)
+    UNION ALL SELECT 'overlap', 'bronze and silver', 1""",
+)
+def medallion_beside(spark, sf):
+    """Bronze and silver tasks that do not depend on each other run side by side, the two gold tasks after both."""
+    lake = _events_lake(spark, sf, "beside")
+    path = library_file(spark, {"silver": MEDALLION_SILVER, "gold": GOLD})
+    ensure_tables(lake, [TableSpec("dev.bronze.orders", table(spark, sf, "orders").schema)])
+    parms = {"format": "PARQUET", "source_path": f"{sf}/orders.parquet", "checkpoint": scratch_path(spark, "checkpoint-beside"), "emc_target": "dev.bronze.orders"}
+    brackets = {"notebook_path": "jobs/value_brackets", "parms": {"source": "dev.silver.events", "floor": "0"}}
+    steps = [
+        ("ORDERS", 1, "BRONZE", "NOTEBOOK", {"notebook_path": "jobs/ingest_files", "parms": parms}, "dev.bronze.orders", "APPEND"),
+        *_silver_steps(path),
+        ("GOLD1", 1, "GOLD", "SQLLOAD", {"sql_path": path}, "", "APPEND"),
+        ("GOLD1", 2, "GOLD", "SQL", {"sql_var": "gold", "sql_parms": ""}, "dev.gold.events", "OVERWRITE"),
+        ("BRACKETS", 1, "GOLD", "NOTEBOOK", brackets, "dev.gold.value_brackets", "OVERWRITE"),
+    ]
+    stages = [[("ORDERS", "BRONZE"), ("SILVER1", "SILVER")], [("GOLD1", "GOLD"), ("BRACKETS", "GOLD")]]
+    run_pipeline(context(lake, config_frame(spark, steps), "2024-12-31"), stages)
+    log = lake.read(LOG_TABLE)
+    name = F.concat_ws(".", "etls_catalog", "etls_schema", "etls_table_name")
+    first = log.where("etls_schema IN ('bronze', 'silver')")
+    together = first.agg((F.max("etls_start_timestamp") < F.min("etls_end_timestamp")).cast("bigint").alias("n"))
+    gold = lake.read("dev.gold.events").select(F.lit("gold").alias("section"), F.col("kind").alias("label"), F.col("event_count").cast("bigint").alias("n"))
+    grouped = lake.read("dev.gold.value_brackets").select(F.lit("brackets"), "value_bracket", "event_count")
+    audit = log.select(F.lit("audit"), F.concat_ws(" ", name, "etls_status"), "etls_rows_inserted")
+    return gold.union(grouped).union(audit).union(together.select(F.lit("overlap"), F.lit("bronze and silver"), "n"))

@@ -20,7 +20,7 @@ from lakeops.operators.writes import (
     write_clustered,
 )
 from lakeops.session import scratch_path
-from lakeops.sources.inventory import lake_inventory
+from lakeops.sources.inventory import lake_inventory, table_inventory
 from lakeops.sources.snapshot import read_table, table_history
 
 
@@ -104,23 +104,6 @@ def metrics_write(spark, sf):
     return spark.createDataFrame(rows, "operation STRING, inserted BIGINT, updated BIGINT, deleted BIGINT, stored BIGINT")
 
 
-@check(
-    "insert_select",
-    """SELECT o_orderkey AS dst_id, o_orderpriority AS dst_priority, CAST(NULL AS DOUBLE) AS dst_total,
-              CAST(o_orderdate AS DATE) AS dst_load_date FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'""",
-)
-def insert_select(spark, sf):
-    columns = "dst_id BIGINT, dst_priority STRING, dst_total DOUBLE, dst_load_date DATE"
-    layout = spark.range(0).selectExpr(
-        *[f"cast(null as {c.split()[1]}) AS {c.split()[0]}" for c in columns.split(", ")]
-    )
-    target = made(new_lake(spark, "insert"), "dev.silver.orders", layout)
-    picked = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    rows = picked.select(F.to_date("o_orderdate"), "o_orderkey", "o_orderpriority")
-    append_select(rows, target, ["dst_load_date", "dst_id", "dst_priority"])
-    return target.read()
-
-
 @check(
     "insert_select_all",
     """SELECT o_orderkey AS dst_id, o_orderpriority AS dst_priority, CAST(NULL AS DOUBLE) AS dst_total,
@@ -350,3 +333,23 @@ def catalog_tables(spark, sf):
     parts.write.insertInto(name)
     analyze_catalog_table(spark, name)
     return spark.table(name).groupBy("p_size").agg(F.count(F.lit(1)).alias("part_count"))
+
+
+@check(
+    "catalog_inventory",
+    """SELECT 'spark_catalog' AS catalog_name, 'inv_' || lower(replace(r_name, ' ', '_')) AS schema_name, lower(replace(n_name, ' ', '_')) AS table_name
+       FROM nation JOIN region ON n_regionkey = r_regionkey
+       UNION ALL SELECT 'dev', 'bronze', lower(replace(r_name, ' ', '_')) FROM region""",
+)
+def catalog_inventory(spark, sf):
+    """Tables of the session catalog, a schema per region and a table per nation, together with those of a lake; views are none."""
+    regions, nations = table(spark, sf, "region"), table(spark, sf, "nation")
+    plain = lambda c: F.lower(F.replace(F.col(c), F.lit(" "), F.lit("_")))
+    names = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(plain("r_name").alias("r"), plain("n_name").alias("n"))
+    lake, where = new_lake(spark, "inventory-run"), scratch_path(spark, "inventory-catalog")
+    for r, n in names.collect():
+        ensure_catalog_tables(spark, [TableSpec(f"inv_{r}.{n}", nations.schema)], replace=True, location=f"{where}/{r}")
+        if not lake.exists(f"dev.bronze.{r}"):
+            made(lake, f"dev.bronze.{r}", nations)
+    nations.createOrReplaceTempView("inventory_view")
+    return table_inventory(spark, lake=lake).where("schema_name LIKE 'inv%' OR catalog_name = 'dev'")

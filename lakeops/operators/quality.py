@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import classify_name
 from lakeops.functions.params import detail, has_detail
 from lakeops.operators.landing import landed
-from lakeops.operators.writes import append
+from lakeops.operators.writes import append, identity_column, is_parquet_scan, prepare_append, publish_append, with_dense_ids
 from lakeops.paths import delete
 from lakeops.session import scratch_path
 from lakeops.sources.snapshot import CommitResult, ConstraintViolation, SnapshotTable
@@ -94,7 +94,11 @@ def append_gated(
     try:
         good = flagged.where(F.size("broken_rules") == 0).drop("broken_rules")
         bad = flagged.where(F.size("broken_rules") > 0)
-        return append(good, target), append(bad, quarantine, merge_schema=True)
+        if identity_column(target.state()):
+            return append(good, target), append(bad, quarantine, merge_schema=True)
+        # both are written before either is committed, so that a write that fails leaves neither behind
+        kept, held = prepare_append(good, target), prepare_append(bad, quarantine, merge_schema=True)
+        return publish_append(target, kept), publish_append(quarantine, held)
     finally:
         delete(df.sparkSession, path)
 
@@ -138,18 +142,19 @@ def check_rules(rules: DataFrame) -> DataFrame:
 def assign_ids(df: DataFrame, id_col: str, start: int = 0, order: Sequence[str] | None = None) -> DataFrame:
     """Dense ids start+1, start+2, … without a single-task sort.
 
-    The rows are written once to the shared folder; each row's address there (file and position) is fixed from then
-    on, so lost tasks recompute the same ids. With ``order`` the rows are range-partitioned by the order columns
+    A Parquet scan is numbered as it lies; other rows are written once to the shared folder. A row's address (file and
+    position) is fixed from then on, so lost tasks recompute the same ids. With ``order`` the rows are range-partitioned by the order columns
     plus that address, which also cuts a value, or a pile of equal rows, that is too large for one task. An id is
     the number of rows in the parts before plus the position within the part.
     """
     spark = df.sparkSession
     columns = df.columns
-    rows, _ = landed(df, "ids-input")
-    if order:
-        address = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        keyed = rows.select(*columns, address.alias("lk_address"))
-        rows = keyed.repartitionByRange(*order, "lk_address").sortWithinPartitions(*order, "lk_address")
+    rows = df if is_parquet_scan(df) else landed(df, "ids-input")[0]
+    if not order:
+        return with_dense_ids(rows, id_col, start)
+    address = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    keyed = rows.select(*columns, address.alias("lk_address"))
+    rows = keyed.repartitionByRange(*order, "lk_address").sortWithinPartitions(*order, "lk_address")
     position = F.monotonically_increasing_id()
     parts = rows.select(
         *columns,
@@ -159,12 +164,8 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 0, order: Sequence[str]
     path = scratch_path(spark, "ids")
     parts.write.parquet(path)
     placed = spark.read.schema(parts.schema).parquet(path)
-    sizes = placed.groupBy("lk_part").agg(F.count(F.lit(1)).alias("n")).collect()
-    offset, before = start, {}
-    for row in sorted(sizes, key=lambda r: r.lk_part):
-        before[row.lk_part] = offset
-        offset += row.n
-    # One entry per write task, so the offsets are bounded by the number of partitions, not by the data.
-    offsets = spark.createDataFrame(sorted(before.items()) or [(0, start)], "lk_part INT, lk_before BIGINT")
-    numbered = placed.join(F.broadcast(offsets), "lk_part")
+    sizes = placed.groupBy("lk_part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("lk_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    # a row per write task
+    numbered = placed.join(sizes.select("lk_part", (before + start).alias("lk_before")), "lk_part")
     return numbered.select((F.col("lk_before") + F.col("lk_pos") + 1).alias(id_col), *columns)

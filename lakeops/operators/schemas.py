@@ -15,6 +15,11 @@ _WIDER = {
 }
 
 
+def can_widen(old: T.DataType, new: T.DataType) -> bool:
+    """Whether files of the old type can be read as the new one."""
+    return (type(old), type(new)) in _WIDER
+
+
 def _merge_types(old: T.DataType, new: T.DataType, where: str) -> T.DataType:
     if old == new or isinstance(new, T.NullType):
         return old

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Sequence
@@ -483,6 +484,80 @@ def analyze(target: SnapshotTable, columns: Sequence[str] | None = None) -> Data
     return target.spark.read.parquet(f"{target.base}/stats/v={state.version}/table")
 
 
+def _is_number(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType,))
+
+
+def file_sketches(scan: DataFrame, schema: T.StructType, cols: Sequence[str]) -> DataFrame:
+    """One row per file: its row count and, per column, NULLs, lowest and highest value, an HLL sketch and for numbers a KLL sketch of doubles."""
+    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    for i, name in enumerate(cols):
+        col = F.col(f"`{name}`")
+        aggregates += [F.count_if(col.isNull()).alias(f"nulls_{i}"), F.min(col).alias(f"low_{i}"), F.max(col).alias(f"high_{i}")]
+        aggregates.append(F.hll_sketch_agg(col.cast("string"), F.lit(_HLL_BITS)).alias(f"hll_{i}"))
+        if _is_number(schema[name].dataType):
+            aggregates.append(F.kll_sketch_agg_double(col.cast("double"), F.lit(_KLL_K)).alias(f"kll_{i}"))
+    return scan.groupBy(entry_of(F.col("_metadata.file_path")).alias("entry")).agg(*aggregates)
+
+
+# Sizes of the sketches kept per file and column.
+_HLL_BITS, _KLL_K = 11, 200
+
+
+def analyze_files(target: SnapshotTable, cols: Sequence[str]) -> tuple[DataFrame, int]:
+    """Statistics of columns from sketches kept per file, and how many files had to be read.
+
+    Files never change, so each is read once: its sketches are stored beside the table, and a later run reads only the files that came
+    since and merges the sketches of all live ones. Returns column_name, row_count, null_count, distinct_approx, min_value,
+    max_value (as text) and median_approx (numbers only).
+    """
+    state = target.state()
+    schema = schema_of(state)
+    unknown = [c for c in cols if c not in schema.names]
+    if unknown or not cols:
+        raise ValueError(f"columns not in the table: {', '.join(unknown) or 'none given'}")
+    fields = [schema[c] for c in cols]
+    layout = T.StructType(fields).json() + f"{_HLL_BITS} {_KLL_K}"
+    kept_at = f"{target.base}/stats/files/{hashlib.sha256(layout.encode()).hexdigest()[:16]}"
+    kinds = [T.StructField("entry", T.StringType()), T.StructField("row_count", T.LongType())]
+    for i, f in enumerate(fields):
+        kinds += [T.StructField(f"nulls_{i}", T.LongType()), T.StructField(f"low_{i}", f.dataType), T.StructField(f"high_{i}", f.dataType), T.StructField(f"hll_{i}", T.BinaryType())]
+        kinds += [T.StructField(f"kll_{i}", T.BinaryType())] if _is_number(f.dataType) else []
+    stored = T.StructType(kinds)
+    spark = target.spark
+    known = spark.read.schema(stored).parquet(kept_at) if paths.exists(spark, kept_at) else spark.createDataFrame([], stored)
+    live = target.file_sizes(state).select("entry")
+    fresh = sorted(r.entry for r in live.join(known, "entry", "left_anti").collect())
+    if fresh:
+        file_sketches(target.scan(fresh, schema), schema, cols).select(*stored.names).write.mode("append").parquet(kept_at)
+        known = spark.read.schema(stored).parquet(kept_at)
+    # two runs at a time may both have stored a file
+    mine = known.join(live, "entry", "left_semi").dropDuplicates(["entry"])
+    merged = [F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows")]
+    for i, f in enumerate(fields):
+        merged += [F.coalesce(F.sum(f"nulls_{i}"), F.lit(0)).alias(f"n{i}"), F.min(f"low_{i}").cast("string").alias(f"l{i}"), F.max(f"high_{i}").cast("string").alias(f"h{i}")]
+        merged.append(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"hll_{i}")), F.lit(0)).alias(f"d{i}"))
+        if _is_number(f.dataType):
+            merged.append(F.kll_merge_agg_double(f"kll_{i}").alias(f"q{i}"))
+    total = mine.agg(*merged)
+    rows = []
+    for i, f in enumerate(fields):
+        empty = F.col("rows") == F.col(f"n{i}")
+        middle = F.when(~empty, F.kll_sketch_get_quantile_double(F.col(f"q{i}"), F.lit(0.5))) if _is_number(f.dataType) else F.lit(None).cast("double")
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.col("rows").alias("row_count"),
+                F.col(f"n{i}").alias("null_count"),
+                F.col(f"d{i}").alias("distinct_approx"),
+                F.col(f"l{i}").alias("min_value"),
+                F.col(f"h{i}").alias("max_value"),
+                middle.alias("median_approx"),
+            )
+        )
+    return total.select(F.inline(F.array(*rows))), len(fresh)
+
+
 def analyze_catalog_table(spark, name: str) -> None:
     """Table statistics of a session-catalog table, kept by the catalog."""
     quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))

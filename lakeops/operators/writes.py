@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.changes import touched_files, without_files
+from lakeops.operators.landing import landed
 from lakeops.operators.schemas import merge_schemas
 from lakeops.operators.upkeep import by_range, compact
+from lakeops.paths import delete
 from lakeops.sources.snapshot import CommitConflict, CommitResult, Lake, SnapshotTable, schema_of
 
 
@@ -34,6 +36,7 @@ def _fit(df: DataFrame, state: Row, merge_schema: bool) -> tuple[DataFrame, Row]
     return df.to(schema), state
 
 
+# Defaults of ``append``: how often it follows other writers, and of ``auto_compact``: the live entries at which it sets in.
 _APPEND_ATTEMPTS = 50
 _AUTO_COMPACT_AT = 50
 
@@ -59,28 +62,116 @@ def append(
     operation: str = "WRITE",
     txn: tuple[str, int] | None = None,
     checks: Mapping[str, Column] | None = None,
+    attempts: int = _APPEND_ATTEMPTS,
 ) -> CommitResult:
-    """Add rows, columns matched by name; columns the frame lacks become NULL.
+    """Add rows, columns matched by name; columns the frame lacks become NULL, but for the table's identity column.
 
-    ``checks`` are counted while the rows are written; when one fires nothing is committed.
+    ``checks`` are counted while the rows are written; when one fires nothing is committed. Other writers' commits are followed up to
+    ``attempts`` times.
     """
+    identity = identity_column(target.state())
+    if identity and identity.lower() not in {name.lower() for name in df.columns}:
+        return _append_numbered(df, target, identity, merge_schema, operation, txn, checks, attempts)
+    return publish_append(target, prepare_append(df, target, merge_schema, checks), operation, txn, attempts)
+
+
+@dataclass(frozen=True)
+class PreparedAppend:
+    """Rows that are written but belong to no version yet: the version they were written for, the one they make and their folder."""
+
+    base: Row
+    state: Row
+    entry: str
+    rows: int
+
+
+def prepare_append(
+    df: DataFrame, target: SnapshotTable, merge_schema: bool = False, checks: Mapping[str, Column] | None = None
+) -> PreparedAppend:
     base = target.state()
     fitted, state = _fit(df, base, merge_schema)
     entry, counts = target.write_folder(fitted, state, checks=checks)
-    added = [entry] if counts["rows_written"] else []
-    metrics = {"numOutputRows": counts["rows_written"]}
-    for _ in range(_APPEND_ATTEMPTS):
+    return PreparedAppend(base, state, entry, counts["rows_written"])
+
+
+def publish_append(
+    target: SnapshotTable,
+    done: PreparedAppend,
+    operation: str = "WRITE",
+    txn: tuple[str, int] | None = None,
+    attempts: int = _APPEND_ATTEMPTS,
+) -> CommitResult:
+    """Commit prepared rows, after other writers' commits if need be."""
+    state, added, metrics = done.state, [done.entry] if done.rows else [], {"numOutputRows": done.rows}
+    for _ in range(attempts):
         try:
-            done = target.commit(state.version, state, operation, metrics, [*state.live, *added], txn)
+            result = target.commit(state.version, state, operation, metrics, [*state.live, *added], txn)
             _auto_compact(target, state)
-            return done
+            return result
         except CommitConflict:
             # An append depends on no other row, so it can follow any commit that kept the table's definition.
             newest = target.state()
-            if _definition(newest) != _definition(base):
+            if _definition(newest) != _definition(done.base):
                 raise
-            state = Row(**{**newest.asDict(), "schema_json": state.schema_json})
-    raise CommitConflict(f"{target.name}: other writers committed first {_APPEND_ATTEMPTS} times")
+            state = Row(**{**newest.asDict(), "schema_json": done.state.schema_json})
+    raise CommitConflict(f"{target.name}: other writers committed first {attempts} times")
+
+
+def identity_column(state: Row) -> str | None:
+    """The column that appends number where they do not give it themselves."""
+    return dict(state.properties or {}).get("identity")
+
+
+_HIGH_WATER = "identity_last"
+
+
+def _last_id(target: SnapshotTable, state: Row, column: str) -> int:
+    """The largest id ever given, also where its row has been deleted since."""
+    kept = int(dict(state.properties or {}).get(_HIGH_WATER, 0))
+    return max(kept, target.read_state(state).agg(F.max(f"`{column}`")).first()[0] or 0)
+
+
+def is_parquet_scan(df: DataFrame) -> bool:
+    """Whether a frame is nothing but Parquet files, so that its rows have fixed addresses."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation" and "Parquet" in plan.relation().fileFormat().getClass().getSimpleName()
+
+
+def with_dense_ids(rows: DataFrame, column: str, after: int) -> DataFrame:
+    """Rows of Parquet files with the ids after + 1, after + 2, … in order of file and place.
+
+    An id is the number of rows in the files before, from their footers, plus the row's place in its file. The table of files has a
+    row per file and joins as its size allows.
+    """
+    file = F.col("_metadata.file_path")
+    files = rows.groupBy(file.alias("lk_file")).agg(F.count(F.lit(1)).alias("lk_rows"))
+    before = F.sum("lk_rows").over(Window.orderBy("lk_file").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("lk_rows")
+    files = files.select("lk_file", before.alias("lk_before"))
+    names = [F.col(f"`{name}`") for name in rows.columns]
+    placed = rows.select(*names, file.alias("lk_file"), F.col("_metadata.row_index").alias("lk_place")).join(files, "lk_file")
+    return placed.select((F.lit(after) + F.col("lk_before") + F.col("lk_place") + 1).cast("bigint").alias(column), *names)
+
+
+def _append_numbered(df, target, column, merge_schema, operation, txn, checks, attempts) -> CommitResult:
+    """Append with dense ids on from the largest id ever given. Files are numbered as they lie, in one write; any other frame is
+    landed first, so that a task that runs again numbers the same rows. When another writer commits first, the rows are numbered anew."""
+    rows, landed_at = (df, None) if is_parquet_scan(df) else landed(df, "identity")
+    try:
+        for _ in range(attempts):
+            base = target.state()
+            last = _last_id(target, base, column)
+            fitted, state = _fit(with_dense_ids(rows, column, last), base, merge_schema)
+            entry, counts = target.write_folder(fitted, state, checks=checks)
+            written = counts["rows_written"]
+            state = Row(**{**state.asDict(), "properties": {**(state.properties or {}), _HIGH_WATER: str(last + written)}})
+            try:
+                return target.commit(state.version, state, operation, {"numOutputRows": written}, [*state.live, *([entry] if written else [])], txn)
+            except CommitConflict:
+                delete(target.spark, f"{target.data_dir}/{entry}")
+        raise CommitConflict(f"{target.name}: other writers committed first {attempts} times")
+    finally:
+        if landed_at:
+            delete(target.spark, landed_at)
 
 
 append_by_name = append

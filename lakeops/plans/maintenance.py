@@ -295,7 +295,7 @@ def _run_operation(lake: Lake, step, target_bytes: int) -> tuple:
     except RetentionTooShort as short:
         status, message = "SKIPPED", str(short)
     except Exception as error:  # one broken table must not stop the others
-        status, message = "FAILED", f"{type(error).__name__}: {error}"[:4000]
+        status, message = "FAILED", f"{type(error).__name__}: {error}"
     return (
         step.op,
         step.catalog_name,
@@ -330,7 +330,7 @@ def run_maintenance(
     Invalid rule names stop the run. A failing table is logged and the rest go on. Only the list of due operations is
     collected; the work on each table is Spark jobs.
     """
-    bad = [row.tmc_name for row in check_rules(rules).select("tmc_name").take(20)]
+    bad = [row.tmc_name for row in check_rules(rules).select("tmc_name").collect()]
     if bad:
         raise InvalidRules(f"rule names must be catalog, catalog.schema or catalog.schema.table: {bad}")
     spark = lake.spark

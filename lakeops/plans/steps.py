@@ -6,8 +6,11 @@ import datetime as dt
 import json
 import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -386,13 +389,39 @@ def run_task(ctx: RunContext, task: str, layer: str) -> DataFrame:
     return frame
 
 
-def run_pipeline(ctx: RunContext, tasks: Sequence[tuple[str, str]]) -> DataFrame:
-    """Run (task, layer) pairs one after the other, bronze to gold."""
-    frames = [run_task(ctx, task, layer) for task, layer in tasks]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+Stage = tuple[str, str] | Sequence[tuple[str, str]]
+
+
+def run_pipeline(ctx: RunContext, tasks: Sequence[Stage]) -> DataFrame:
+    """Run (task, layer) pairs one after the other, bronze to gold; a list of pairs in place of one runs side by side.
+
+    Tasks side by side must not write the same table or read what another of them writes. Each has a thread of its own and a
+    scheduler pool of its own, so with ``spark.scheduler.mode=FAIR`` none waits for all of another's jobs. When one fails the others of its list go on to
+    their end; then the first failure, in the order given, is raised and later tasks are not run.
+    """
+    frames: list[DataFrame] = []
+    for stage in tasks:
+        if isinstance(stage[0], str):
+            frames.append(run_task(ctx, *stage))
+        else:
+            frames += _run_beside(ctx, list(stage))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _run_beside(ctx: RunContext, tasks: Sequence[tuple[str, str]]) -> list[DataFrame]:
+    local = ctx.spark.sparkContext
+
+    def run(task: str, layer: str) -> DataFrame:
+        local.setLocalProperty("spark.scheduler.pool", f"{task}-{layer}".lower())
+        return run_task(replace(ctx), task, layer)
+
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        running = [pool.submit(inheritable_thread_target(ctx.spark)(run), *task) for task in tasks]
+        failures = [f.exception() for f in running]
+    for failure in failures:
+        if failure is not None:
+            raise failure
+    return [f.result() for f in running]
 
 
 @job("ingest_files")

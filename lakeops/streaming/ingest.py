@@ -11,13 +11,14 @@ import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops import paths
-from lakeops.operators.schemas import merge_schemas
+from lakeops.operators.schemas import can_widen, merge_schemas
 from lakeops.operators.writes import append
 from lakeops.sources.snapshot import CommitResult, SnapshotTable
 
@@ -154,6 +155,78 @@ def read_new_files(
     return rows, merged
 
 
+# Types a text column can be given, narrowest first; a column climbs to the first one that takes all its values.
+_LADDERS = (("int", "bigint", "double"), ("date",), ("timestamp",), ("boolean",))
+
+
+def _climbs(known: T.DataType | None) -> list[str]:
+    """Types to try for a column: all ladders for a new one, else what its type can widen to in files already written."""
+    if known is None:
+        return [kind for ladder in _LADDERS for kind in ladder]
+    return [known.simpleString(), *(kind for kind in ("bigint", "double") if can_widen(known, T._parse_datatype_string(kind)))]
+
+
+def read_drifting(
+    spark: SparkSession,
+    files: Sequence[str],
+    fmt: str,
+    known: T.StructType | None,
+    rescue: str,
+    header: bool = True,
+    infer_types: bool = False,
+    options: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, T.StructType]:
+    """Rows of CSV or JSON files whose values may not fit the kept types, and the schema after them.
+
+    All columns are read as text. One pass counts, for each column and each type it could have, the values that do not fit. A known column keeps its type
+    or widens to one that takes all of them and that old files can be read as; a new one gets the narrowest type of a ladder (text without
+    ``infer_types``). A value that still does not fit becomes NULL and is kept, under its column's name and as it stood, in the
+    JSON text of the column ``rescue``. Nested JSON values are read with the known type and fail when they do not fit it.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"values are rescued from csv or json files, not from {fmt}")
+    kept = {f.name.lower(): f for f in (known.fields if known else []) if f.name.lower() != rescue.lower()}
+    nested = [f for f in kept.values() if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))]
+    raw, text = read_new_files(spark, files, fmt, T.StructType(nested) if nested else None, header, False, options=options)
+    plain = [f.name for f in text.fields if isinstance(f.dataType, T.StringType) and f.name.lower() != rescue.lower()]
+    wanted = {}
+    for name in plain:
+        old = kept[name.lower()].dataType if name.lower() in kept else None
+        if isinstance(old, T.StringType) or (old is None and not infer_types):
+            continue
+        wanted[name] = _climbs(old)
+    unfit = lambda name, kind: F.col(f"`{name}`").isNotNull() & F.col(f"`{name}`").try_cast(kind).isNull()
+    chosen: dict[str, str] = {}
+    if wanted:
+        tests = [F.count_if(unfit(n, k)).alias(f"m{i}_{j}") for i, (n, kinds) in enumerate(wanted.items()) for j, k in enumerate(kinds)]
+        seen = [F.count(F.col(f"`{n}`")).alias(f"n{i}") for i, n in enumerate(wanted)]
+        found = raw.agg(*tests, *seen).first()
+        for i, (name, kinds) in enumerate(wanted.items()):
+            fits = [k for j, k in enumerate(kinds) if not found[f"m{i}_{j}"]]
+            if name.lower() in kept:
+                chosen[name] = fits[0] if fits else kinds[0]
+            elif fits and found[f"n{i}"]:
+                chosen[name] = fits[0]
+    typed = T.StructType([T.StructField(f.name, T._parse_datatype_string(chosen[f.name]) if f.name in chosen else f.dataType, True) for f in text.fields])
+    merged = typed if known is None else merge_schemas(T.StructType([f for f in known.fields if f.name.lower() != rescue.lower()]), typed)
+    merged = merged.add(rescue, T.StringType())
+    have = {n.lower(): n for n in raw.columns}
+    misfits = [F.when(unfit(n, k), F.col(f"`{n}`")) for n, k in chosen.items() if n.lower() in kept]
+    named = F.map_from_arrays(F.array(*[F.lit(n) for n in chosen if n.lower() in kept]), F.array(*misfits)) if misfits else None
+    left = F.map_filter(named, lambda _, v: v.isNotNull()) if misfits else None
+    columns = []
+    for f in merged.fields[:-1]:
+        source = have.get(f.name.lower())
+        if source is None:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            kind = chosen.get(source)
+            value = F.col(f"`{source}`").try_cast(kind).cast(f.dataType) if kind else F.col(f"`{source}`")
+            columns.append(value.alias(f.name))
+    rescued = F.when(F.size(left) > 0, F.to_json(left)) if misfits else F.lit(None).cast("string")
+    return raw.select(*columns, rescued.alias(rescue)), merged
+
+
 def infer_stream_schema(
     spark: SparkSession,
     src: str,
@@ -162,15 +235,19 @@ def infer_stream_schema(
     schema_loc: str | None = None,
     header: bool = True,
     options: Mapping[str, str] | None = None,
+    batch_files: int = 10_000,
 ) -> T.StructType:
-    """Schema of the files of a folder merged into the kept one, which is updated."""
+    """Schema of the files of a folder merged into the kept one, which is updated.
+
+    Files are taken ``batch_files`` at a time; the driver holds no more paths than that.
+    """
     known = stored_schema(spark, schema_loc) if schema_loc else None
-    files = [row.path for row in paths.list_files(spark, src).select("path").toLocalIterator()]
-    if not files:
-        if known is None:
-            raise ValueError(f"no files at {src} and no kept schema")
-        return known
-    _, merged = read_new_files(spark, files, fmt, known, header, infer_types, options=options)
+    merged = known
+    listed = paths.list_files(spark, src).select("path").toLocalIterator()
+    while files := [row.path for row in islice(listed, batch_files)]:
+        _, merged = read_new_files(spark, files, fmt, merged, header, infer_types, options=options)
+    if merged is None:
+        raise ValueError(f"no files at {src} and no kept schema")
     if schema_loc and merged != known:
         store_schema(spark, schema_loc, merged)
     return merged
@@ -201,13 +278,15 @@ def ingest_files(
     merge_schema: bool = True,
     max_files: int = 10_000,
     options: Mapping[str, str] | None = None,
+    rescue: str | None = None,
 ) -> list[CommitResult]:
     """Load the files that were not loaded before, then stop. One commit per micro-batch.
 
     The first batch creates the target where it does not exist.
 
     A batch that is replayed after a crash is recognised by its id in the table's log and skipped. ``max_files`` sets
-    the size of one micro-batch, not of the run: all new files are loaded.
+    the size of one micro-batch, not of the run: all new files are loaded. With ``rescue`` types widen as the files
+    drift, and values that fit no such type are kept in the column of that name (see ``read_drifting``).
     """
     fmt = fmt.lower()
     if fmt not in FORMATS:
@@ -225,7 +304,11 @@ def ingest_files(
         if not files:
             return
         known = stored_schema(session, kept_at)
-        rows, merged = read_new_files(session, files, fmt, known, header, infer_types, merge_schema, options)
+        if rescue:
+            rows, merged = read_drifting(session, files, fmt, known, rescue, header, infer_types, options)
+            _refuse_growth(known, merged, merge_schema)
+        else:
+            rows, merged = read_new_files(session, files, fmt, known, header, infer_types, merge_schema, options)
         if merged != known:
             store_schema(session, kept_at, merged)
         table = SnapshotTable(session, target.base, target.name)
