@@ -32,7 +32,9 @@ def touched_files(target: SnapshotTable, state: Row, condition: Column, alias: s
     """Entries of the live files that hold a row where the condition is true."""
     if not state.live:
         return []
-    return _distinct_files(_named(target.scan_state(state), alias).where(condition).select("_metadata.file_path"))
+    names = [F.col(f"`{n}`") for n in schema_of(state).names]
+    located = target.scan_state(state).select(*names, F.col("_metadata.file_path").alias("lk_file"))
+    return _distinct_files(_named(located, alias).where(condition).select("lk_file"))
 
 
 def _named(df: DataFrame, alias: str | None) -> DataFrame:
