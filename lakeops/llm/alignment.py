@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.automaton import MergeAutomaton
-from lakeops.llm.common import CACHE, ID, TEXT, batches, id_and_text, per_worker, temporary_table
+from lakeops.llm.common import ID, TEXT, batches, id_and_text, per_worker, temporary_table
 from lakeops.llm.pieces import SPACE
 
 #: Tokens of a batch that are sorted together; a longer document is a batch of its own.
@@ -50,7 +50,7 @@ class Aligner:
     """Tokens of a text under a byte-level BPE file (A) and a piece model (B), as ids, their bytes and lengths."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.coder = MergeAutomaton(path_a, CACHE // 2)
+        self.coder = MergeAutomaton(path_a)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = self.coder.bytes, []
         for i in range(self.pieces.get_piece_size()):
@@ -148,50 +148,68 @@ def aligned_groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return id_and_text(docs).mapInPandas(rows, schema)
 
 
-def _pair(a, b) -> np.ndarray:
-    """Two ids as one number."""
-    return np.asarray(a, np.int64) << 32 | np.asarray(b, np.int64)
-
-
 class _Counts:
     """How often each linked pair of ids occurs, and whether that is the most for its B id."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, n: np.ndarray):
-        pairs = _pair(a, b)
+    def __init__(self, pairs: np.ndarray, n: np.ndarray, size_b: int):
         by = np.argsort(pairs)
-        self.pairs, self.n = pairs[by], n[by]
-        most = np.zeros(int(b.max()) + 1 if len(b) else 0, np.int64)
-        np.maximum.at(most, b, n)
-        self.best = (n == most[b])[by]
+        self.pairs, self.n, b = pairs[by], n[by], pairs[by] % size_b
+        most = np.zeros(size_b, np.int64)
+        np.maximum.at(most, b, self.n)
+        self.best = self.n == most[b]
+
+
+class _Tally:
+    """Numbers and how often they came, as sorted arrays; new ones wait until there are enough to be worth a sort."""
+
+    def __init__(self, together: int = 1_000_000):
+        self.values, self.n, self.waiting, self.held, self.together = np.empty(0, np.int64), np.empty(0, np.int64), [], 0, together
+
+    def add(self, values: np.ndarray) -> None:
+        self.waiting.append(values)
+        self.held += len(values)
+        if self.held > self.together:
+            self.sum_up()
 
+    def sum_up(self) -> None:
+        values, n = np.unique(np.concatenate([np.empty(0, np.int64), *self.waiting]), return_counts=True)
+        self.waiting, self.held = [], 0
+        every, place = np.unique(np.concatenate([self.values, values]), return_inverse=True)
+        self.values, self.n = every, np.bincount(place, np.concatenate([self.n, n]), len(every)).astype(np.int64)
 
-def link_counts(links: DataFrame) -> DataFrame:
-    """(a, b, n): how many links of the corpus hold an id of A and one of B, from rows with an array ``links`` of pairs.
 
-    Counted per task before the shuffle. Two tokens that end together are each other's suffix, so a vocabulary with tokens of L bytes
-    in all has at most L pairs for each spelling of the other: the table's size is bound by the vocabularies, not by the corpus.
+_LINKED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary, pair long, n long"
+
+
+def linked_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """A row per row of ``docs``, with its links as 64-bit numbers in bytes, and rows (pair, n) of how often each link came in a task.
+
+    The link of a and b has the number a * (size of B) + b. Two tokens that end together are each other's suffix, so for a vocabulary with tokens of L bytes in all
+    there are at most L such pairs for each spelling of the other: what a task counts is bound by the vocabularies, not by its documents.
     """
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        per_worker(list, "no model")  # the models of the stage before are not needed any more
-        waiting, held = [], 0
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        aligner, tally = _aligner(path_a, path_b), _Tally()
+        size_b = len(aligner.bytes_b)
+        for part, found in _aligned(frames, aligner):
+            links = [a[t] * size_b + b[t] for a, b, t in zip(found["pairs_a"], found["pairs_b"], found["together"])]
+            tally.add(np.concatenate(links))
+            digests = [hashlib.sha256(g).hexdigest() if n else "" for g, n in zip(found["group_ids"], found["n_a"])]
+            out = found[["n_a", "n_b", "n_groups"]].assign(n_links=[len(x) for x in links], groups_sha256=digests, links=[x.tobytes() for x in links])
+            out.insert(0, "doc_id", part[ID].astype("Int64").to_numpy())
+            none = pd.array([None] * len(out), "Int64")
+            yield out.assign(pair=none, n=none)
+        tally.sum_up()
+        none = pd.array([None] * len(tally.n), "Int64")
+        same = {c: none for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+        yield pd.DataFrame({**same, "groups_sha256": None, "links": None, "pair": tally.values, "n": tally.n})
 
-        def summed() -> pd.DataFrame:
-            pairs, n = np.unique(np.concatenate(waiting), return_counts=True)
-            return pd.DataFrame({"pair": pairs, "n": n})
+    return id_and_text(docs).mapInPandas(rows, _LINKED)
 
-        for frame in frames:
-            for row in frame["links"]:
-                waiting.append(np.asarray(row, np.int64))
-                held += len(waiting[-1])
-                if held > 1_000_000:
-                    yield summed()
-                    waiting, held = [], 0
-        if held:
-            yield summed()
 
-    pairs = links.select("links").mapInPandas(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return pairs.select(F.shiftright("pair", 32).cast("int").alias("a"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int").alias("b"), "n")
+def link_counts(linked: DataFrame) -> DataFrame:
+    """(pair, n): how many links of the corpus hold an id of A and one of B."""
+    return linked.where("n is not null").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -202,32 +220,24 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     tokens (see ``aligned_groups``) have zeros and an empty digest; repeated rows count each.
 
     The texts are encoded once; their links lie in a table in the shared folder. The counts of all pairs are sent to every task: see
-    ``link_counts`` for their bound, half a million rows for vocabularies of 50,000 and 32,000.
+    ``linked_tokens`` for their bound, half a million rows for vocabularies of 50,000 and 32,000.
     """
     spark = docs.sparkSession
-
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, found in _aligned(frames, _aligner(path_a, path_b)):
-            links = [_pair(a[t], b[t]) for a, b, t in zip(found["pairs_a"], found["pairs_b"], found["together"])]
-            digests = [hashlib.sha256(g).hexdigest() if n else "" for g, n in zip(found["group_ids"], found["n_a"])]
-            out = found[["n_a", "n_b", "n_groups"]].assign(n_links=[len(x) for x in links], groups_sha256=digests, links=links)
-            out.insert(0, "doc_id", part[ID].astype("Int64").to_numpy())
-            yield out
-
-    schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links array<long>"
-    linked = temporary_table(id_and_text(docs).mapInPandas(rows, schema), "alignment")
+    linked = temporary_table(linked_tokens(docs, path_a, path_b), "alignment")
     table = link_counts(linked).toPandas()
-    counts = spark.sparkContext.broadcast(_Counts(table["a"].to_numpy(np.int64), table["b"].to_numpy(np.int64), table["n"].to_numpy(np.int64)))
+    size_b = sentencepiece.SentencePieceProcessor(model_file=path_b).get_piece_size()
+    counts = spark.sparkContext.broadcast(_Counts(table["pair"].to_numpy(np.int64), table["n"].to_numpy(np.int64), size_b))
 
     def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        per_worker(list, "no model")  # the models of the stage before are not needed any more
         known = counts.value
         for frame in frames:
             best, total = [], []
             for row in frame["links"]:
-                at = np.searchsorted(known.pairs, np.asarray(row, np.int64))
+                at = np.searchsorted(known.pairs, np.frombuffer(row, np.int64))
                 best.append(int(known.best[at].sum()))
                 total.append(int(known.n[at].sum()))
             yield frame.drop(columns="links").assign(doc_id=frame[ID].astype("Int64"), n_best=best, count_sum=total)
 
     columns = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    return linked.mapInPandas(scored, columns)
+    return linked.where("n is null").drop("pair", "n").mapInPandas(scored, columns)
