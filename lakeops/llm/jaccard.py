@@ -170,12 +170,11 @@ def _index_prefix(n, percent: int):
     return n - F.ceil(n * F.lit(2 * percent) / F.lit(100 + percent)) + 1 + F.floor(n * F.lit(EXTRA) / F.lit(100))
 
 
-def _candidates(pairs: DataFrame, percent: int, best: bool = False) -> DataFrame:
+def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
     """Sums up the products of the column blocks by pair and drops pairs whose sizes rule a link out.
 
     ``pairs`` has a row for each prefix column that a pair shares: a the smaller set, pa and pb its places there. Of
     what the pair shares besides, all lies behind the prefix of one of the two: the one whose prefix ends first.
-    With ``best`` only the partner that shares most is kept of each larger set.
     """
     pairs = pairs.where(F.col("pa") < _index_prefix(F.col("na"), percent))
     least = _least_overlap(F.col("na"), F.col("nb"), percent)
@@ -183,11 +182,13 @@ def _candidates(pairs: DataFrame, percent: int, best: bool = False) -> DataFrame
     summed = summed.agg(F.count("*").alias("shared"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
     rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     behind = F.greatest(F.col("na") - _index_prefix(F.col("na"), percent), F.col("nb") - _prefix(F.col("nb"), percent))
-    found = summed.where((rest >= least) & (F.col("shared") + behind >= least))
-    if best:
-        partner = F.struct(F.col("shared"), "a", "na")
-        found = found.groupBy("b", "nb").agg(F.max(partner).alias("x")).select("b", "nb", "x.a", "x.na")
-    return found.select("a", "b", "na", "nb")
+    return summed.where((rest >= least) & (F.col("shared") + behind >= least)).select("a", "b", "na", "nb", "shared")
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Of the candidates of each larger set the one that shares most."""
+    found = found.groupBy("b", "nb").agg(F.max(F.struct("shared", "a", "na")).alias("x"))
+    return found.select("x.a", "b", "x.na", "nb")
 
 
 def _ordered(x: str, y: str, nx: str, ny: str, px: str, py: str) -> list:
@@ -197,19 +198,51 @@ def _ordered(x: str, y: str, nx: str, ny: str, px: str, py: str) -> list:
     return [pick(p, q).alias(k) for k, p, q in (("a", x, y), ("b", y, x), ("na", nx, ny), ("nb", ny, nx), ("pa", px, py), ("pb", py, px))]
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int, store: Landings, label: str) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (a, b) whose whole sets reach the similarity."""
-    pairs = store.keep(pairs, label)
-    if pairs.isEmpty():
-        return pairs.select("a", "b")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sig"))
-    wanted = pairs.sparkSession.sparkContext.broadcast(_bit_table(ends, "sig"))
-    sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
-    sets = sets.groupBy("sig").agg(F.first("s").alias("s"))
     both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("s").alias("sa")), "a")
     both = both.join(sets.select(F.col("sig").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    return store.keep(both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b"), f"{label}-links")
+    return both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")
+
+
+class _Components:
+    """The component of every set that has a link, the lowest key of its members; joined on as links between components are found."""
+
+    def __init__(self, spark, work: Landings):
+        self.work, self.of, self.round = work, spark.createDataFrame([], "sig long, c long"), 0
+
+    def known(self, rows: DataFrame, key: str, name: str) -> DataFrame:
+        """``rows`` with the component of a key; a set without links is one of its own."""
+        of = self.of.select(F.col("sig").alias(key), F.col("c").alias(name))
+        return rows.join(of, key, "left").withColumn(name, F.coalesce(name, key))
+
+    def link(self, links: DataFrame) -> bool:
+        """Take up links (a, b), one for each two components; False when there was none."""
+        self.round += 1
+        ends = self.known(self.known(links, "a", "ca"), "b", "cb").where("ca <> cb")
+        edges = self.work.keep(ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), f"edges-{self.round}")
+        if edges.isEmpty():
+            return False
+        roots = components(edges, "a", "b", f"jaccard-{self.round}")
+        moved = self.of.join(roots, F.col("c") == F.col("node"), "left").select("sig", F.coalesce("root", "c").alias("c"))
+        fresh = roots.join(self.of, F.col("node") == F.col("sig"), "left_anti").select(F.col("node").alias("sig"), F.col("root").alias("c"))
+        self.of = self.work.keep(moved.union(fresh), f"components-{self.round}")
+        return True
+
+
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """Per row of a column, in the order of sizes, the first row and the nearest row before it, where these are of another component."""
+    column = Window.partitionBy("h").orderBy("n", "sig")
+    upto = column.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.struct("sig", "n", "pos", "c")
+    rows = rows.withColumn("head", F.first(start).over(upto)).withColumn("prior", F.lag(start).over(column))
+    begins = F.col("prior.c") != F.col("c")
+    rows = rows.withColumn("other", F.last(F.when(begins, F.col("prior")), ignorenulls=True).over(upto))
+    partners = F.array_distinct(F.filter(F.array("head", "other"), lambda o: o["c"] != F.col("c")))
+    rows = rows.select("sig", "n", "pos", F.explode(partners).alias("o"))
+    rows = rows.select("sig", "n", "pos", F.col("o.sig").alias("osig"), F.col("o.n").alias("on"), F.col("o.pos").alias("opos"))
+    return rows.select(_ordered("sig", "osig", "n", "on", "pos", "opos"))
 
 
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -223,9 +256,10 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     a set's prefix in one global order are needed to meet every pair that can reach the similarity; sizes and
     positions drop the pairs that cannot, and the rest is decided on the whole sets.
 
-    Pairs inside one large group are not all made. A first product links each set of a column with the first one and
-    the one before it, and keeps the best such partner of each. The second makes the remaining pairs of a column only between different components, so nothing
-    is lost and a group of many near copies costs its size, not its square.
+    Pairs inside one large group are not all made. A round multiplies each set of a column with the first one and the
+    nearest one before it that are of another component, and tries the best such partner of each that has not been tried; the links join components, and rounds
+    follow until one finds no link. What is left is made between different components of a column only, so nothing
+    is lost and a group of many near copies costs its size, not its square. The sets of all documents that share a column are kept from one pass.
 
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
     group, if any; repeated rows are copies. Keys of sets and shingles are 64-bit hashes.
@@ -245,16 +279,22 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shared = incidence.withColumn("before", F.lag("sig").over(column)).withColumn("after", F.lead("sig").over(column))
     shared = work.keep(shared.where("before is not null or after is not null").select("h", "sig", "n", "pos"), "shared")
 
-    start = F.struct("sig", "n", "pos")
-    steps = shared.withColumn("head", F.first(start).over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    steps = steps.withColumn("prior", F.lag(start).over(column)).where("prior is not null")
-    steps = steps.select("h", "sig", "n", "pos", F.explode(F.array_distinct(F.array("head", "prior"))).alias("o"))
-    steps = steps.select("sig", "n", "pos", F.col("o.sig").alias("osig"), F.col("o.n").alias("on"), F.col("o.pos").alias("opos"))
-    first = _candidates(steps.select(_ordered("sig", "osig", "n", "on", "pos", "opos")), percent, best=True)
-    links = _linked(first, texts, words, percent, work, "first")
-    group = components(links, "a", "b", "jaccard-first")
-
-    known = shared.join(group.select(F.col("node").alias("sig"), F.col("root").alias("c")), "sig", "left").withColumn("c", F.coalesce("c", "sig"))
+    wanted = spark.sparkContext.broadcast(_bit_table(shared.select("sig"), "sig"))
+    sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
+    sets = work.keep(sets.groupBy("sig").agg(F.first("s").alias("s")), "sets")
+    group, tried, number = _Components(spark, work), None, 0
+    while True:
+        pairs = _candidates(_neighbours(group.known(shared, "sig", "c")), percent)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = work.keep(_best(pairs), f"pairs-{number}")
+        done = pairs.select("a", "b")
+        tried = done if tried is None else tried.union(done)
+        number += 1
+        if not group.link(work.keep(_linked(pairs, sets, percent), f"links-{number}")):
+            break
+
+    known = group.known(shared, "sig", "c")
     mixed = known.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
     open_ = work.keep(known.join(mixed, "h", "left_semi"), "open")
     a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c")]) for s in "ab")
@@ -264,8 +304,9 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         & (F.col("n_a") * 100 >= F.col("n_b") * percent)
     )
     rest = rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
-    late = _linked(_candidates(rest, percent), texts, words, percent, work, "late")
-    group = components(links.union(late), "a", "b", "jaccard")
+    late = work.keep(_candidates(rest, percent).join(tried, ["a", "b"], "left_anti"), "late")
+    group.link(work.keep(_linked(late, sets, percent), "late-links"))
+    group = Landings("jaccard").keep(group.of.select(F.col("sig").alias("node"), F.col("c").alias("root")), "roots")
     work.drop_all()
 
     of = profile.where("h is null").select(ID, "text_key", F.col("n").alias("n_shingles"), "sig")
