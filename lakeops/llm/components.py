@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import Landings
+from lakeops.llm.common import Landings, temporary_table
 
 
 def _lowest(pairs: DataFrame) -> DataFrame:
@@ -38,6 +38,6 @@ def components(edges: DataFrame, left: str, right: str, label: str = "components
             break
         mark = tuple(row)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    out = Landings(label).keep(nodes.union(now.select("v", "v").distinct()).distinct(), "roots")
+    out = temporary_table(nodes.union(now.select("v", "v").distinct()).distinct(), f"{label}-roots")
     store.drop_all()
     return out

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import ID, TEXT, Landings, batches, id_and_text
+from lakeops.llm.common import ID, TEXT, batches, id_and_text, temporary_table
 
 #: Words of a passage, words between passage starts, longest stretch of an item that is one entry of the index.
 PASSAGE, STEP, STRETCH = 64, 32, 48
@@ -236,14 +236,14 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     asked = _items(items)
     distinct = asked.select("key", "text", "q", "a").dropDuplicates(["key"])
     source = id_and_text(docs).withColumn("row_key", F.xxhash64(TEXT))
-    store, found = Landings("contaminated"), None
+    found = None
     average = _average(distinct)
     rows = distinct.toLocalIterator()
     while lot := list(islice(rows, most_items)):
         texts = {r["key"]: _parts(r["text"], r["q"], r["a"]) for r in lot}
         texts = {k: pair for k, pair in texts.items() if pair[0] or pair[1]}
         if texts:
-            hits = store.keep(_searched(source, texts, average, threshold, cover), "hits")
+            hits = temporary_table(_searched(source, texts, average, threshold, cover), "contaminated")
             found = hits if found is None else found.union(hits)
     columns = ["doc_id", "row_key", "item_id", "score", "question_cover", "answer_cover"]
     if found is None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from lakeops.llm.common import ID, TEXT, Landings, id_and_text
+from lakeops.llm.common import ID, TEXT, Landings, id_and_text, temporary_table
 from lakeops.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -264,10 +264,10 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
     group, if any; repeated rows are copies. Keys of sets and shingles are 64-bit hashes.
     """
-    spark, store = docs.sparkSession, Landings("jaccard")
+    spark = docs.sparkSession
     rows = id_and_text(docs)
     keyed = rows.withColumn("text_key", F.xxhash64(TEXT))
-    profile = store.keep(keyed.mapInPandas(lambda f: _profile(f, words), "doc_id long, text_key long, n int, sig long, h long"), "profile")
+    profile = temporary_table(keyed.mapInPandas(lambda f: _profile(f, words), "doc_id long, text_key long, n int, sig long, h long"), "jaccard-profile")
     often = profile.where("h is not null").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(FREQUENT)
     order = spark.sparkContext.broadcast(_Order(often.select("h").toPandas()["h"].to_numpy()[::-1]))
 
@@ -306,7 +306,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rest = rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
     late = work.keep(_candidates(rest, percent).join(tried, ["a", "b"], "left_anti"), "late")
     group.link(work.keep(_linked(late, sets, percent), "late-links"))
-    group = Landings("jaccard").keep(group.of.select(F.col("sig").alias("node"), F.col("c").alias("root")), "roots")
+    group = temporary_table(group.of.select(F.col("sig").alias("node"), F.col("c").alias("root")), "jaccard-components")
     work.drop_all()
 
     of = profile.where("h is null").select(ID, "text_key", F.col("n").alias("n_shingles"), "sig")

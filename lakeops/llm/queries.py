@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.alignment import alignment_digests
 from lakeops.llm.automaton import round_trip_digests
 from lakeops.llm.bitplanes import read_digests, write_ids
-from lakeops.llm.common import table
+from lakeops.llm.common import table, temporary_path
 from lakeops.llm.decontaminate import contaminated
 from lakeops.llm.jaccard import jaccard_groups
 from lakeops.llm.licenses import license_labels
@@ -22,7 +22,6 @@ from lakeops.llm.sketches import edited_fingerprints
 from lakeops.llm.token_counts import token_counts
 from lakeops.llm.vector_codes import vector_codes
 from lakeops.llm.warc import derivatives, response_records
-from lakeops.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,7 +73,7 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query("op3_token_id_planes")
 def op3_token_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "token-ids")
+    path = temporary_path(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_digests(spark, path)
 
