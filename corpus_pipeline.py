@@ -6,13 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import Landings, table
+from lakeops.llm.common import table, temporary_path, temporary_table
 from lakeops.llm.decontaminate import contaminated
 from lakeops.llm.jaccard import jaccard_groups
 from lakeops.llm.pieces import encode_pieces
 from lakeops.llm.pii import fit_classifier, masked, with_spans
 from lakeops.llm.quality import KEEP_AT, score_column, three_grades, train
-from lakeops.session import scratch_path
+from lakeops.paths import delete
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Texts without words have no near copies. Of rows equal in doc_id and text one stays, with or without words.
     """
-    found = Landings("near-duplicates").keep(jaccard_groups(docs), "groups")
+    found = temporary_table(jaccard_groups(docs), "near-duplicates")
     found = found.select(_id("doc_id"), F.col("text_key").alias("h"), "group_key", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key").alias("rank"))
     first = found.where("group_key is not null").groupBy("group_key").agg(F.min("rank").alias("first"))
     gone = found.join(first, "group_key").where(F.col("rank") != F.col("first")).select("id", "h").distinct()
@@ -59,8 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no benchmark item. Rows of one id are told apart by their text; rows without an id count like others."""
-    store = Landings("decontamination")
-    found = store.keep(contaminated(docs, table(spark, sf_dir, "benchmark")), "hits")
+    found = temporary_table(contaminated(docs, table(spark, sf_dir, "benchmark")), "decontamination")
     bad = found.select(_id("doc_id"), F.col("row_key").alias("h")).distinct()
     rows = _packed(docs).withColumn("h", F.xxhash64("text")).withColumn("id", _id("doc_id"))
     return rows.join(bad, ["id", "h"], "left_anti").select(_columns(docs))
@@ -94,15 +93,19 @@ STAGES = [
     ("personal_data", personal_data),
     ("pieces", pieces),
 ]
-#: The stages train a model, score passages and follow links; SQL cannot express them. tests/llm tests their operators; the stages' own logic and run() have no test yet.
+#: The stages train a model, score passages and follow links; SQL cannot express them. tests/llm/test_pipeline.py holds each stage and run() against plain code.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Each result is written to the shared folder and read again as the next input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. Each result is written to the shared folder and read again as the next input; it goes when that
+    one's result is written, and the last when the driver ends."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = temporary_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
