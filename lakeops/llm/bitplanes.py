@@ -36,10 +36,9 @@ _ROWS = "shard int, kind string, chunk long, doc_id long, at long, n long, width
 def to_planes(ids: np.ndarray, bits: bool, level: int = LEVEL) -> tuple[list[int], bytes]:
     """Ends and concatenation of the compressed planes of an array of unsigned integers."""
     raw = np.ascontiguousarray(ids).view(np.uint8).reshape(len(ids), ids.itemsize)
+    planes = np.ascontiguousarray(raw.T)
     if bits:
-        planes = np.packbits(np.unpackbits(raw, axis=1, bitorder="little").T, axis=1)
-    else:
-        planes = np.ascontiguousarray(raw.T)
+        planes = [np.packbits(column & np.uint8(1 << bit)) for column in planes for bit in range(8)]
     squeeze = zstandard.ZstdCompressor(level=level)
     parts = [squeeze.compress(p.tobytes()) for p in planes]
     return np.cumsum([len(p) for p in parts]).tolist(), b"".join(parts)
@@ -49,18 +48,21 @@ def from_planes(ends, planes: bytes, n: int, width: int, bits: bool) -> np.ndarr
     """The ids of a chunk as unsigned 32-bit integers."""
     expand = zstandard.ZstdDecompressor()
     parts = [expand.decompress(planes[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
-    rows = np.stack([np.frombuffer(p, np.uint8) for p in parts])
-    if bits:
-        rows = np.packbits(np.unpackbits(rows, axis=1, count=n).T, axis=1, bitorder="little")
-    else:
-        rows = np.ascontiguousarray(rows.T)
-    return np.ascontiguousarray(rows).reshape(n, width).view({2: "<u2", 4: "<u4"}[width])[:, 0].astype(np.uint32)
+    if len(parts) != width * (8 if bits else 1):
+        raise ValueError(f"{len(parts)} planes of ids of {width} bytes")
+    ids = np.zeros(n, np.uint32)
+    for k, plane in enumerate(parts):
+        values = np.frombuffer(plane, np.uint8)
+        if bits:
+            values = np.unpackbits(values, count=n)
+        ids |= values.astype(np.uint32) << np.uint32(k if bits else 8 * k)
+    return ids
 
 
 #: Text of ASCII and Latin-1 letters, digits, ASCII signs, spaces and line ends: its composed and lower-case forms are plain, so is where the query's tokenizer cuts it.
 _PLAIN = re.compile(r"[ \n\x21-\x7eÀ-ÖØ-öø-ÿ]*")
-#: Fixed value: how the tokenizer cuts such a text in lower case.
-_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-zß-öø-ÿ0-9]+")
+#: How the tokenizer cuts such a text in lower case. Letters come first; its rule tries endings behind an apostrophe first, where no letter stands.
+_CUT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \na-zß-öø-ÿ0-9]+")
 
 
 class WordEncoder:
@@ -85,8 +87,8 @@ class WordEncoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.model, self.letters = self.tokenizer.model, {b: c for b, c in enumerate(byte_letters())}
         self.cuts = self._cuts_plain_words(spec)
-        self.words = WordCache(self._word, CACHE // 2)
-        self.parts = WordCache(self._part, CACHE // 2)
+        self.words = WordCache(self._word, CACHE // 4)
+        self.parts = WordCache(self._part, CACHE)
 
     @staticmethod
     def _cuts_plain_words(spec: dict) -> bool:
