@@ -460,14 +460,21 @@ def diff_frames(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     return sums.select(*keys, change.alias("change")).where("change IS NOT NULL")
 
 
+def _apart(target: SnapshotTable, state: Row, other: Row) -> list[str]:
+    """Files of a version below the entries that another does not have, or has with other files dropped."""
+    changed = {folder_of(e) for e in set(state.dropped) ^ set(other.dropped)}
+    shared = {e for e in set(state.live) & set(other.live) if "/" in e or e not in changed}
+    return target.live_files(Row(**{**state.asDict(), "live": [e for e in state.live if e not in shared]}))
+
+
 def diff_versions(target: SnapshotTable, before: int, after: int, keys: Sequence[str]) -> DataFrame:
     """Row-level changes between two versions; ``keys`` must identify a row.
 
-    Files both versions share hold the same rows and are not read.
+    Files both versions share hold the same rows and are not read; of folders that both hold alike not even the names are.
     """
     old_state, new_state = target.state(before), target.state(after)
     schema = schema_of(new_state)
-    old_files, new_files = set(target.live_files(old_state)), set(target.live_files(new_state))
+    old_files, new_files = set(_apart(target, old_state, new_state)), set(_apart(target, new_state, old_state))
     return diff_frames(
         target.read_entries(sorted(old_files - new_files), schema),
         target.read_entries(sorted(new_files - old_files), schema),

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql.classic.column import Column as ClassicColumn
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +82,13 @@ def entry_of(uri: Column) -> Column:
     return F.substring_index(uri, "/data/", -1)
 
 
+def among(spark: SparkSession, column: Column, entries: Sequence[str]) -> Column:
+    """Whether a column is one of some entries. They go to the JVM as one text, not one literal each, and become a hash set there."""
+    jvm = spark._jvm
+    words = jvm.org.apache.commons.lang3.StringUtils.split("\n".join(entries), "\n")
+    return ClassicColumn(column._jc.isInCollection(jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(words)))
+
+
 def folder_of(entry: str) -> str:
     return entry.split("/", 1)[0]
 
@@ -157,7 +165,7 @@ class SnapshotTable:
     def scan_state(self, state: Row) -> DataFrame:
         """Raw scan of a version. Spark leaves out the dropped files when it plans the scan."""
         scan = self.scan(state.live, schema_of(state))
-        return scan.where(~entry_of(F.col("_metadata.file_path")).isin(state.dropped)) if state.dropped else scan
+        return scan.where(~among(self.spark, entry_of(F.col("_metadata.file_path")), state.dropped)) if state.dropped else scan
 
     def read(self, version: int | None = None) -> DataFrame:
         return self.read_state(self.state(version))
@@ -190,7 +198,7 @@ class SnapshotTable:
             return self.spark.range(0).selectExpr("cast(null as string) AS entry", "cast(null as bigint) AS length")
         files = paths.list_files(self.spark, *[self._located(entry) for entry in state.live])
         listed = files.where(F.col("path").endswith(".parquet")).select(entry_of(F.col("uri")).alias("entry"), "length")
-        return listed.where(~F.col("entry").isin(state.dropped)) if state.dropped else listed
+        return listed.where(~among(self.spark, F.col("entry"), state.dropped)) if state.dropped else listed
 
     # -- writing ---------------------------------------------------------------------------------------------
 

@@ -237,3 +237,35 @@ def test_a_failing_task_lets_its_neighbours_finish_and_stops_what_follows(lake):
     assert lake.read("dev.gold.a").count() == 1 and lake.read("dev.gold.b").count() == 0
     status = {(r.etls_table_name, r.etls_status) for r in lake.read(LOG_TABLE).collect()}
     assert status == {("a", "SUCCESS"), ("b", "FAILED")}
+
+
+def test_many_dropped_files_are_planned_in_one_call(lake):
+    import time
+
+    from lakeops.sources.snapshot import among
+
+    target = build(lake, [(k, "a", k) for k in range(40)], parts=4)
+    live = target.live_files()
+    gone = [f"lk_commit=1-gone/part-{k:05d}-it's \\ a, name.parquet" for k in range(20_000)] + live[1:]
+    state = target.state()
+    state = type(state)(**{**state.asDict(), "dropped": gone})
+    start = time.time()
+    scan = target.scan_state(state)
+    assert scan.select("id").inputFiles() and time.time() - start < 5
+    one = lake.spark.read.parquet(f"{target.data_dir}/{live[0]}").count()
+    assert scan.count() == one < 40 and target.file_sizes(state).count() == 1
+    assert lake.spark.createDataFrame([("a",), ("b",)], "e STRING").where(among(lake.spark, F.col("e"), ["b", "c"])).collect()[0].e == "b"
+
+
+def test_a_diff_lists_only_what_differs(lake, monkeypatch):
+    from lakeops.operators.changes import diff_versions
+
+    target = build(lake, [(k, "a", k) for k in range(30)], parts=3)
+    append(lake.spark.createDataFrame([(100, "b", 1)], DDL), target)
+    listed = []
+    whole = type(target).files_below
+    monkeypatch.setattr(type(target), "files_below", lambda self, entries, schema: listed.append(list(entries)) or whole(self, entries, schema))
+    assert [tuple(r) for r in diff_versions(target, 1, 2, ["id"]).collect()] == [(100, "inserted")]
+    assert [len(e) for e in listed] == [0, 1]
+    delete_where(target, "id = 3")
+    assert [tuple(r) for r in diff_versions(target, 2, 3, ["id"]).collect()] == [(3, "deleted")]
