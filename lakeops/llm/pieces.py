@@ -74,7 +74,7 @@ class PieceCoder:
     in one boundary, the ids up to it are final and are committed, and the window is cut off there.
     """
 
-    def __init__(self, path: str, cache_bytes: int = CACHE):
+    def __init__(self, path: str, cache_bytes: int = 3 * CACHE // 2):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         if (kind := model_type(model.serialized_model_proto())) != BPE:
             raise ValueError(f"{path}: a BPE model is needed; the steps of a model of type {kind} are weighed otherwise")
