@@ -18,6 +18,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Size of the list of frequent shingles and of the bit table below. They bound what is broadcast; no result depends on them.
 FREQUENT, BITS = 1 << 18, 1 << 24
 _CHUNK, _SEEN_AT = 4_000_000, 3
+#: Pairs between components that are made at once whatever the input; no result depends on it.
+FEW = 20_000
 #: Percent of a set by which its prefix is longer than needed to meet a partner, so that partners must share as many columns.
 EXTRA = 5
 
@@ -258,8 +260,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     Pairs inside one large group are not all made. A round multiplies each set of a column with the first one and the
     nearest one before it that are of another component, and tries the best such partner of each that has not been tried; the links join components, and rounds
-    follow until one finds no link. What is left is made between different components of a column only, so nothing
-    is lost and a group of many near copies costs its size, not its square. The sets of all documents that share a column are kept from one pass.
+    follow, over the columns that still hold several, until a sixteenth of the columns' rows (at least FEW) bounds the pairs that are left or a round finds no link. These are made
+    between different components of a column only, so nothing is lost and a group of many near copies costs its size, not its square. The sets of all documents that share a column are kept from one pass.
 
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
     group, if any; repeated rows are copies. Keys of sets and shingles are 64-bit hashes.
@@ -283,8 +285,17 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
     sets = work.keep(sets.groupBy("sig").agg(F.first("s").alias("s")), "sets")
     group, tried, number = _Components(spark, work), None, 0
+    open_, few = shared, max(shared.count() // 16, FEW)
     while True:
-        pairs = _candidates(_neighbours(group.known(shared, "sig", "c")), percent)
+        # columns of one component have nothing to give any more, and stay so
+        known = group.known(open_.select("h", "sig", "n", "pos"), "sig", "c")
+        held = known.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h")
+        mixed = held.agg(F.count("*").alias("parts"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")).where("parts > 1")
+        mixed = work.keep(mixed.select("h", "pairs"), f"mixed-{number}")
+        open_ = work.keep(known.join(mixed.select("h"), "h", "left_semi"), f"open-{number}")
+        if (mixed.agg(F.sum("pairs")).first()[0] or 0) <= few:
+            break
+        pairs = _candidates(_neighbours(open_), percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = work.keep(_best(pairs), f"pairs-{number}")
@@ -294,9 +305,6 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         if not group.link(work.keep(_linked(pairs, sets, percent), f"links-{number}")):
             break
 
-    known = group.known(shared, "sig", "c")
-    mixed = known.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
-    open_ = work.keep(known.join(mixed, "h", "left_semi"), "open")
     a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c")]) for s in "ab")
     rest = a.where(F.col("pos_a") < _index_prefix(F.col("n_a"), percent)).join(b, "h").where(
         ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("sig_a") < F.col("sig_b"))))
@@ -304,7 +312,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         & (F.col("n_a") * 100 >= F.col("n_b") * percent)
     )
     rest = rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
-    late = work.keep(_candidates(rest, percent).join(tried, ["a", "b"], "left_anti"), "late")
+    late = _candidates(rest, percent)
+    late = work.keep(late if tried is None else late.join(tried, ["a", "b"], "left_anti"), "late")
     group.link(work.keep(_linked(late, sets, percent), "late-links"))
     group = temporary_table(group.of.select(F.col("sig").alias("node"), F.col("c").alias("root")), "jaccard-components")
     work.drop_all()
