@@ -20,6 +20,8 @@ FREQUENT, BITS = 1 << 18, 1 << 24
 _CHUNK, _SEEN_AT = 4_000_000, 3
 #: Pairs between components that are made at once whatever the input; no result depends on it.
 FEW = 20_000
+#: Rounds end with one that joins no more components than this part of the first one's; no result depends on it.
+LAST = 16
 #: Percent of a set by which its prefix is longer than needed to meet a partner, so that partners must share as many columns.
 EXTRA = 5
 
@@ -219,18 +221,19 @@ class _Components:
         of = self.of.select(F.col("sig").alias(key), F.col("c").alias(name))
         return rows.join(of, key, "left").withColumn(name, F.coalesce(name, key))
 
-    def link(self, links: DataFrame) -> bool:
-        """Take up links (a, b), one for each two components; False when there was none."""
+    def link(self, links: DataFrame) -> int:
+        """Take up links (a, b), one for each two components, and tell how many there were."""
         self.round += 1
         ends = self.known(self.known(links, "a", "ca"), "b", "cb").where("ca <> cb")
         edges = self.work.keep(ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), f"edges-{self.round}")
-        if edges.isEmpty():
-            return False
+        found = edges.count()
+        if not found:
+            return 0
         roots = components(edges, "a", "b", f"jaccard-{self.round}")
         moved = self.of.join(roots, F.col("c") == F.col("node"), "left").select("sig", F.coalesce("root", "c").alias("c"))
         fresh = roots.join(self.of, F.col("node") == F.col("sig"), "left_anti").select(F.col("node").alias("sig"), F.col("root").alias("c"))
         self.of = self.work.keep(moved.union(fresh), f"components-{self.round}")
-        return True
+        return found
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
@@ -260,7 +263,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     Pairs inside one large group are not all made. A round multiplies each set of a column with the first one and the
     nearest one before it that are of another component, and tries the best such partner of each that has not been tried; the links join components, and rounds
-    follow, over the columns that still hold several, until a sixteenth of the columns' rows (at least FEW) bounds the pairs that are left or a round finds no link. These are made
+    follow, over the columns that still hold several, until a sixteenth of the columns' rows (at least FEW) bounds the pairs that are left or a round finds few links. These are made
     between different components of a column only, so nothing is lost and a group of many near copies costs its size, not its square. The sets of all documents that share a column are kept from one pass.
 
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
@@ -284,7 +287,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     wanted = spark.sparkContext.broadcast(_bit_table(shared.select("sig"), "sig"))
     sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
     sets = work.keep(sets.groupBy("sig").agg(F.first("s").alias("s")), "sets")
-    group, tried, number = _Components(spark, work), None, 0
+    group, tried, number, first = _Components(spark, work), None, 0, 0
     open_, few = shared, max(shared.count() // 16, FEW)
     while True:
         # columns of one component have nothing to give any more, and stay so
@@ -302,7 +305,13 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         done = pairs.select("a", "b")
         tried = done if tried is None else tried.union(done)
         number += 1
-        if not group.link(work.keep(_linked(pairs, sets, percent), f"links-{number}")):
+        found = group.link(work.keep(_linked(pairs, sets, percent), f"links-{number}"))
+        first = first or found
+        if found * LAST <= first:
+            # what is left is made in any case; a round that joins little costs more than it saves
+            known = group.known(open_.select("h", "sig", "n", "pos"), "sig", "c")
+            mixed = known.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
+            open_ = work.keep(known.join(mixed, "h", "left_semi"), "open-last")
             break
 
     a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c")]) for s in "ab")
