@@ -166,6 +166,6 @@ def assign_ids(df: DataFrame, id_col: str, start: int = 0, order: Sequence[str]
     placed = spark.read.schema(parts.schema).parquet(path)
     sizes = placed.groupBy("lk_part").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.orderBy("lk_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    # a row per write task
-    numbered = placed.join(sizes.select("lk_part", (before + start).alias("lk_before")), "lk_part")
+    # a row per write task, sent to all: a shuffle would bring the rows of a part to one task
+    numbered = placed.join(F.broadcast(sizes.select("lk_part", (before + start).alias("lk_before"))), "lk_part")
     return numbered.select((F.col("lk_before") + F.col("lk_pos") + 1).alias(id_col), *columns)

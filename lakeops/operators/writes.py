@@ -140,15 +140,15 @@ def is_parquet_scan(df: DataFrame) -> bool:
 def with_dense_ids(rows: DataFrame, column: str, after: int) -> DataFrame:
     """Rows of Parquet files with the ids after + 1, after + 2, … in order of file and place.
 
-    An id is the number of rows in the files before, from their footers, plus the row's place in its file. The table of files has a
-    row per file and joins as its size allows.
+    An id is the number of rows in the files before, from their footers, plus the row's place in its file. The table of files, a row
+    per file, is sent to every task: joined by a shuffle, all rows of a file would meet in one.
     """
     file = F.col("_metadata.file_path")
     files = rows.groupBy(file.alias("lk_file")).agg(F.count(F.lit(1)).alias("lk_rows"))
     before = F.sum("lk_rows").over(Window.orderBy("lk_file").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("lk_rows")
     files = files.select("lk_file", before.alias("lk_before"))
     names = [F.col(f"`{name}`") for name in rows.columns]
-    placed = rows.select(*names, file.alias("lk_file"), F.col("_metadata.row_index").alias("lk_place")).join(files, "lk_file")
+    placed = rows.select(*names, file.alias("lk_file"), F.col("_metadata.row_index").alias("lk_place")).join(F.broadcast(files), "lk_file")
     return placed.select((F.lit(after) + F.col("lk_before") + F.col("lk_place") + 1).cast("bigint").alias(column), *names)
 
 

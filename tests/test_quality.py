@@ -69,3 +69,16 @@ def test_ids_are_dense_with_a_heavy_key_and_equal_rows(spark):
 
 def test_ids_of_nothing(spark):
     assert assign_ids(spark.range(0).toDF("k"), "id").count() == 0
+
+
+def test_ids_move_no_rows_by_their_file(spark):
+    # the offsets of files and parts are sent to the rows: a shuffle by file would bring a whole file to one task
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for order in (None, ["k"]):
+            numbered = assign_ids(spark.range(100).toDF("k"), "n", order=order)
+            assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r.n for r in numbered.collect()) == list(range(1, 101))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
