@@ -21,6 +21,8 @@ from lakeops.operators.landing import landed
 from lakeops.sources.snapshot import CommitConflict, CommitResult, SnapshotTable, entry_of, schema_of
 
 DEFAULT_TARGET_BYTES = 512 << 20
+# Bytes of a file whose rows a task sorts before it writes them; in memory they take several times as much.
+SORTED_BYTES = 128 << 20
 # Fixed value: the shortest retention a vacuum accepts, in hours.
 MIN_RETENTION_HOURS = 168
 
@@ -156,10 +158,15 @@ def by_range(df: DataFrame, keys: Sequence[str], parts: int, tie: Column) -> Dat
 
 
 def key_ranges(target: SnapshotTable, state: Row, keys: Sequence[str]) -> DataFrame:
-    """(entry, low, high) of every live file: its lowest and highest key as structs, NULLs first. Reads the key columns only."""
+    """(entry, low, high) of every live file: its lowest and highest key as structs, NULLs first. Reads the key columns only.
+
+    Rows are not sorted for it: with a collected set among the sums Spark keeps the files of a task in a hash map, also for keys of
+    a struct, which it would group by a sort of all the task's rows otherwise.
+    """
     key = F.struct(*[F.col(f"`{k}`") for k in keys])
     files = target.scan_state(state).groupBy(entry_of(F.col("_metadata.file_path")).alias("entry"))
-    return files.agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    files = files.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.collect_set(F.lit(1)).alias("lk_some"))
+    return files.where(F.size("lk_some") > 0).drop("lk_some")
 
 
 def overlapping(ranges: DataFrame) -> DataFrame:
@@ -194,7 +201,8 @@ def recluster(
     """Rewrite by range the files of those stretches of keys in which more than ``limit`` files overlap; leave all others alone.
 
     The files made for a stretch cover no key outside of it, where no other file has any, and do not overlap each other: a second run finds
-    nothing to do and makes no version. File names of the stretches that are rewritten reach the driver.
+    nothing to do and makes no version. A task sorts the rows of a file it makes, so files are made no larger than SORTED_BYTES, whatever
+    the target. File names of the stretches that are rewritten reach the driver.
     """
     state = target.state()
     if not state.cluster_by or state.partition_by:
@@ -208,7 +216,7 @@ def recluster(
     if not chosen:
         return idle
     schema = schema_of(state)
-    parts = max(1, math.ceil(sum(r.length for r in chosen) / target_bytes))
+    parts = max(1, math.ceil(sum(r.length for r in chosen) / min(target_bytes, SORTED_BYTES)))
     picked = sorted(r.entry for r in chosen)
     rows = by_range(target.scan(picked, schema), state.cluster_by, parts, row_address())
     entry, _ = target.write_folder(rows.select(*[F.col(f"`{n}`") for n in schema.names]), state, arranged=True)
@@ -224,13 +232,21 @@ def recluster(
 _SAMPLES, _CELL_BITS, _WORD_BITS = 32, 18, 60
 
 
-def _bucket(value: Column, bounds: Column, count: int) -> Column:
-    """How many of ``count`` ascending bounds lie at or below the value, 0 for NULL; found in two steps of about sqrt(count)."""
-    width = math.isqrt(count) + 1
-    every = F.transform(F.sequence(F.lit(0), F.lit((count - 1) // width)), lambda i: F.get(bounds, i * width))
-    coarse = F.size(F.filter(every, lambda b: b <= value))
-    fine = F.size(F.filter(F.slice(bounds, (coarse - 1) * width + 1, F.lit(width)), lambda b: b <= value))
-    return F.when(coarse > 0, (coarse - 1) * width + fine).otherwise(0)
+def _with_buckets(df: DataFrame, cols: Sequence[str], bounds: dict[str, Column | None], names: Sequence[str], bits: int) -> DataFrame:
+    """Add per column how many of its fewer than 2**bits ascending bounds lie at or below the value, 0 for NULL.
+
+    A binary search of all columns side by side: each step is a projection that looks up one bound of each.
+    """
+    df = df.select("*", *[F.lit(0).alias(n) for n in names])
+    kept = [F.col(f"`{n}`") for n in df.columns[: -len(names)]]
+    for step in reversed(range(bits)):
+        half, found = 1 << step, []
+        for c, n in zip(cols, names):
+            # a bound beyond the last one is NULL
+            above = F.get(bounds[c], F.col(n) + (half - 1)) <= F.col(f"`{c}`") if bounds[c] is not None else F.lit(False)
+            found.append(F.when(above, F.col(n) + half).otherwise(F.col(n)).alias(n))
+        df = df.select(*kept, *found)
+    return df
 
 
 def _bounds(scan: DataFrame, cols: Sequence[str], rows: int, steps: int) -> dict[str, list]:
@@ -299,19 +315,13 @@ def zorder(
     scan = target.scan_state(state)
     rows = target.read_state(state).count()
     bounds = _bounds(scan, cols, rows, 1 << bits)
-    buckets = []
-    for c in cols:
-        kind = T.ArrayType(schema[c].dataType)
-        known = F.lit(bounds[c]).cast(kind) if bounds[c] else None
-        if known is None:
-            buckets.append(F.lit(0))
-            continue
-        # a column of few values still fills all its bits, so that it counts as much as the others
-        number = F.coalesce(_bucket(F.col(f"`{c}`"), known, len(bounds[c])), F.lit(0))
-        buckets.append(F.shiftleft(number.cast("bigint"), bits) / F.lit(len(bounds[c]) + 1))
     columns = [F.col(f"`{n}`") for n in schema.names]
     named = [f"lk_bucket_{i}" for i in range(len(cols))]
-    placed = scan.select(*columns, row_address().alias("lk_address"), *[F.floor(b).alias(n) for b, n in zip(buckets, named)])
+    known = {c: F.lit(bounds[c]).cast(T.ArrayType(schema[c].dataType)) if bounds[c] else None for c in cols}
+    placed = _with_buckets(scan.select(*columns, row_address().alias("lk_address")), cols, known, named, bits)
+    # a column of few values still fills all its bits, so that it counts as much as the others
+    wide = [F.floor(F.shiftleft(F.col(n).cast("bigint"), bits) / F.lit(len(bounds[c]) + 1)).alias(n) for c, n in zip(cols, named)]
+    placed = placed.select(*columns, "lk_address", *wide)
     words, width = z_words([F.col(n) for n in named], bits)
     leading = list(state.partition_by or [])
     partitions = target.file_sizes(state).select(F.regexp_replace("entry", "^[^/]*/|[^/]*$", "")).distinct().count() if leading else 1

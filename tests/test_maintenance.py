@@ -1,12 +1,13 @@
 """Compaction, layout, vacuum, planning and maintenance runs."""
 
 import datetime as dt
+from bisect import bisect_right
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators.changes import delete_where
-from lakeops.operators.upkeep import RetentionTooShort, analyze, compact, overlap_depth, recluster, stored_files, vacuum, zorder
+from lakeops.operators.upkeep import RetentionTooShort, _with_buckets, analyze, compact, key_ranges, overlap_depth, recluster, stored_files, vacuum, zorder
 from lakeops.sources.snapshot import CommitConflict
 from lakeops.operators.writes import TableSpec, append, ensure_tables, write_clustered
 from lakeops.plans.maintenance import (
@@ -411,3 +412,30 @@ def test_compaction_of_a_few_small_files_keeps_the_large_folder(spark, lake):
     append(numbers(spark, 30, 3), target)
     compact(target, target_bytes=size)
     assert folder in target.state().live and target.read().count() == 20_030
+
+
+def test_key_ranges_sort_no_rows(spark, lake):
+    df = numbers(spark, 400, 4)
+    target = build(lake, df, cluster_by=["s", "id"])
+    ranges = key_ranges(target, target.state(), ["s", "id"])
+    plan = ranges._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    files = target.scan_state(target.state()).groupBy("_metadata.file_path").agg(F.min(F.struct("s", "id")), F.max(F.struct("s", "id")))
+    assert sorted((tuple(r.low), tuple(r.high)) for r in ranges.collect()) == sorted((tuple(r[1]), tuple(r[2])) for r in files.collect())
+
+
+def test_reclustered_files_are_no_larger_than_a_task_sorts(spark, lake, monkeypatch):
+    df = numbers(spark, 4000, 4)
+    target = build(lake, df, cluster_by=["s", "id"])
+    monkeypatch.setattr("lakeops.operators.upkeep.SORTED_BYTES", target.file_sizes().agg(F.sum("length")).first()[0] // 9)
+    recluster(target)
+    assert same_rows(target, df) and len(target.live_files()) >= 8 and overlap_depth(target) == 1
+
+
+def test_buckets_by_binary_search(spark):
+    values = [None, "", "a", "b", "bb", "c", "z", "\U0001f600"]
+    bounds = ["a", "b", "c"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v string, n int")
+    got = _with_buckets(df, ["v", "n"], {"v": F.lit(bounds), "n": F.lit([3, 5])}, ["x", "y"], 2).collect()
+    assert [r.x for r in got] == [0 if v is None else bisect_right(bounds, v) for v in values]
+    assert [r.y for r in got] == [bisect_right([3, 5], i) for i in range(len(values))]
