@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.automaton import MergeAutomaton
-from lakeops.llm.common import ID, TEXT, batches, id_and_text, per_worker, temporary_table
+from lakeops.llm.common import CACHE, ID, TEXT, batches, id_and_text, per_worker, temporary_table
 from lakeops.llm.pieces import SPACE
 
 #: Tokens of a batch that are sorted together; a longer document is a batch of its own.
@@ -49,8 +49,9 @@ def overlaps(starts_a, ends_a, starts_b, ends_b) -> tuple[np.ndarray, np.ndarray
 class Aligner:
     """Tokens of a text under a byte-level BPE file (A) and a piece model (B), as ids, their bytes and lengths."""
 
-    def __init__(self, path_a: str, path_b: str):
-        self.coder = MergeAutomaton(path_a)
+    def __init__(self, path_a: str, path_b: str, cache_bytes: int = 3 * CACHE // 5):
+        # a smaller cache than where the coder is alone: the worker holds the piece model and the links of a task too
+        self.coder = MergeAutomaton(path_a, cache_bytes)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a, self.bytes_b = self.coder.bytes, []
         for i in range(self.pieces.get_piece_size()):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeops.llm import alignment, automaton, vector_codes
+from lakeops.llm.common import CACHE
 from lakeops.llm.queries import ORACLES, QUERIES
 from tests.llm.test_operators import LONG, ODD, SF, documents, none, odd  # noqa: F401
 from tests.oracle import compare
@@ -304,3 +305,12 @@ def test_codes_of_very_large_components(spark):
 def test_codes_query_against_sql(spark):
     ok, note = compare(spark, SF, QUERIES["op11_vector_codes"], ORACLES["op11_vector_codes"])
     assert ok, note
+
+
+def test_aligner_shares_its_worker_with_a_second_model():
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    few, many = alignment.Aligner(*paths, 4_000), alignment.Aligner(*paths)
+    assert 2 * many.coder.words.half < CACHE
+    text = "how many words does a cache hold " * 3 + " ".join(f"w{k}" for k in range(300))
+    for c in ("n_a", "n_b", "n_groups", "group_ids"):
+        assert few.align([text])[c].tolist() == many.align([text])[c].tolist()
