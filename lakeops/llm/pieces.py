@@ -125,8 +125,14 @@ class PieceCoder:
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols == list(pair) and symbols[0] + symbols[1] not in score
 
-    def stream(self, text: str) -> Iterator[list[int]]:
-        """Ids of a normalized text, in committed runs; a character in no piece has an id beyond all others', its code point added to their number."""
+    def stream(self, text: str) -> Iterator[list[str]]:
+        """Pieces of a normalized text, in committed runs; a character in no piece stands for itself."""
+        size = len(self.text)
+        for run in self._search(text):
+            yield [self.text[p] if p < size else chr(p - size) for p in run]
+
+    def _search(self, text: str) -> Iterator[list[int]]:
+        """The runs of ``stream`` as ids; a character in no piece has an id beyond all others', its code point added to their number."""
         arcs_of, fits, size, longest, n = self.arcs.get, self.fits, len(self.text), self.longest, len(text)
         back: dict[int, int] = {}  # boundary -> boundary before it
         last: dict[int, int] = {0: -1}  # boundary -> piece that ends there
@@ -174,7 +180,7 @@ class PieceCoder:
                         last = {b: p for b, p in last.items() if b >= done}
 
     def _window(self, text: str) -> list[int]:
-        """What ``stream`` gives for a text no longer than the window, in which nothing is committed before the end."""
+        """What ``_search`` gives for a text no longer than the window, in which nothing is committed before the end."""
         arcs_of, moves, width, n = self.arcs.get, self.fits, self.width, len(text)
         last, back = [0] * (n + 1), [-1] * (n + 1)
         back[0] = 0
@@ -208,7 +214,7 @@ class PieceCoder:
     def _part(self, text: str) -> bytes:
         """Ids of a text that is searched as a whole, as unsigned 32-bit integers."""
         out, size = array("I"), len(self.text)
-        for run in [self._window(text)] if len(text) <= self.longest else self.stream(text):
+        for run in [self._window(text)] if len(text) <= self.longest else self._search(text):
             if max(run) < size:
                 out.extend(run)
                 continue
