@@ -18,10 +18,10 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Size of the list of frequent shingles and of the bit table below. They bound what is broadcast; no result depends on them.
 FREQUENT, BITS = 1 << 18, 1 << 24
 _CHUNK, _SEEN_AT = 4_000_000, 3
-#: Pairs between components that are made at once whatever the input; no result depends on it.
-FEW = 20_000
 #: Rounds end with one that joins no more components than this part of the first one's; no result depends on it.
 LAST = 16
+#: Bands of a set and least hashes in each; sets that agree on a band are tried first. No result depends on them.
+BANDS, ROWS = 16, 4
 #: Percent of a set by which its prefix is longer than needed to meet a partner, so that partners must share as many columns.
 EXTRA = 5
 
@@ -32,6 +32,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_FACTORS = _mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _MIX) | np.uint64(1)
+
+
 def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a text.
 
@@ -134,22 +137,36 @@ def _prefixes(frames: Iterator[pd.DataFrame], words: int, percent: int, order) -
             )
 
 
+def _bands(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set's bands, and places in them; two sets agree on a band with a chance of their similarity to the power ROWS.
+
+    Places are short forms of the next band's least hashes, so that sets that agree on those too lie side by side.
+    """
+    least = np.array([(hashes * factor).min() for factor in _FACTORS], np.uint64).reshape(BANDS, ROWS)
+    keys, places = np.arange(BANDS, dtype=np.uint64), np.zeros(BANDS, np.uint64)
+    short = np.uint64(64 // ROWS)
+    for k in range(ROWS):
+        keys = _mixed(keys + least[:, k])
+        places = (places << short) | (_mixed(least[:, k]) >> (np.uint64(64) - short))
+    return keys.view(np.int64), np.roll(places, -1).view(np.int64)
+
+
 def _sets(frames: Iterator[pd.DataFrame], words: int, wanted) -> Iterator[pd.DataFrame]:
     seen: set[int] = set()
     bits = np.frombuffer(wanted.value, np.uint8)
     for frame in frames:
-        sigs, sets = [], []
-        for text in frame[TEXT]:
+        bit = frame["text_key"].to_numpy(np.int64) % BITS
+        found = (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+        sigs, sets, bands = [], [], []
+        for text in frame[TEXT][found]:
             hashes = shingle_hashes(text, words)
-            if not len(hashes) or (sig := signature(hashes)) in seen:
-                continue
-            bit = sig % BITS
-            if bits[bit >> 3] >> (bit & 7) & 1:
+            if len(hashes) and (sig := signature(hashes)) not in seen:
                 seen.add(sig)
                 sigs.append(sig)
                 sets.append(hashes.view(np.int64))
+                bands.append(_bands(hashes))
         if sigs:
-            yield pd.DataFrame({"sig": sigs, "s": sets})
+            yield pd.DataFrame({"sig": sigs, "n": [len(s) for s in sets], "s": sets, "bands": [k for k, _ in bands], "places": [p for _, p in bands]})
 
 
 def _bit_table(df: DataFrame, column: str) -> bytes:
@@ -189,19 +206,12 @@ def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
     return summed.where((rest >= least) & (F.col("shared") + behind >= least)).select("a", "b", "na", "nb", "shared")
 
 
-def _best(found: DataFrame) -> DataFrame:
-    """Of the candidates of each larger set the one that shares most."""
-    found = found.groupBy("b", "nb").agg(F.max(F.struct("shared", "a", "na")).alias("x"))
+def _best(found: DataFrame, *of: str) -> DataFrame:
+    """Of the pairs of each larger set (and each of ``of``) the one that shares most bands."""
+    found = found.groupBy("b", "nb", *of).agg(F.max(F.struct("shared", "a", "na")).alias("x"))
     return found.select("x.a", "b", "x.na", "nb")
 
 
-def _ordered(x: str, y: str, nx: str, ny: str, px: str, py: str) -> list:
-    """Columns a, b, na, nb, pa, pb with the smaller set (ties: the lower key) as a."""
-    first = (F.col(nx) < F.col(ny)) | ((F.col(nx) == F.col(ny)) & (F.col(x) < F.col(y)))
-    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
-    return [pick(p, q).alias(k) for k, p, q in (("a", x, y), ("b", y, x), ("na", nx, ny), ("nb", ny, nx), ("pa", px, py), ("pb", py, px))]
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The candidate pairs (a, b) whose whole sets reach the similarity."""
     both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("s").alias("sa")), "a")
@@ -236,18 +246,72 @@ class _Components:
         return found
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
-    """Per row of a column, in the order of sizes, the first row and the nearest row before it, where these are of another component."""
-    column = Window.partitionBy("h").orderBy("n", "sig")
-    upto = column.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.struct("sig", "n", "pos", "c")
-    rows = rows.withColumn("head", F.first(start).over(upto)).withColumn("prior", F.lag(start).over(column))
+def _neighbours(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each set of a band with the first one and the nearest one before it, where these are of another component.
+
+    Rows a, b, na, nb, ca, shared: a the smaller set (ties: the lower key), ca its component, shared the bands that both agree on.
+    """
+    band = Window.partitionBy("h").orderBy("place", "n", "sig")
+    upto = band.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.struct("sig", "n", "c", "bands")
+    rows = rows.withColumn("head", F.first(start).over(upto)).withColumn("prior", F.lag(start).over(band))
     begins = F.col("prior.c") != F.col("c")
     rows = rows.withColumn("other", F.last(F.when(begins, F.col("prior")), ignorenulls=True).over(upto))
     partners = F.array_distinct(F.filter(F.array("head", "other"), lambda o: o["c"] != F.col("c")))
-    rows = rows.select("sig", "n", "pos", F.explode(partners).alias("o"))
-    rows = rows.select("sig", "n", "pos", F.col("o.sig").alias("osig"), F.col("o.n").alias("on"), F.col("o.pos").alias("opos"))
-    return rows.select(_ordered("sig", "osig", "n", "on", "pos", "opos"))
+    rows = rows.select("sig", "n", "c", "bands", F.explode(partners).alias("o"))
+    first = (F.col("o.n") < F.col("n")) | ((F.col("o.n") == F.col("n")) & (F.col("o.sig") < F.col("sig")))
+    pick = lambda p, q: F.when(first, F.col(p)).otherwise(F.col(q))
+    ends = [pick(p, q).alias(k) for k, p, q in (("a", "o.sig", "sig"), ("b", "sig", "o.sig"), ("na", "o.n", "n"), ("nb", "n", "o.n"), ("ca", "o.c", "c"))]
+    rows = rows.select(*ends, F.size(F.array_intersect("bands", "o.bands")).alias("shared"))
+    return rows.where(F.col("na") * 100 >= F.col("nb") * percent)
+
+
+def _shared(incidence: DataFrame, percent: int) -> DataFrame:
+    """The rows of columns where another set's size allows a link."""
+    column = Window.partitionBy("h").orderBy("n", "sig")
+    near = incidence.withColumn("before", F.lag("n").over(column)).withColumn("after", F.lead("n").over(column))
+    return near.where((F.col("before") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("after") * percent)).select("h", "sig", "n", "pos")
+
+
+def _enough(shared: DataFrame) -> DataFrame:
+    """The sets that share enough columns of their prefix to have a link.
+
+    Of two sets that link, all that they share lies in both prefixes but for what is behind the one that ends first. That
+    set's prefix ends EXTRA percent later than needed to meet the other, so they share at least as many columns.
+    """
+    counted = shared.groupBy("sig", "n").agg(F.count("*").alias("k"))
+    return counted.where(F.col("k") >= F.floor(F.col("n") * F.lit(EXTRA) / F.lit(100))).select("sig")
+
+
+def _mixed_columns(rows: DataFrame) -> DataFrame:
+    """The rows (h, c, ...) of columns that hold several components."""
+    mixed = rows.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
+    return rows.join(mixed, "h", "left_semi")
+
+
+def _within_reach(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``open_`` with w, how many of a set's shingles sets of other components hold, for sets where these are enough for a link.
+
+    No set of another component shares more than w with it. Any that could link is in ``open_`` too, so its shingles count.
+    """
+    of = open_.select("sig", "c").distinct()
+    held = sets.join(of, "sig").select("sig", "n", "c", F.explode("s").alias("h"))
+    column = Window.partitionBy("h")
+    held = held.withColumn("low", F.min("c").over(column)).withColumn("high", F.max("c").over(column)).where("low < high")
+    reach = held.groupBy("sig", "n").agg(F.count("*").alias("w")).where(F.col("w") * 100 >= F.col("n") * percent)
+    return open_.join(reach.select("sig", "w"), "sig")
+
+
+def _across(open_: DataFrame, percent: int) -> DataFrame:
+    """A row for each column that two sets of different components share, where size and reach of both allow a link."""
+    a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c", "w")]) for s in "ab")
+    rest = a.where(F.col("pos_a") < _index_prefix(F.col("n_a"), percent)).join(b, "h").where(
+        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("sig_a") < F.col("sig_b"))))
+        & (F.col("c_a") != F.col("c_b"))
+        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+        & (F.least("w_a", "w_b") >= _least_overlap(F.col("n_a"), F.col("n_b"), percent))
+    )
+    return rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
 
 
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -261,10 +325,12 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     a set's prefix in one global order are needed to meet every pair that can reach the similarity; sizes and
     positions drop the pairs that cannot, and the rest is decided on the whole sets.
 
-    Pairs inside one large group are not all made. A round multiplies each set of a column with the first one and the
-    nearest one before it that are of another component, and tries the best such partner of each that has not been tried; the links join components, and rounds
-    follow, over the columns that still hold several, until a sixteenth of the columns' rows (at least FEW) bounds the pairs that are left or a round finds few links. These are made
-    between different components of a column only, so nothing is lost and a group of many near copies costs its size, not its square. The sets of all documents that share a column are kept from one pass.
+    Pairs inside one large group are not all made. Sets that share too few columns of their prefix to have a link leave first, and only the texts of the
+    others are read again for their whole sets. Rounds then join components by links that are likely: sets that agree on a band of
+    least hashes are put in an order, each meets the first one and the nearest one before it that are of another component, and the best pair of each set
+    (from the second round on with each such component) that has not been tried is decided on the whole sets.
+    What the rounds have missed comes from the product of the columns that still hold several components, over the sets of which so much lies in sets of
+    other components that a link is left to find; it is exact whatever the rounds have found.
 
     Null and empty texts have no shingles and form a group of their own each; null ids get the lowest id of their
     group, if any; repeated rows are copies. Keys of sets and shingles are 64-bit hashes.
@@ -280,49 +346,36 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = rows.select(TEXT)
     incidence = texts.mapInPandas(lambda f: _prefixes(f, words, percent, order), "h long, sig long, n int, pos int")
     incidence = incidence.repartition("h").dropDuplicates(["h", "sig"])
-    column = Window.partitionBy("h").orderBy("n", "sig")
-    shared = incidence.withColumn("before", F.lag("sig").over(column)).withColumn("after", F.lead("sig").over(column))
-    shared = work.keep(shared.where("before is not null or after is not null").select("h", "sig", "n", "pos"), "shared")
+    shared = work.keep(_shared(incidence, percent), "shared")
+    enough = work.keep(_enough(shared), "enough")
 
-    wanted = spark.sparkContext.broadcast(_bit_table(shared.select("sig"), "sig"))
-    sets = texts.mapInPandas(lambda f: _sets(f, words, wanted), "sig long, s array<long>")
-    sets = work.keep(sets.groupBy("sig").agg(F.first("s").alias("s")), "sets")
+    keys = profile.where("h is null").join(enough, "sig", "left_semi").groupBy("sig").agg(F.min("text_key").alias("text_key"))
+    wanted = spark.sparkContext.broadcast(_bit_table(keys, "text_key"))
+    sets = keyed.select("text_key", TEXT).mapInPandas(lambda f: _sets(f, words, wanted), "sig long, n int, s array<long>, bands array<long>, places array<long>")
+    sets = work.keep(sets.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("n", "s", "bands", "places")]), "sets")
     group, tried, number, first = _Components(spark, work), None, 0, 0
-    open_, few = shared, max(shared.count() // 16, FEW)
+    bands = sets.select("sig", "n", "bands", F.explode(F.arrays_zip("bands", "places")).alias("x"))
+    bands = bands.select("sig", "n", "bands", F.col("x.bands").alias("h"), F.col("x.places").alias("place"))
     while True:
-        # columns of one component have nothing to give any more, and stay so
-        known = group.known(open_.select("h", "sig", "n", "pos"), "sig", "c")
-        held = known.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h")
-        mixed = held.agg(F.count("*").alias("parts"), ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("pairs")).where("parts > 1")
-        mixed = work.keep(mixed.select("h", "pairs"), f"mixed-{number}")
-        open_ = work.keep(known.join(mixed.select("h"), "h", "left_semi"), f"open-{number}")
-        if (mixed.agg(F.sum("pairs")).first()[0] or 0) <= few:
-            break
-        pairs = _candidates(_neighbours(open_), percent)
+        # bands of one component have nothing to give any more, and stay so
+        bands = work.keep(_mixed_columns(group.known(bands.drop("c"), "sig", "c")), f"bands-{number}")
+        pairs = _neighbours(bands, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = work.keep(_best(pairs), f"pairs-{number}")
+        # at first each set is a component, and one partner each joins most of them
+        pairs = work.keep(_best(pairs, *["ca"] * (number > 0)), f"pairs-{number}")
         done = pairs.select("a", "b")
         tried = done if tried is None else tried.union(done)
         number += 1
         found = group.link(work.keep(_linked(pairs, sets, percent), f"links-{number}"))
         first = first or found
         if found * LAST <= first:
-            # what is left is made in any case; a round that joins little costs more than it saves
-            known = group.known(open_.select("h", "sig", "n", "pos"), "sig", "c")
-            mixed = known.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
-            open_ = work.keep(known.join(mixed, "h", "left_semi"), "open-last")
+            # what is left is found in any case; a round that joins little costs more than it saves
             break
 
-    a, b = (open_.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "n", "pos", "c")]) for s in "ab")
-    rest = a.where(F.col("pos_a") < _index_prefix(F.col("n_a"), percent)).join(b, "h").where(
-        ((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("sig_a") < F.col("sig_b"))))
-        & (F.col("c_a") != F.col("c_b"))
-        & (F.col("n_a") * 100 >= F.col("n_b") * percent)
-    )
-    rest = rest.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))
-    late = _candidates(rest, percent)
-    late = work.keep(late if tried is None else late.join(tried, ["a", "b"], "left_anti"), "late")
+    open_ = work.keep(_mixed_columns(group.known(shared.join(enough, "sig", "left_semi"), "sig", "c")), "open")
+    open_ = work.keep(_within_reach(open_, sets, percent), "reach")
+    late = work.keep(_candidates(_across(open_, percent), percent).join(tried, ["a", "b"], "left_anti"), "late")
     group.link(work.keep(_linked(late, sets, percent), "late-links"))
     group = temporary_table(group.of.select(F.col("sig").alias("node"), F.col("c").alias("root")), "jaccard-components")
     work.drop_all()

@@ -249,6 +249,21 @@ def test_jaccard_of_many_edited_copies(spark):
     assert got == groups_by_force(rows)
 
 
+def test_jaccard_of_a_family_without_links_makes_few_pairs(spark, monkeypatch):
+    """Texts of one origin, each too far from all others: their pairs are ruled out before they are made."""
+    base, rows = [f"b{k}" for k in range(120)], []
+    for i in range(300):
+        words = list(base)
+        for at in (i % 7, 40 + i % 11, 80 + i % 13):
+            words[at : at + 3] = [f"x{i}_{at}_{k}" for k in range(3)]
+        rows.append((i, " ".join(words)))
+    made, candidates = [], jaccard._candidates
+    monkeypatch.setattr(jaccard, "_candidates", lambda pairs, percent: made.append(pairs.count()) or candidates(pairs, percent))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == groups_by_force(rows)
+    assert max(made) < 10 * len(rows)
+
+
 def test_jaccard_of_odd_rows(odd, none):
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(odd).collect())
     assert got[1, 2, 1] == 2 and got[2, 2, 1] == 1
